@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -52,20 +53,10 @@ def read_envelope(
 def read_log(spark: SparkSession, paths: str | list[str], schema: str | T.StructType, header: bool = True) -> DataFrame:
     """A comma-separated log; malformed lines are skipped.
 
-    Every field is taken from the parsed line, because a pruned CSV scan would
-    not look at the fields it skips and could keep a malformed line.
+    Column pruning is off for this read: a pruned CSV scan does not look at the
+    fields it skips, so the same line could be kept or dropped depending on the query.
     """
-    parsed = spark.read.option("columnNameOfCorruptRecord", "_bad_line")
-    if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
-    wide = T.StructType([*schema.fields, T.StructField("_bad_line", T.StringType())])
-    lines = parsed.csv(paths, schema=wide, header=header, mode="PERMISSIVE", enforceSchema=True)
-    names = [f.name for f in schema.fields]
-    # Touching all fields keeps the scan from pruning, so the check sees whole lines.
-    seen = F.struct(*names, "_bad_line")
-    return lines.select(seen.alias("_line")).filter(F.col("_line._bad_line").isNull()).select(
-        *[F.col("_line").getField(n).alias(n) for n in names]
-    )
+    return spark.read.option("columnPruning", False).csv(paths, schema=schema, header=header, mode="DROPMALFORMED")
 
 
 def union_tagged(frames: Mapping[str, DataFrame] | Iterable[tuple[str, DataFrame]], tag: str) -> DataFrame:
@@ -117,3 +108,10 @@ def read_binary_records(
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("content")
     return files.mapInPandas(parse, schema)
+
+
+def json_line_records(content: bytes) -> Iterator[dict]:
+    """A parser for ``read_binary_records``: one JSON object per line."""
+    for line in content.splitlines():
+        if line.strip():
+            yield json.loads(line)

@@ -13,35 +13,45 @@ from stratalake.sources.literal import literal_dim
 from stratalake.sources.scratch import store
 
 
+ONE_TASK_VALUES = 100_000
+MAX_RANGES = 2000
+
+
 def running_totals(counts: DataFrame, value: str, weights: Sequence[str], ranges: int | None = None) -> DataFrame:
     """Add ``<weight>_before``: the total weight of all strictly smaller values.
 
     ``counts`` holds one row per distinct value and should be a stored table, as
-    it is read several times. Values are cut into ranges of similar size at
-    approximate quantiles. The cut points become literals, so every pass and
-    every retried task cuts alike, and the totals are exact whatever they are.
+    it is read several times. Up to ``ONE_TASK_VALUES`` values are summed in one
+    task. More are cut into ranges of similar size at approximate quantiles. The
+    cut points become literals, so every pass and every retried task cuts alike,
+    and the totals are exact whatever they are.
     """
+    before = {w: f"{w}_before" for w in weights}
+
+    def earlier(window):
+        frame = window.rowsBetween(Window.unboundedPreceding, -1)
+        return lambda w: F.coalesce(F.sum(w).over(frame), F.lit(0))
+
     if ranges is None:
-        ranges = 4 * int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if counts.count() <= ONE_TASK_VALUES:
+            total = earlier(Window.orderBy(value))
+            return counts.withColumns({out: total(w) for w, out in before.items()})
+        ranges = min(4 * int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
+
     steps = [i / ranges for i in range(1, ranges)]
     cuts = sorted(set(counts.approxQuantile(value, steps, 1 / (4 * ranges))))
-    if cuts:
-        spread = Bucketizer(splits=[-inf, *cuts, inf], inputCol=value, outputCol="_range").transform(counts)
-    else:
-        spread = counts.withColumn("_range", F.lit(0.0))
-
+    spread = Bucketizer(splits=[-inf, *cuts, inf], inputCol=value, outputCol="_range").transform(counts)
     # At most `ranges` rows, so one task may hold them all and the result may be broadcast.
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offset = earlier(Window.orderBy("_range"))
     offsets = (
         spread.groupBy("_range")
         .agg(*[F.sum(w).alias(w) for w in weights])
-        .select("_range", *[F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(f"_{w}_offset") for w in weights])
+        .select("_range", *[offset(w).alias(f"_{w}_offset") for w in weights])
     )
-    within = Window.partitionBy("_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    local = {f"_{w}_local": F.coalesce(F.sum(w).over(within), F.lit(0)) for w in weights}
-    joined = spread.withColumns(local).join(F.broadcast(offsets), "_range")
+    local = earlier(Window.partitionBy("_range").orderBy(value))
+    joined = spread.withColumns({f"_{w}_local": local(w) for w in weights}).join(F.broadcast(offsets), "_range")
     return joined.select(
-        *counts.columns, *[(F.col(f"_{w}_local") + F.col(f"_{w}_offset")).alias(f"{w}_before") for w in weights]
+        *counts.columns, *[(F.col(f"_{w}_local") + F.col(f"_{w}_offset")).alias(out) for w, out in before.items()]
     )
 
 
@@ -54,35 +64,33 @@ def _present(df: DataFrame, column: str) -> DataFrame:
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], slack: float = 0.002) -> list[float | None]:
     """Discrete quantiles: the value at rank ``ceil(p * n)``, ignoring NULL and NaN.
 
-    A sketch brackets each quantile; only the values inside the brackets are
-    counted one by one, so a large table is scanned but hardly shuffled.
+    On a large table a sketch first brackets each quantile; only the values inside
+    the brackets are then counted one by one, so the table is scanned but hardly
+    shuffled. A small one is counted whole.
     """
     values = _present(df, column)
     n = values.count()
     if n == 0:
         return [None for _ in probs]
-    if n * slack < 1000:
-        brackets = [(-inf, inf)] * len(probs)
-    else:
+    # round() drops the float noise of p * n before the ceiling is taken
+    ranks = [max(ceil(round(p * n, 6)), 1) for p in probs]
+    if n * slack >= 1000:
         ends = [p + side * 2 * slack for p in probs for side in (-1, 1)]
         found = values.approxQuantile("v", [min(max(e, 0.0), 1.0) for e in ends], slack)
         found = [-inf if e <= 0 else inf if e >= 1 else x for e, x in zip(ends, found, strict=True)]
-        brackets = list(zip(found[::2], found[1::2], strict=True))
-
-    inside = F.lit(False)
-    for low, high in brackets:
-        inside = inside | F.col("v").between(low, high)
-    skipped = values.agg(
-        *[F.count_if((F.col("v") < low) & ~inside).alias(f"s{i}") for i, (low, _) in enumerate(brackets)]
-    ).first()
-    counts = store(values.filter(inside).groupBy("v").agg(F.count(F.lit(1)).alias("n")), "value_counts")
-    totals = running_totals(counts, "v", ["n"])
-    # round() drops the float noise of p * n before the ceiling is taken
-    ranks = [max(ceil(round(p * n, 6)), 1) - skipped[i] for i, p in enumerate(probs)]
-    row = totals.agg(
-        *[F.min(F.when(F.col("n_before") + F.col("n") >= k, F.col("v"))).alias(f"q{i}") for i, k in enumerate(ranks)]
-    ).first()
-    return list(row)
+        inside = F.lit(False)
+        for low, high in zip(found[::2], found[1::2], strict=True):
+            inside = inside | F.col("v").between(low, high)
+        # values outside all brackets only count towards the ranks
+        skipped = values.agg(*[F.count_if((F.col("v") < low) & ~inside) for low in found[::2]]).first()
+        ranks = [k - s for k, s in zip(ranks, skipped, strict=True)]
+        values = values.filter(inside)
+    counts = store(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "value_counts")
+    upto = F.col("n_before") + F.col("n")
+    row = running_totals(counts, "v", ["n"]).agg(
+        *[F.min(F.when(upto >= k, F.col("v"))).alias(f"q{i}") for i, k in enumerate(ranks)]
+    )
+    return list(row.first())
 
 
 def quantile_thresholds(

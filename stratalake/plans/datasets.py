@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from stratalake.operators.clean import complete_row, fill_numeric, filter_pairs, normalize_columns
 from stratalake.operators.quality import quality_report, quality_report_marked
 from stratalake.operators.reshape import copy_period, expand_quarter_to_month, union_all
-from stratalake.sources.readers import require_rows, union_tagged
+from stratalake.sources.readers import read_binary_records, read_delimited, union_tagged
+from stratalake.sources.spreadsheet import sheet_rows
 from stratalake.sources.writers import overwrite_table
 
 # ---- fixed values ---------------------------------------------------------
@@ -56,6 +57,7 @@ class MonthlyDataset:
     report_values: Sequence | None = tuple(PROVINCES)
     keep: Sequence | None = tuple(PROVINCES)
     expand: Callable[[DataFrame], DataFrame] | None = None
+    sort_by: Sequence[str] = ()
     target: str = ""
 
     @property
@@ -117,7 +119,7 @@ MONTHLY_DATASETS = {
             report_values=tuple(PROVINCE_MUNICIPALITY),
             keep=tuple(PROVINCE_MUNICIPALITY),
         ),
-        _by_province("seguridad_provincia", file_format="xlsx", expand=_spread_crime_rates),
+        _by_province("seguridad_provincia", file_format="xlsx", expand=_spread_crime_rates, sort_by=(YEAR, MONTH)),
         _by_province("percepcion_turista"),
         MonthlyDataset(
             "turismo_Emisor",
@@ -206,11 +208,21 @@ def run_monthly(
 ) -> tuple[DataFrame, DataFrame]:
     """Clean a dataset from landing to trusted tables; returns (stored rows, report)."""
     raw = {table: spark.table(f"{src_db}.{table}") for table in spec.sources}
-    stored = overwrite_table(keep_selected(clean_monthly(raw, spec), spec), tgt_db, spec.target_table)
+    rows = keep_selected(clean_monthly(raw, spec), spec)
+    if spec.sort_by:
+        # sorted files let readers skip by min/max; a global order would cost a range shuffle
+        rows = rows.sortWithinPartitions(*spec.sort_by)
+    stored = overwrite_table(rows, tgt_db, spec.target_table)
     return stored, report_monthly(raw, spec)
 
 
+def read_landing(spark: SparkSession, spec: MonthlyDataset, paths, schema, decimal_comma_columns=()) -> DataFrame:
+    """Files of a dataset in the format it is published in."""
+    if spec.file_format == "xlsx":
+        return read_binary_records(spark, paths, sheet_rows, schema, glob="*.xlsx")
+    return read_delimited(spark, paths, schema, decimal_comma_columns)
+
+
 def load_landing(frames: Sequence[tuple[str, DataFrame]], tag: str, db: str, table: str) -> DataFrame:
     """Union several tagged loads into one landing table; raises when all of them are empty."""
-    united = require_rows(union_tagged(frames, tag))
-    return overwrite_table(united, db, table)
+    return overwrite_table(union_tagged(frames, tag, skip_empty=True), db, table)

@@ -51,34 +51,39 @@ def read_envelope(
 
 
 def read_log(spark: SparkSession, paths: str | list[str], schema: str | T.StructType, header: bool = True) -> DataFrame:
-    """A comma-separated log; malformed lines are skipped.
+    """A comma-separated log with one record per line; malformed lines are skipped.
 
-    Column pruning is off for this read: a pruned CSV scan does not look at the
-    fields it skips, so the same line could be kept or dropped depending on the query.
+    Lines are parsed whole. A CSV scan would not convert the fields a query leaves
+    out, so the same line could be kept or dropped depending on the query.
     """
-    return spark.read.option("columnPruning", False).csv(paths, schema=schema, header=header, mode="DROPMALFORMED")
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    names = schema.fieldNames()
+    wide = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields], "_bad_line string"])
+    lines = spark.read.text(paths).filter(F.length("value") > 0)
+    if header:
+        lines = lines.filter(F.col("value") != ",".join(names))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad_line"}
+    records = lines.select(F.from_csv("value", wide, options).alias("_record"))
+    return records.filter("_record._bad_line IS NULL").select(*[F.col("_record").getField(n).alias(n) for n in names])
 
 
-def union_tagged(frames: Mapping[str, DataFrame] | Iterable[tuple[str, DataFrame]], tag: str) -> DataFrame:
+def union_tagged(
+    frames: Mapping[str, DataFrame] | Iterable[tuple[str, DataFrame]], tag: str, skip_empty: bool = False
+) -> DataFrame:
     """Union several loads, each tagged with a constant; columns one load lacks become NULL.
 
-    Loads without rows add none. Several loads may share one tag value, so an
-    iterable of pairs is accepted too.
+    Several loads may share one tag value, so an iterable of pairs is accepted
+    too. With ``skip_empty`` a load without rows is left out, columns included,
+    and having no load left is an error; finding that out reads one row per load.
     """
     pairs = frames.items() if isinstance(frames, Mapping) else frames
-    tagged = [df.withColumn(tag, F.lit(value)) for value, df in pairs]
+    tagged = [df.withColumn(tag, F.lit(value)) for value, df in pairs if not (skip_empty and df.isEmpty())]
     if not tagged:
-        raise ValueError("no load to union")
+        raise ValueError("no load has data")
     return union_all(tagged, allow_missing=True)
 
 
-def require_rows(df: DataFrame, message: str = "no data retrieved") -> DataFrame:
-    """Raise when the frame is empty. Reads at most one row."""
-    if df.isEmpty():
-        raise ValueError(message)
-    return df
-
-
 def tag_by_file(df: DataFrame, pattern: str, out: str, group: int = 1) -> DataFrame:
     """Tag rows of a multi-file read from their file path."""
     return df.withColumn(out, F.regexp_extract(F.col("_metadata.file_path"), pattern, group))
@@ -100,11 +105,15 @@ def read_binary_records(
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     names = schema.fieldNames()
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:
-                yield pd.DataFrame.from_records(list(parser(bytes(content))), columns=names)
+                rows = pd.DataFrame(list(parser(bytes(content))), columns=names, dtype=object)
+                for name in texts:
+                    rows[name] = [None if value is None else str(value) for value in rows[name]]
+                yield rows
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("content")
     return files.mapInPandas(parse, schema)

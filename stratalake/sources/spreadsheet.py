@@ -34,7 +34,7 @@ def _cell_value(cell, shared: list[str]):
         return raw
     if kind == "b":
         return raw == "1"
-    return float(raw)
+    return int(raw) if re.fullmatch(r"-?[0-9]+", raw) else float(raw)
 
 
 def sheet_rows(content: bytes) -> Iterator[dict]:

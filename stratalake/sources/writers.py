@@ -157,6 +157,6 @@ def write_batch(df: DataFrame, path: str, entity: str, date_column: str) -> Data
     return df.sparkSession.read.schema(meta.schema).json(f"{path}/metadata")
 
 
-def log_rejects(rejects: DataFrame, path: str) -> None:
-    """Append failed rows to a log that ``read_log`` can read back."""
-    rejects.write.mode("append").option("header", True).csv(path)
+def log_rejects(rejects: DataFrame, path: str, mode: str = "append") -> None:
+    """Write failed rows to a log that ``read_log`` can read back; ``overwrite`` keeps only this run's."""
+    rejects.write.mode(mode).option("header", True).csv(path)

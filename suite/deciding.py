@@ -345,12 +345,12 @@ _VERDICT_SQL = """CASE WHEN {p} >= {cut} THEN '✅ Es un buen momento para viaja
 
 
 @query(f"""
-WITH {_CITY_SQL}, v AS (SELECT event_id, city, round(p, 3) AS p FROM rc)
+WITH {_CITY_SQL}, v AS (SELECT event_id, city, floor(value * 2) / 1000 AS p FROM rc)
 SELECT event_id, city, {_CITY_CUT_SQL} AS threshold, CAST(p >= {_CITY_CUT_SQL} AS INT) AS recommended,
        {_VERDICT_SQL.format(p='p', cut=_CITY_CUT_SQL)} AS verdict FROM v
 """)
 def score_verdict(t: Tables):
-    rows = _city_requests(t).select("event_id", "city", F.round("p", 3).alias("p"))
+    rows = _city_requests(t).select("event_id", "city", (F.floor(F.col("value") * 2) / 1000).alias("p"))
     return score.verdict(rows, "p", "city").select("event_id", "city", "threshold", "recommended", "verdict")
 
 

@@ -6,6 +6,7 @@ from stratalake.functions import clock
 from stratalake.functions.nested import first_matching
 from stratalake.operators import aggregate, forecast, joins, reshape
 from stratalake.plans.panel import build_feature_panel
+from stratalake.sources.scratch import store
 from suite.registry import Tables, dated, money, query, rounded
 
 # ---- set operations and reshaping -----------------------------------------
@@ -325,15 +326,24 @@ SELECT nation, year, month, revenue, shipped, returned, n_urgent, n_even FROM ba
 LEFT JOIN b USING (nation, year, month) LEFT JOIN c USING (nation, year, month) LEFT JOIN d USING (nation, year, month)
 """)
 def join_panel_left(t: Tables):
-    """Counts that share a source are taken in one grouped pass per source."""
-    orders, lines = nation_orders(t), nation_lines(t)
-    base = orders.groupBy(*MONTHLY_KEYS).agg(money(F.sum("o_totalprice")).alias("revenue"))
-    shipped = lines.groupBy(*MONTHLY_KEYS).agg(F.sum("l_quantity").alias("shipped"))
+    """Each source is read once, down to a small stored table the panel sides are cut from."""
+    orders = store(
+        nation_orders(t)
+        .groupBy(*MONTHLY_KEYS, "o_orderpriority")
+        .agg(F.sum("o_totalprice").alias("price"), F.count(F.lit(1)).alias("n")),
+        "orders_by_priority",
+    )
+    lines = store(
+        nation_lines(t).groupBy(*MONTHLY_KEYS, "l_returnflag", "l_linestatus").agg(F.sum("l_quantity").alias("q")),
+        "lines_by_flag",
+    )
+    base = orders.groupBy(*MONTHLY_KEYS).agg(money(F.sum("price")).alias("revenue"))
+    shipped = lines.groupBy(*MONTHLY_KEYS).agg(F.sum("q").alias("shipped"))
     # finer grain than the keys: rolled up by the join
-    by_flag = lines.filter("l_returnflag = 'R'").groupBy(*MONTHLY_KEYS, "l_linestatus").agg(F.sum("l_quantity").alias("q"))
-    urgent = orders.filter("o_orderpriority = '1-URGENT'").groupBy(*MONTHLY_KEYS).agg(F.count(F.lit(1)).alias("n_urgent"))
-    even = orders.filter("month % 2 = 0").groupBy(*MONTHLY_KEYS).agg(F.count(F.lit(1)).alias("n_even"))
-    return joins.panel_join(base, [shipped, (by_flag, {"returned": F.sum("q")}), urgent, even], MONTHLY_KEYS)
+    returned = (lines.filter("l_returnflag = 'R'"), {"returned": F.sum("q")})
+    urgent = orders.filter("o_orderpriority = '1-URGENT'").select(*MONTHLY_KEYS, F.col("n").alias("n_urgent"))
+    even = orders.filter("month % 2 = 0").groupBy(*MONTHLY_KEYS).agg(F.sum("n").alias("n_even"))
+    return joins.panel_join(base, [shipped, returned, urgent, even], MONTHLY_KEYS)
 
 
 # ---- feature blocks -------------------------------------------------------

@@ -242,9 +242,7 @@ def load_summary(t: Tables):
     return writers.load_summary(t.orders.select("o_orderkey", "o_totalprice"), t.work_db(), "orders_loaded")
 
 
-@query("""
-SELECT event_id, CAST(ts AS DATE) AS day, event_type, value FROM events
-""")
+@query("SELECT event_id, CAST(ts AS DATE) AS day, event_type, value FROM events", name="reload_pending")
 def reload_pending_batches(t: Tables):
     """Odd days are loaded, every day was requested; reloading adds the even days, and twice adds nothing more."""
     rows = t.events.select("event_id", F.col("ts").cast("date").alias("day"), "event_type", "value")

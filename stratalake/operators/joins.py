@@ -33,17 +33,28 @@ def attach_dimension(
     return fact.join(side, F.col(fact_key) == F.col("_dimension_key"), how).drop("_dimension_key")
 
 
-def keep_members(fact: DataFrame, members: DataFrame, fact_key: str, member_key: str) -> DataFrame:
+def keep_members(
+    fact: DataFrame, members: DataFrame, fact_key: str, member_key: str, unique: bool = True
+) -> DataFrame:
     """Rows whose key occurs in the other frame, without collecting the keys.
 
-    Keys are made distinct first, so one that repeats often crosses the shuffle once per task.
+    Adaptive execution splits a hot key on the fact side. A key repeated many
+    times among the members cannot be split in a semi-join; with ``unique=False``
+    repeats are thinned to at most 16 per key first. That leaves the member side
+    unpartitioned by key, so the join still shuffles it and can be balanced.
     """
-    side = members.select(F.col(member_key).alias("_member_key")).distinct()
+    side = members.select(F.col(member_key).alias("_member_key"))
+    if not unique:
+        slot = F.pmod(F.xxhash64(*members.columns), F.lit(16))
+        side = members.select(F.col(member_key).alias("_member_key"), slot.alias("_slot")).distinct().drop("_slot")
     return fact.join(side, F.col(fact_key) == F.col("_member_key"), "left_semi")
 
 
 def pending(requested: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Requested rows whose key is not among the finished ones."""
+    """Requested rows whose key is not among the finished ones.
+
+    Finished keys are made distinct first, so a batch of many rows counts once.
+    """
     return requested.join(done.select(*keys).distinct(), list(keys), "left_anti")
 
 

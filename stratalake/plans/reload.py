@@ -7,12 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from stratalake.operators.joins import pending
+from stratalake.sources.scratch import store
 from stratalake.sources.writers import append_table
 
 
 def pending_rows(requested: DataFrame, loaded: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of the batches that were requested and are not loaded yet."""
-    todo = pending(requested.select(*keys).distinct(), loaded, keys)
+    """Rows of the batches that were requested and are not loaded yet.
+
+    The list of open batches is stored first. It is short, and a stored list of
+    known size is broadcast, so the rows are filtered where they are read.
+    """
+    todo = store(pending(requested.select(*keys).distinct(), loaded, keys), "open_batches")
     return rows.join(todo, list(keys), "left_semi")
 
 

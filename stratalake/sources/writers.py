@@ -77,8 +77,10 @@ def upsert_merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
             F.raise_error(F.lit("upsert: several source rows match one target row")).cast("boolean")
         )
     )
-    untouched = target.join(key_counts, keys, "left_anti").select(target.columns)
-    return untouched.unionByName(checked.select(target.columns))
+    # Rows with a NULL key stay out of the join, where they would all meet in one task.
+    untouched = target.filter(usable).join(key_counts, keys, "left_anti").select(target.columns)
+    keyless = target.filter(~usable)
+    return untouched.unionByName(keyless).unionByName(checked.select(target.columns))
 
 
 def upsert_table(source: DataFrame, db: str, table: str, keys: Sequence[str], fmt: str = "parquet") -> DataFrame:

@@ -510,7 +510,11 @@ def lag_features_desc(t: Tables):
 # ---- the feature panel ----------------------------------------------------
 
 def _panel_inputs(t: Tables):
-    """The five published inputs, read off orders and lines; provinces are nations."""
+    """The five published inputs, read off orders and lines; provinces are nations.
+
+    Published inputs carry their province, so lines take theirs from the supplier
+    number and only orders look it up.
+    """
 
     def named(df):
         return joins.attach_dimension(df, t.nation, "nation", "n_nationkey", {"n_name": "PROVINCIA"})
@@ -520,7 +524,8 @@ def _panel_inputs(t: Tables):
             "PROVINCIA", F.col("year").alias("AÑO"), F.col("month").alias("MES"), *[c.alias(n) for n, c in columns.items()]
         )
 
-    orders, lines = nation_orders(t), nation_lines(t)
+    orders = nation_orders(t)
+    lines = dated(t.lineitem, "l_shipdate").withColumn("nation", (F.col("l_suppkey") % 25).cast("int"))
     # whole numbers, so sums and averages do not depend on the order of addition
     price, spend, quantity = F.floor("o_totalprice"), F.floor("l_extendedprice"), F.col("l_quantity")
     perception = monthly(
@@ -574,7 +579,8 @@ def _panel_inputs(t: Tables):
 
 
 _PANEL_SQL = f"""
-WITH {NATION_ORDERS_SQL}, {NATION_LINES_SQL},
+WITH {NATION_ORDERS_SQL},
+nl AS (SELECT *, l_suppkey % 25 AS nation, year(l_shipdate)::INT AS year, month(l_shipdate)::INT AS month FROM lineitem),
 per AS (
   SELECT nation, year, month, avg(floor(o_totalprice)) AS indice_percepcion_turistica_global,
          avg(o_custkey % 100) AS indice_satisfaccion_productos_turisticos, avg(day(o_orderdate)) AS indice_percepcion_seguridad,

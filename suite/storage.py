@@ -48,15 +48,22 @@ def src_binary_parse(t: Tables):
     return rows.select("page_id", "url", F.length("html").alias("n_chars"), F.md5("html").alias("digest"))
 
 
-@query("SELECT event_id, user_id, event_type, value FROM events")
+@query("""
+SELECT event_id, user_id, event_type, value FROM events WHERE event_id % 50 <> 0
+UNION ALL SELECT event_id, user_id, 'copy', value FROM events WHERE event_id % 50 > 40
+""")
 def src_json_envelope(t: Tables):
-    """One envelope per thousand event numbers, so no envelope grows with the data."""
+    """Envelopes of no, one or two rows, so none grows with the data."""
     path = f"{scratch_dir(t.spark)}/envelopes"
-    row = F.struct(*[F.col(c).cast("string").alias(c) for c in ("event_id", "user_id", "event_type", "value")])
-    batches = t.events.groupBy(F.floor(F.col("event_id") / 1000).alias("batch")).agg(
-        F.count(F.lit(1)).alias("n"), F.collect_list(row).alias("data")
-    )
-    batches.select(document(F.struct("batch", "n").alias("metadata"), F.col("data"))).write.text(path)
+
+    def row(kind):
+        fields = {"event_id": "event_id", "user_id": "user_id", "value": "value"}
+        return F.struct(*[F.col(c).cast("string").alias(n) for n, c in fields.items()], kind.alias("event_type"))
+
+    one, two = F.array(row(F.col("event_type"))), F.array(row(F.col("event_type")), row(F.lit("copy")))
+    slot = F.col("event_id") % 50
+    data = F.when(slot > 40, two).when(slot > 0, one).otherwise(F.slice(one, 1, 0))
+    t.events.select(document(F.struct(F.col("ts").alias("fecha")).alias("metadata"), data.alias("data"))).write.text(path)
     text = T.StructType([T.StructField(c, T.StringType()) for c in ("event_id", "user_id", "event_type", "value")])
     rows = readers.read_envelope(t.spark, path, text, multi_line=False)
     return rows.select(

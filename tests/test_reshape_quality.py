@@ -120,6 +120,7 @@ def test_semi_and_anti_joins_ignore_repeats(spark, rows):
     fact = spark.createDataFrame([(1,), (2,), (3,)], "k int")
     members = spark.createDataFrame([(1,), (1,), (3,)], "k int")
     assert rows(joins.keep_members(fact, members, "k", "k")) == [(1,), (3,)]
+    assert rows(joins.keep_members(fact, members, "k", "k", unique=False)) == [(1,), (3,)]
     assert rows(joins.pending(fact, members, ["k"])) == [(2,)]
 
 
@@ -129,3 +130,39 @@ def test_lag_orders(spark):
     assert {(r["y"], r["m"]): r["v_lag1"] for r in forward.collect()} == {(2020, 12): None, (2021, 1): 1, (2021, 2): 2}
     down = joins.lag_features(df, ["p"], ["m"], ["v"], descending=True, ties=["y"])
     assert {(r["y"], r["m"]): r["v_lag1"] for r in down.collect()} == {(2020, 12): None, (2021, 2): 1, (2021, 1): 3}
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_join_keys_are_split(spark):
+    """A third of the rows share one key; with thresholds fit for the small data the join is marked as skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings if k != "spark.sql.adaptive.autoBroadcastJoinThreshold"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(0, 300_000, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("fk"), F.col("id").alias("v")
+        )
+        dim = spark.range(60_000).select(F.col("id").alias("dk"), (F.col("id") % 25).alias("nation"))
+        repeated = dim.union(dim.filter("dk = 7").withColumn("nation", F.explode(F.sequence(F.lit(1), F.lit(5000)))))
+        joined = joins.attach_dimension(fact, dim, "fk", "dk", ["nation"])
+        assert "skew=true" in _final_plan(joined.groupBy("nation").agg(F.sum("v")))
+        assert "skew=true" in _final_plan(joins.keep_members(fact, dim, "fk", "dk").agg(F.sum("v")))
+        thinned = joins.keep_members(fact, repeated, "fk", "dk", unique=False)
+        assert "skew=true" in _final_plan(thinned.agg(F.sum("v")))
+        assert thinned.count() == 100_000 + 40_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil, inf
+from math import ceil, inf, isfinite
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
@@ -17,6 +17,17 @@ ONE_TASK_VALUES = 100_000
 MAX_RANGES = 2000
 
 
+def _sum_before(window):
+    """Expression builder: total of a column over the earlier rows of the window, 0 for the first."""
+    frame = window.rowsBetween(Window.unboundedPreceding, -1)
+    return lambda w: F.coalesce(F.sum(w).over(frame), F.lit(0))
+
+
+def _totals_in_one_task(counts: DataFrame, value: str, weights: Sequence[str]) -> DataFrame:
+    total = _sum_before(Window.orderBy(value))
+    return counts.withColumns({f"{w}_before": total(w) for w in weights})
+
+
 def running_totals(counts: DataFrame, value: str, weights: Sequence[str], ranges: int | None = None) -> DataFrame:
     """Add ``<weight>_before``: the total weight of all strictly smaller values.
 
@@ -26,32 +37,27 @@ def running_totals(counts: DataFrame, value: str, weights: Sequence[str], ranges
     cut points become literals, so every pass and every retried task cuts alike,
     and the totals are exact whatever they are.
     """
-    before = {w: f"{w}_before" for w in weights}
-
-    def earlier(window):
-        frame = window.rowsBetween(Window.unboundedPreceding, -1)
-        return lambda w: F.coalesce(F.sum(w).over(frame), F.lit(0))
-
     if ranges is None:
         if counts.count() <= ONE_TASK_VALUES:
-            total = earlier(Window.orderBy(value))
-            return counts.withColumns({out: total(w) for w, out in before.items()})
+            return _totals_in_one_task(counts, value, weights)
         ranges = min(4 * int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
 
     steps = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(counts.approxQuantile(value, steps, 1 / (4 * ranges))))
+    cuts = sorted({c for c in counts.approxQuantile(value, steps, 1 / (4 * ranges)) if isfinite(c)})
+    if not cuts:  # no finite value, so at most two rows
+        return _totals_in_one_task(counts, value, weights)
     spread = Bucketizer(splits=[-inf, *cuts, inf], inputCol=value, outputCol="_range").transform(counts)
     # At most `ranges` rows, so one task may hold them all and the result may be broadcast.
-    offset = earlier(Window.orderBy("_range"))
+    offset = _sum_before(Window.orderBy("_range"))
     offsets = (
         spread.groupBy("_range")
         .agg(*[F.sum(w).alias(w) for w in weights])
         .select("_range", *[offset(w).alias(f"_{w}_offset") for w in weights])
     )
-    local = earlier(Window.partitionBy("_range").orderBy(value))
+    local = _sum_before(Window.partitionBy("_range").orderBy(value))
     joined = spread.withColumns({f"_{w}_local": local(w) for w in weights}).join(F.broadcast(offsets), "_range")
     return joined.select(
-        *counts.columns, *[(F.col(f"_{w}_local") + F.col(f"_{w}_offset")).alias(out) for w, out in before.items()]
+        *counts.columns, *[(F.col(f"_{w}_local") + F.col(f"_{w}_offset")).alias(f"{w}_before") for w in weights]
     )
 
 
@@ -85,9 +91,13 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], slack: f
         skipped = values.agg(*[F.count_if((F.col("v") < low) & ~inside) for low in found[::2]]).first()
         ranks = [k - s for k, s in zip(ranks, skipped, strict=True)]
         values = values.filter(inside)
-    counts = store(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "value_counts")
+    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    if n <= ONE_TASK_VALUES:
+        totals = _totals_in_one_task(counts, "v", ["n"])
+    else:
+        totals = running_totals(store(counts, "value_counts"), "v", ["n"])
     upto = F.col("n_before") + F.col("n")
-    row = running_totals(counts, "v", ["n"]).agg(
+    row = totals.agg(
         *[F.min(F.when(upto >= k, F.col("v"))).alias(f"q{i}") for i, k in enumerate(ranks)]
     )
     return list(row.first())

@@ -51,6 +51,14 @@ def test_running_totals_do_not_depend_on_ranges(spark, rows, ranges):
         total += n
 
 
+def test_running_totals_with_infinite_values(spark):
+    ends = [(float("-inf"), 2), (float("inf"), 3)]
+    for rows, want in ((ends, [0, 2]), ([ends[0], (1.0, 5), ends[1]], [0, 2, 7])):
+        df = spark.createDataFrame(rows, "v double, n long")
+        got = ordered.running_totals(df, "v", ["n"], ranges=4).orderBy("v").collect()
+        assert [r["n_before"] for r in got] == want
+
+
 def test_sketched_thresholds(spark):
     df = _values(spark, [float(i) for i in range(1000)] + [float("nan"), None])
     got = {r["prob"]: r["value"] for r in ordered.quantile_thresholds(df, ["x"], [0.33, 0.66], 0.01).collect()}

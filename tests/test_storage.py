@@ -195,3 +195,19 @@ def test_stream_loads_each_file_once(spark, rows, tmp_path, db):
     assert rows(spark.read.parquet(out), "k", "v") == [(1, "a"), (2, "B"), (2, "b")]
     ingest_new_files(spark, str(landing), schema, upsert_sink(db, "t", ["k"]), str(tmp_path / "p2"), max_files_per_batch=1)
     assert rows(spark.table(f"{db}.t")) in ([(1, "a"), (2, "B")], [(1, "a"), (2, "b")])
+
+
+class _Session:
+    """Stands in for a session without a shared folder."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_scratch_folder_rules(spark):
+    assert scratch_dir(_Session("yarn", "s3a://bucket/shared/")).startswith("s3a://bucket/shared/stratalake/")
+    assert scratch_dir(_Session("local[2]")) != scratch_dir(_Session("local[2]"))
+    with pytest.raises(RuntimeError):
+        scratch_dir(_Session("spark://host:7077"))
+    assert scratch_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))

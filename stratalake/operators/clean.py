@@ -137,7 +137,7 @@ def filter_prefix(df: DataFrame, column: str, prefix: str) -> DataFrame:
     return df.filter(F.col(column).startswith(prefix))
 
 
-def split_rejects(df: DataFrame, well_formed: Column) -> tuple[DataFrame, DataFrame]:
+def reject_split(df: DataFrame, well_formed: Column) -> tuple[DataFrame, DataFrame]:
     """(rows that satisfy the test, rows that do not). A NULL test rejects the row."""
     ok = F.coalesce(well_formed, F.lit(False))
     return df.filter(ok), df.filter(~ok)

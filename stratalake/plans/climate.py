@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.functions.clock import parse_date
 from stratalake.operators.clean import decimal_comma_cast, impute_numeric, impute_string, project_renamed
 from stratalake.operators.joins import attach_dimension
 from stratalake.sources.literal import literal_dim
+from stratalake.sources.readers import read_envelope
+from stratalake.sources.writers import append_table, overwrite_table
 
 # ---- fixed values ---------------------------------------------------------
 
@@ -33,10 +36,11 @@ STATIONS = [
 SHORT_STATIONS = ["8036Y", "0201D", "0201X", "B278", "3129", "5790Y", "8416Y"]
 STATION_SCHEMA = "id string, nombre string, municipio string, provincia string, altura int, latitud string, longitud string"
 
-RAW_FIELDS = (
-    "fecha indicativo nombre provincia altitud tmed prec tmin horatmin tmax horatmax dir velmedia racha "
-    "horaracha sol presMax horaPresMax presMin horaPresMin hrMedia hrMax horaHrMax hrMin horaHrMin"
-).split()
+RAW_FIELDS = [
+    "fecha", "indicativo", "nombre", "provincia", "altitud", "tmed", "prec", "tmin", "horatmin", "tmax", "horatmax",
+    "dir", "velmedia", "racha", "horaracha", "sol", "presMax", "horaPresMax", "presMin", "horaPresMin",
+    "hrMedia", "hrMax", "horaHrMax", "hrMin", "horaHrMin",
+]
 RAW_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in RAW_FIELDS])
 
 # landing name -> trusted name
@@ -128,9 +132,26 @@ def build_daily_climate(raw: DataFrame, station_dim: DataFrame | None = None, **
     )
 
 
+# ---- landing and trusted tables -------------------------------------------
+
+LANDING_TABLE, TRUSTED_TABLE = "aemet_clima_diario", "aemet_clima_diario_trusted"
+
+
 def landing_rows(raw: DataFrame) -> DataFrame:
     """Well-formed raw rows with their date parts."""
-    day = F.try_to_timestamp("fecha", F.lit("yyyy-MM-dd")).cast("date")
+    day = parse_date(F.col("fecha"))
     return raw.filter(F.col("indicativo").isNotNull()).withColumns(
         {"fecha_dt": day, "year": F.year(day), "month": F.month(day)}
     )
+
+
+def load_daily_climate(spark: SparkSession, paths, db: str = "landing", table: str = LANDING_TABLE) -> DataFrame:
+    """Append downloaded envelope files to the landing table, partitioned by year and month."""
+    rows = landing_rows(read_envelope(spark, paths, RAW_SCHEMA))
+    return append_table(rows, db, table, partition_by=("year", "month"))
+
+
+def run_daily_climate(spark: SparkSession, src_db: str = "landing", tgt_db: str = "trusted", **options) -> DataFrame:
+    """Build the trusted daily climate from the landing table and store it."""
+    built = build_daily_climate(spark.table(f"{src_db}.{LANDING_TABLE}"), **options)
+    return overwrite_table(built, tgt_db, TRUSTED_TABLE)

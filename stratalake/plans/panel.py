@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.operators.aggregate import (
     bucket_share_block,
@@ -13,6 +13,7 @@ from stratalake.operators.aggregate import (
 )
 from stratalake.operators.joins import lag_features, panel_join
 from stratalake.plans.datasets import MONTH, PROVINCE, YEAR
+from stratalake.sources.writers import overwrite_table
 
 # ---- fixed values ---------------------------------------------------------
 
@@ -43,47 +44,59 @@ FEATURES = [
 ]
 
 
-# ---- blocks with their published names ------------------------------------
+# output column -> input column
+APARTMENT_SUMS = {
+    "apt_viajeros": "VIAJEROS",
+    "apt_pernoctaciones": "PERNOCTACIONES",
+    "apt_estimados": "APARTAMENTOS_ESTIMADOS",
+    "plazas_estimadas": "PLAZAS_ESTIMADAS",
+    "apt_personal_empleado": "PERSONAL_EMPLEADO",
+}
+APARTMENT_AVERAGES = {
+    "apt_estancia_media": "ESTANCIA_MEDIA",
+    "avg_ocupa_plazas": "GRADO_OCUPA_PLAZAS",
+    "avg_ocupa_apart": "GRADO_OCUPA_APART",
+    "avg_ocupa_apart_weekend": "GRADO_OCUPA_APART_FIN_SEMANA",
+}
+LEISURE_SUMS = {
+    "ocio_total_entradas": "ENTRADAS",
+    "ocio_total_visitas_paginas": "VISITAS_PAGINAS",
+    "ocio_gasto_total": "GASTO_TOTAL",
+    "ocio_total_transacciones": "TRANSACCIONES",
+}
+LEISURE_AVERAGES = {"ocio_precio_medio_entrada": "PRECIO_MEDIO_ENTRADA"}
+LEISURE_RATIOS = {
+    "ocio_engagement_score": ("ocio_total_visitas_paginas", "ocio_total_transacciones"),
+    "ocio_gasto_medio_por_entrada": ("ocio_gasto_total", "ocio_total_entradas"),
+}
+PERCEPTION_AVERAGES = {
+    "indice_percepcion_turistica_global": "INIDICE_PERCEPCION_TURISTICA_GLOBAL",
+    "indice_satisfaccion_productos_turisticos": "INDICE_SATISFACCION_PRODUCTOS_TURISTICOS",
+    "indice_percepcion_seguridad": "INDICE_PERCEPCION_SEGURIDAD",
+}
+PERCEPTION_SUMS = {"indice_percepcion_climatica": "INDICE_PERCEPCION_CLIMATICA"}
+# panel input -> trusted table
+INPUT_TABLES = {
+    "perception": "percepcion_turista_selected",
+    "leisure": "actividades_Ocio_selected",
+    "air": "calidad_aire_selected",
+    "apartments": "apartamentos_ocupacion_selected",
+    "climate": "aemet_clima_diario_trusted",
+}
+PANEL_TABLE = "tourism_features"
+
+
+# ---- blocks ---------------------------------------------------------------
 
 def apartment_features(df: DataFrame) -> DataFrame:
     return occupancy_block(
-        df,
-        KEYS,
-        sums={
-            "apt_viajeros": "VIAJEROS",
-            "apt_pernoctaciones": "PERNOCTACIONES",
-            "apt_estimados": "APARTAMENTOS_ESTIMADOS",
-            "plazas_estimadas": "PLAZAS_ESTIMADAS",
-            "apt_personal_empleado": "PERSONAL_EMPLEADO",
-        },
-        averages={
-            "apt_estancia_media": "ESTANCIA_MEDIA",
-            "avg_ocupa_plazas": "GRADO_OCUPA_PLAZAS",
-            "avg_ocupa_apart": "GRADO_OCUPA_APART",
-            "avg_ocupa_apart_weekend": "GRADO_OCUPA_APART_FIN_SEMANA",
-        },
-        occupancy="avg_ocupa_plazas",
-        score="apt_availability_score",
+        df, KEYS, APARTMENT_SUMS, APARTMENT_AVERAGES, occupancy="avg_ocupa_plazas", score="apt_availability_score"
     )
 
 
 def leisure_features(df: DataFrame, detail: bool = False) -> DataFrame:
     """Leisure block at the panel grain, or with ``detail`` per product and category as well."""
-    return leisure_block(
-        df,
-        KEYS + (LEISURE_DETAIL if detail else []),
-        sums={
-            "ocio_total_entradas": "ENTRADAS",
-            "ocio_total_visitas_paginas": "VISITAS_PAGINAS",
-            "ocio_gasto_total": "GASTO_TOTAL",
-            "ocio_total_transacciones": "TRANSACCIONES",
-        },
-        averages={"ocio_precio_medio_entrada": "PRECIO_MEDIO_ENTRADA"},
-        ratios={
-            "ocio_engagement_score": ("ocio_total_visitas_paginas", "ocio_total_transacciones"),
-            "ocio_gasto_medio_por_entrada": ("ocio_gasto_total", "ocio_total_entradas"),
-        },
-    )
+    return leisure_block(df, KEYS + (LEISURE_DETAIL if detail else []), LEISURE_SUMS, LEISURE_AVERAGES, LEISURE_RATIOS)
 
 
 def air_quality_features(df: DataFrame) -> DataFrame:
@@ -102,16 +115,7 @@ def air_quality_features(df: DataFrame) -> DataFrame:
 
 def perception_features(df: DataFrame) -> DataFrame:
     """Three averaged indices; the climate index is summed. The first input name is spelled as published."""
-    return mixed_block(
-        df,
-        KEYS,
-        averages={
-            "indice_percepcion_turistica_global": "INIDICE_PERCEPCION_TURISTICA_GLOBAL",
-            "indice_satisfaccion_productos_turisticos": "INDICE_SATISFACCION_PRODUCTOS_TURISTICOS",
-            "indice_percepcion_seguridad": "INDICE_PERCEPCION_SEGURIDAD",
-        },
-        sums={"indice_percepcion_climatica": "INDICE_PERCEPCION_CLIMATICA"},
-    )
+    return mixed_block(df, KEYS, PERCEPTION_AVERAGES, PERCEPTION_SUMS)
 
 
 def climate_features(df: DataFrame) -> DataFrame:
@@ -155,3 +159,14 @@ def build_feature_panel(
     else:
         panel = panel_join(lag_features(keyed, [PROVINCE], [YEAR, MONTH], LAGGED), [fun], KEYS)
     return panel.select(*FEATURES, *LAGGED, *KEYS)
+
+
+def run_feature_panel(
+    spark: SparkSession, src_db: str = "trusted", tgt_db: str = "exploitation", export_path: str | None = None, **options
+) -> DataFrame:
+    """Build the panel from the trusted tables and store it, as files at ``export_path`` too if given."""
+    inputs = {name: spark.table(f"{src_db}.{table}") for name, table in INPUT_TABLES.items()}
+    stored = overwrite_table(build_feature_panel(**inputs, **options), tgt_db, PANEL_TABLE)
+    if export_path:
+        stored.write.mode("overwrite").parquet(export_path)
+    return stored

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.operators.learn import score_with
 from stratalake.operators.score import (
     climate_penalty,
     predict_batch,
@@ -16,6 +17,11 @@ from stratalake.operators.score import (
 )
 
 
+def model_probability(model, columns: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+    """A fitted model as the ``probability`` argument of ``recommend_batch``."""
+    return lambda df: score_with(model, df, columns).drop("prediction")
+
+
 def recommend_batch(
     requests: DataFrame,
     features: DataFrame,

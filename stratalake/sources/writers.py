@@ -15,21 +15,33 @@ def table_exists(spark: SparkSession, db: str, table: str) -> bool:
     return spark.catalog.tableExists(f"{db}.{table}")
 
 
-def overwrite_table(df: DataFrame, db: str, table: str, fmt: str = "parquet") -> DataFrame:
+def _table_writer(df: DataFrame, fmt: str, mode: str, partition_by: Sequence[str]):
+    if partition_by:
+        # rows of one folder together; adaptive execution splits a crowded folder and merges small ones
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.format(fmt).mode(mode)
+    return writer.partitionBy(*partition_by) if partition_by else writer
+
+
+def overwrite_table(
+    df: DataFrame, db: str, table: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
+) -> DataFrame:
     """Create the database if needed, replace the table and return it."""
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    df.write.format(fmt).mode("overwrite").saveAsTable(f"{db}.{table}")
+    _table_writer(df, fmt, "overwrite", partition_by).saveAsTable(f"{db}.{table}")
     return spark.table(f"{db}.{table}")
 
 
-def append_table(df: DataFrame, db: str, table: str, fmt: str = "parquet") -> DataFrame:
+def append_table(
+    df: DataFrame, db: str, table: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
+) -> DataFrame:
     """Append by column name, creating the table when it is missing."""
     spark = df.sparkSession
     if not table_exists(spark, db, table):
-        return overwrite_table(df, db, table, fmt)
+        return overwrite_table(df, db, table, fmt, partition_by)
     target = spark.table(f"{db}.{table}")
-    df.select(target.columns).write.format(fmt).mode("append").saveAsTable(f"{db}.{table}")
+    _table_writer(df.select(target.columns), fmt, "append", partition_by).saveAsTable(f"{db}.{table}")
     return spark.table(f"{db}.{table}")
 
 
@@ -127,15 +139,8 @@ def write_partitioned(
     max_rows_per_file: int = 5_000_000,
     mode: str = "overwrite",
 ) -> DataFrame:
-    """Write ``by=`` folders and return the stored table.
-
-    The rebalance hint gathers the rows of a folder, and adaptive execution then
-    splits a folder that holds most of the rows and merges small ones, so file
-    sizes follow the data rather than a fixed task count.
-    """
-    by = list(by)
-    laid_out = df.hint("rebalance", *by)
-    laid_out.write.mode(mode).option("maxRecordsPerFile", max_rows_per_file).partitionBy(*by).parquet(path)
+    """Write ``by=`` folders of files with a bounded number of rows and return the stored table."""
+    _table_writer(df, "parquet", mode, list(by)).option("maxRecordsPerFile", max_rows_per_file).save(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from stratalake.functions.nested import document, parse_json
 from stratalake.functions.text import row_id
-from stratalake.operators.clean import split_rejects
+from stratalake.operators import clean
 from stratalake.plans.reload import reload_pending
 from stratalake.sources import readers, writers
 from stratalake.sources.literal import literal_dim
@@ -234,7 +234,7 @@ FROM lines GROUP BY 1, 2
 def reject_split(t: Tables):
     """Rejected lines go to a log that is read back."""
     lines = t.lineitem.select("l_returnflag", F.when(F.col("l_linenumber") % 3 != 0, F.col("l_quantity")).alias("qty"))
-    good, bad = split_rejects(lines, F.col("qty") > 10)
+    good, bad = clean.reject_split(lines, F.col("qty") > 10)
     path = f"{scratch_dir(t.spark)}/rejects"
     writers.log_rejects(bad, path)
     logged = readers.read_log(t.spark, path, "l_returnflag string, qty double")

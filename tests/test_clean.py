@@ -90,9 +90,9 @@ def test_filter_with_no_pairs_keeps_nothing(spark):
     assert clean.filter_pairs(df, ["a"], []).count() == 0
 
 
-def test_split_rejects_is_complete(spark, rows):
+def test_reject_split_is_complete(spark, rows):
     df = spark.createDataFrame([(1,), (None,), (5,)], "x int")
-    good, bad = clean.split_rejects(df, F.col("x") > 3)
+    good, bad = clean.reject_split(df, F.col("x") > 3)
     assert rows(good) == [(5,)]
     assert rows(bad) == sorted([(1,), (None,)], key=repr)
 

@@ -29,20 +29,18 @@ def explode_documents(
 
 # ---- municipal forecast ---------------------------------------------------
 
-# The document layout and the whole-day period code.
+# The part of the document layout that is read, and the whole-day
+# period code. The parser skips fields a schema does not name.
 WHOLE_DAY = "00-24"
-_ORIGIN = "struct<productor:string,web:string,enlace:string,language:string,copyright:string,notaLegal:string>"
-_RANGE = "struct<maxima:int,minima:int,dato:array<struct<value:int,hora:int>>>"
-MUNICIPAL_SCHEMA = f"""array<struct<origen:{_ORIGIN},elaborado:string,nombre:string,provincia:string,
-prediccion:struct<dia:array<struct<
+_RANGE = "struct<maxima:int,minima:int>"
+MUNICIPAL_SCHEMA = f"""array<struct<prediccion:struct<dia:array<struct<
 probPrecipitacion:array<struct<value:int,periodo:string>>,
 cotaNieveProv:array<struct<value:int,periodo:string>>,
 estadoCielo:array<struct<value:string,periodo:string,descripcion:string>>,
 viento:array<struct<direccion:string,velocidad:int,periodo:string>>,
 rachaMax:array<struct<value:int,periodo:string>>,
 temperatura:{_RANGE},sensTermica:{_RANGE},humedadRelativa:{_RANGE},
-uvMax:int,fecha:string>>>,
-id:bigint,version:double>>"""
+uvMax:int,fecha:string>>>>>"""
 # output column -> (array, field) picked for the whole-day period
 PERIOD_PICKS = {
     "probPrecipitacion_00_24": ("probPrecipitacion", "value"),
@@ -91,15 +89,13 @@ def flatten_municipal_forecast(
 
 # ---- beach forecast -------------------------------------------------------
 
-# The document layout, whose keys partly differ in case only, and
-# the same layout under names that stay apart without a case-sensitive session.
-_SKY = "struct<value:string,f1:int,descripcion1:string,f2:int,descripcion2:string>"
-_VALUE = "struct<value:string,valor1:int>"
-_FEEL = "struct<value:string,valor1:int,descripcion1:string>"
-_BEACH_LAYOUT = """array<struct<
-origen:struct<productor:string,web:string,language:string,copyright:string,notaLegal:string>,
-elaborado:string,nombre:string,localidad:int,
-prediccion:struct<dia:array<struct<{days}>>>,id:int>>"""
+# The part of the document layout that is read, whose keys partly
+# differ in case only, and the same layout under names that stay apart without a
+# case-sensitive session.
+_SKY = "struct<f1:int,descripcion1:string,f2:int,descripcion2:string>"
+_VALUE = "struct<valor1:int>"
+_FEEL = "struct<valor1:int,descripcion1:string>"
+_BEACH_LAYOUT = "array<struct<nombre:string,localidad:int,prediccion:struct<dia:array<struct<{days}>>>>>"
 _BEACH_DAY = [
     ("estadoCielo", "estadoCielo", _SKY),
     ("viento", "viento", _SKY),

@@ -13,7 +13,7 @@ from stratalake.sources.literal import literal_dim
 from stratalake.sources.scratch import store
 
 
-ONE_TASK_VALUES = 100_000
+ONE_TASK_VALUES = 1_000_000
 MAX_RANGES = 2000
 
 

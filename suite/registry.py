@@ -22,7 +22,9 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)  # the footer is read once per query
+        return table
 
     def work_db(self) -> str:
         """A database kept in the shared scratch folder."""

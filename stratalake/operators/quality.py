@@ -19,10 +19,24 @@ def _wanted_frame(df: DataFrame, keys: Sequence[str], wanted: Sequence) -> tuple
     return literal_dim(df.sparkSession, rows, schema), rows
 
 
+def _period(year: str, month: str) -> Column:
+    """Year and month as one number. Spark hash-aggregates numbers, but sorts rows to take the least struct."""
+    return F.col(year).cast("long") * 100 + F.col(month)
+
+
+def _bounds(first: str, last: str) -> dict[str, Column]:
+    """The numbered first and last period as separate integers."""
+    return {
+        "first_year": F.floor(F.col(first) / 100).cast("int"),
+        "first_month": (F.col(first) % 100).cast("int"),
+        "last_year": F.floor(F.col(last) / 100).cast("int"),
+        "last_month": (F.col(last) % 100).cast("int"),
+    }
+
+
 def _summarise(monthly: DataFrame, keys: list[str], wanted: Sequence | None) -> DataFrame:
     """From one row per (key, period) with before/after counts to one row per key."""
-    kept = F.col("_after") > 0
-    period = F.when(kept, F.struct(F.col("_year").alias("y"), F.col("_month").alias("m")))
+    period = F.when(F.col("_after") > 0, _period("_year", "_month"))
     per_key = monthly.groupBy(*keys).agg(
         F.sum("_before").alias("rows_before"),
         F.sum("_after").alias("rows_after"),
@@ -35,20 +49,18 @@ def _summarise(monthly: DataFrame, keys: list[str], wanted: Sequence | None) ->
         listed, _ = _wanted_frame(monthly, keys, wanted)
         # both inputs were cut to the wanted keys, so per_key is no longer than that list
         per_key = listed.join(F.broadcast(per_key), keys, "left")
-    per_key = per_key.fillna(0, subset=["rows_before", "rows_after", "months_present"])
-    expected = months_spanned(F.col("_first.y"), F.col("_first.m"), F.col("_last.y"), F.col("_last.m"))
-    return per_key.select(
+    counted = per_key.fillna(0, subset=["rows_before", "rows_after", "months_present"])
+    bounds = _bounds("_first", "_last")
+    expected = F.coalesce(months_spanned(*bounds.values()), F.lit(0)).cast("long")
+    return counted.select(
         *keys,
         "rows_before",
         (F.col("rows_before") - F.col("rows_after")).alias("rows_dropped"),
         "rows_after",
         "months_present",
-        F.coalesce(expected, F.lit(0)).cast("long").alias("months_expected"),
-        (F.coalesce(expected, F.lit(0)) - F.col("months_present")).cast("long").alias("months_missing"),
-        F.col("_first.y").alias("first_year"),
-        F.col("_first.m").alias("first_month"),
-        F.col("_last.y").alias("last_year"),
-        F.col("_last.m").alias("last_month"),
+        expected.alias("months_expected"),
+        (expected - F.col("months_present")).alias("months_missing"),
+        *[c.alias(name) for name, c in bounds.items()],
         F.when(F.col("rows_after") > 0, "ok").otherwise("no data").alias("status"),
     )
 
@@ -116,18 +128,9 @@ def coverage_check(df: DataFrame, key: str, wanted: Sequence) -> DataFrame:
 def first_last_period(df: DataFrame, keys: str | Sequence[str], year: str, month: str) -> DataFrame:
     """First and last (year, month) per key, without a sort."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    period = F.struct(F.col(year).alias("y"), F.col(month).alias("m"))
-    return (
-        df.groupBy(*keys)
-        .agg(F.min(period).alias("_first"), F.max(period).alias("_last"))
-        .select(
-            *keys,
-            F.col("_first.y").alias("first_year"),
-            F.col("_first.m").alias("first_month"),
-            F.col("_last.y").alias("last_year"),
-            F.col("_last.m").alias("last_month"),
-        )
-    )
+    period = _period(year, month)
+    found = df.groupBy(*keys).agg(F.min(period).alias("_first"), F.max(period).alias("_last"))
+    return found.select(*keys, *[c.alias(name) for name, c in _bounds("_first", "_last").items()])
 
 
 def distinct_periods(df: DataFrame, keys: str | Sequence[str], year: str, month: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stratalake.functions.chance import clip, percent_text, sigmoid
 from stratalake.operators.aggregate import mean_by
 from stratalake.sources.literal import literal_dim
+from stratalake.sources.scratch import store
 
 # ---- fixed values ---------------------------------------------------------
 
@@ -45,15 +46,23 @@ def season_bias_rows(bias: Mapping = SEASON_BIAS) -> list[tuple[str, int, float]
 
 # ---- feature lookup -------------------------------------------------------
 
+def _look_up(requests: DataFrame, lookup: DataFrame, place: str, date: str) -> DataFrame:
+    """Left-join requests to a table keyed by (place, month).
+
+    The table has at most twelve rows per place. It is stored first, so Spark knows
+    its size and broadcasts it when small; requests then do not move at all.
+    """
+    dated = requests.withColumns({"year": F.year(date), "month": F.month(date)})
+    known = store(lookup, "lookup").withColumn("found", F.lit(True))
+    return dated.join(known, [place, "month"], "left").withColumn("found", F.coalesce("found", F.lit(False)))
+
+
 def score_lookup(
     requests: DataFrame, features: DataFrame, place: str, date: str, columns: Sequence[str], feature_month: str = "month"
 ) -> DataFrame:
     """Add ``year``, ``month`` and the place's mean features for that month; NULL where there are none."""
-    dated = requests.withColumns({"year": F.year(date), "month": F.month(date)})
     monthly = mean_by(features.withColumnRenamed(feature_month, "month"), [place, "month"], columns)
-    return dated.join(monthly.withColumn("found", F.lit(True)), [place, "month"], "left").withColumn(
-        "found", F.coalesce("found", F.lit(False))
-    )
+    return _look_up(requests, monthly, place, date)
 
 
 def score_month_fallback(
@@ -66,28 +75,23 @@ def score_month_fallback(
     months of a place are resolved up front, so requests are joined once.
     """
     rows = features.withColumnRenamed(feature_month, "month")
+    # the median may fall between two months, hence the comparison as doubles
     monthly = mean_by(rows, [place, "month"], columns).withColumnRenamed("month", "used_month")
-    # The median buffer counts values, and there are at most twelve months.
+    monthly = monthly.withColumn("used_month", F.col("used_month").cast("double"))
+    month = F.col("month")
+    # The set and the median buffer hold at most twelve values.
     calendar = (
         rows.groupBy(place)
         .agg(F.collect_set("month").alias("_present"), F.median("month").alias("_median"))
         .withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12))))
         .withColumn(
             "used_month",
-            F.when(F.array_contains("_present", F.col("month")), F.col("month").cast("double")).otherwise(
-                F.col("_median")
-            ),
+            F.when(F.array_contains("_present", month), month.cast("double")).otherwise(F.col("_median")),
         )
         .select(place, "month", "used_month")
     )
-    # the median may fall between two months, hence the comparison as doubles
-    resolved = calendar.join(
-        monthly.withColumn("used_month", F.col("used_month").cast("double")), [place, "used_month"], "inner"
-    ).withColumn("used_month", F.col("used_month").cast("int"))
-    dated = requests.withColumns({"year": F.year(date), "month": F.month(date)})
-    return dated.join(resolved.withColumn("found", F.lit(True)), [place, "month"], "left").withColumn(
-        "found", F.coalesce("found", F.lit(False))
-    )
+    resolved = calendar.join(monthly, [place, "used_month"])
+    return _look_up(requests, resolved.withColumn("used_month", F.col("used_month").cast("int")), place, date)
 
 
 # ---- probability ----------------------------------------------------------

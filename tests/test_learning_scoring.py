@@ -29,8 +29,10 @@ def test_quantiles_ignore_null_and_nan(spark):
     assert ordered.exact_quantiles(_values(spark, [None, float("nan")]), "x", [0.5]) == [None]
 
 
-def test_bracketed_quantiles_equal_plain_ones(spark):
+@pytest.mark.parametrize("one_task", [50, 1_000_000])
+def test_bracketed_quantiles_equal_plain_ones(spark, monkeypatch, one_task):
     """A third of the rows share one value, and the brackets are taken from a sketch."""
+    monkeypatch.setattr(ordered, "ONE_TASK_VALUES", one_task)
     rng = random.Random(3)
     xs = [7.0 if i % 3 == 0 else round(rng.gauss(0, 100), 2) for i in range(20_000)]
     probs = [0.0, 0.05, 0.33, 0.5, 0.66, 1.0]
@@ -82,6 +84,14 @@ def test_auc_equals_pair_count(spark, pairs):
     assert got is None if want is None else abs(got - want) < 1e-12
 
 
+def test_auc_over_many_ranges_with_a_hot_score(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "ONE_TASK_VALUES", 10)
+    rng = random.Random(11)
+    pairs = [(rng.randint(0, 1), 0.5 if i % 3 == 0 else round(rng.random(), 3)) for i in range(1500)]
+    got = evaluate.eval_auc(spark.createDataFrame(pairs, "y int, s double"), "y", "s").first()["auc"]
+    assert abs(got - _auc(pairs)) < 1e-12
+
+
 def test_auc_with_ties(spark):
     df = spark.createDataFrame([(0, 0.1), (0, 0.4), (1, 0.4), (1, 0.8)], "y int, s double")
     assert evaluate.eval_auc(df, "y", "s").first()["auc"] == 0.875

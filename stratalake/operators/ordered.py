@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from math import ceil, inf, isfinite
+from operator import or_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
@@ -67,40 +69,47 @@ def _present(df: DataFrame, column: str) -> DataFrame:
     return df.select(v.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
+def _values_at(values: DataFrame, ranks: Sequence[int], n: int) -> list[float | None]:
+    """The values of ``v`` at the given ranks among at most ``n`` rows; NULL beyond the last rank."""
+    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    if n <= ONE_TASK_VALUES:
+        totals = _totals_in_one_task(counts, "v", ["n"])
+    else:
+        totals = running_totals(store(counts, "value_counts"), "v", ["n"])
+    upto = F.col("n_before") + F.col("n")
+    return list(totals.agg(*[F.min(F.when(upto >= k, F.col("v"))).alias(f"q{i}") for i, k in enumerate(ranks)]).first())
+
+
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], slack: float = 0.002) -> list[float | None]:
     """Discrete quantiles: the value at rank ``ceil(p * n)``, ignoring NULL and NaN.
 
-    On a large table a sketch first brackets each quantile; only the values inside
-    the brackets are then counted one by one, so the table is scanned but hardly
-    shuffled. A small one is counted whole.
+    The pass that counts the rows also sketches a bracket around each quantile.
+    On a large table only values inside the brackets are then counted one by one,
+    so the table is scanned but hardly shuffled; a small one is counted whole.
     """
     values = _present(df, column)
-    n = values.count()
+    ends = [p + side * 2 * slack for p in probs for side in (-1, 1)]
+    sketch = F.percentile_approx("v", [min(max(e, 0.0), 1.0) for e in ends], ceil(1 / slack))
+    n, found = values.agg(F.count(F.lit(1)), sketch).first()
     if n == 0:
         return [None for _ in probs]
     # round() drops the float noise of p * n before the ceiling is taken
     ranks = [max(ceil(round(p * n, 6)), 1) for p in probs]
     if n * slack >= 1000:
-        ends = [p + side * 2 * slack for p in probs for side in (-1, 1)]
-        found = values.approxQuantile("v", [min(max(e, 0.0), 1.0) for e in ends], slack)
         found = [-inf if e <= 0 else inf if e >= 1 else x for e, x in zip(ends, found, strict=True)]
-        inside = F.lit(False)
-        for low, high in zip(found[::2], found[1::2], strict=True):
-            inside = inside | F.col("v").between(low, high)
+        lows, highs = found[::2], found[1::2]
+        inside = reduce(or_, [F.col("v").between(low, high) for low, high in zip(lows, highs, strict=True)])
         # values outside all brackets only count towards the ranks
-        skipped = values.agg(*[F.count_if((F.col("v") < low) & ~inside) for low in found[::2]]).first()
-        ranks = [k - s for k, s in zip(ranks, skipped, strict=True)]
-        values = values.filter(inside)
-    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    if n <= ONE_TASK_VALUES:
-        totals = _totals_in_one_task(counts, "v", ["n"])
-    else:
-        totals = running_totals(store(counts, "value_counts"), "v", ["n"])
-    upto = F.col("n_before") + F.col("n")
-    row = totals.agg(
-        *[F.min(F.when(upto >= k, F.col("v"))).alias(f"q{i}") for i, k in enumerate(ranks)]
-    )
-    return list(row.first())
+        n_inside, *skipped = values.agg(
+            F.count_if(inside), *[F.count_if((F.col("v") < low) & ~inside) for low in lows]
+        ).first()
+        shifted = [k - s for k, s in zip(ranks, skipped, strict=True)]
+        quantiles = _values_at(values.filter(inside), shifted, n_inside)
+        # A sketch worse than its error bound would show here; then everything is counted.
+        checks = zip(shifted, quantiles, lows, highs, strict=True)
+        if all(k >= 1 and q is not None and low <= q <= high for k, q, low, high in checks):
+            return quantiles
+    return _values_at(values, ranks, n)
 
 
 def quantile_thresholds(

@@ -40,6 +40,14 @@ def test_bracketed_quantiles_equal_plain_ones(spark, monkeypatch, one_task):
     assert got == [_disc(xs, p) for p in probs]
 
 
+def test_quantiles_survive_a_useless_sketch(spark, monkeypatch):
+    """Brackets that miss the quantiles are noticed."""
+    xs = [float(i) for i in range(5000)]
+    wrong = F.array(*[F.lit(float(v)) for v in (10, 20, 4990, 4995)])
+    monkeypatch.setattr(ordered.F, "percentile_approx", lambda *args: F.first(wrong))
+    assert ordered.exact_quantiles(_values(spark, xs), "x", [0.33, 0.66], slack=0.1) == [_disc(xs, 0.33), _disc(xs, 0.66)]
+
+
 @pytest.mark.parametrize("ranges", [None, 2, 7, 64])
 def test_running_totals_do_not_depend_on_ranges(spark, rows, ranges):
     rng = random.Random(5)

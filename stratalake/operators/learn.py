@@ -15,6 +15,8 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.sources.literal import literal_dim
+
 # The tree settings to search, and the best point found.
 FULL_GRID = {
     "maxDepth": [3, 5, 7],
@@ -103,7 +105,7 @@ def grid_results(model: CrossValidatorModel, spark) -> DataFrame:
         (i, json.dumps({p.name: v for p, v in point.items()}, sort_keys=True), float(auc))
         for i, (point, auc) in enumerate(zip(model.getEstimatorParamMaps(), model.avgMetrics, strict=True))
     ]
-    return spark.createDataFrame(rows, "point int, settings string, mean_auc double")
+    return literal_dim(spark, rows, "point int, settings string, mean_auc double")
 
 
 def score_with(model, df: DataFrame, features: Sequence[str], threshold: float = 0.5) -> DataFrame:

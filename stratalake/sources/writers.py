@@ -95,14 +95,25 @@ def upsert_merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     return untouched.unionByName(keyless).unionByName(checked.select(target.columns))
 
 
+def _finish_swap(spark: SparkSession, db: str, table: str) -> None:
+    """Complete a swap that stopped after the old table gave up its name; the new one was whole by then."""
+    if not table_exists(spark, db, table):
+        for copy in (f"{table}__next", f"{table}__old"):
+            if table_exists(spark, db, copy):
+                spark.sql(f"ALTER TABLE {db}.{copy} RENAME TO {db}.{table}")
+                return
+
+
 def upsert_table(source: DataFrame, db: str, table: str, keys: Sequence[str], fmt: str = "parquet") -> DataFrame:
     """Merge a frame into a stored table, creating it when missing.
 
     Formats with row-level operations get a MERGE statement. Plain files cannot
     be merged or read while overwritten, so the merged rows go to a second table
-    that then takes the name; the old one is dropped last, so no step loses data.
+    that then takes the name. The old one is dropped last, and a run that stopped
+    in between is completed by the next one, so no step loses data.
     """
     spark = source.sparkSession
+    _finish_swap(spark, db, table)
     if not table_exists(spark, db, table):
         return overwrite_table(source, db, table, fmt)
     full = f"{db}.{table}"

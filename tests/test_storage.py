@@ -56,6 +56,14 @@ def test_upsert_table_creates_then_merges(spark, rows, db):
     assert {t.name for t in spark.catalog.listTables(db)} == {"t"}
 
 
+@pytest.mark.parametrize("stopped_with", [["t__next", "t__old"], ["t__old"]])
+def test_upsert_table_completes_a_stopped_swap(spark, rows, db, stopped_with):
+    for name in stopped_with:
+        writers.overwrite_table(_frame(spark, [(1, name)]), db, name)
+    stored = writers.upsert_table(_frame(spark, [(2, "b")]), db, "t", ["k"])
+    assert rows(stored) == [(1, stopped_with[0]), (2, "b")]
+
+
 def test_append_matches_columns_by_name(spark, rows, db):
     writers.append_table(_frame(spark, [(1, "a")]), db, "t")
     stored = writers.append_table(_frame(spark, [(2, "b")]).select("v", "k"), db, "t")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm import jaccard
+from stratalake.llm import bpe, jaccard, tokencount
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,13 @@ def query(sql: str | None = None):
     return wrap
 
 
+def tokenizer(name: str) -> str:
+    """Where the file of a public tokenizer lies, here and on the executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
@@ -60,3 +67,16 @@ SQL_WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
 def op1_jaccard_join(spark, folder):
     """One row per document with its group; a copy stands for its class, so no pairs of copies are made."""
     return jaccard.jaccard_groups(documents(spark, folder)).select("doc_id", "n_shingles", "component_id")
+
+
+@query()
+def op5_token_counts(spark, folder):
+    """Tokens of every document and whether they are more than fit a context of 1,024."""
+    return tokencount.token_counts(documents(spark, folder), tokenizer("byte_bpe_50k.json"), limit=1024)
+
+
+@query()
+def op6_bpe_round_trip(spark, folder):
+    """Digests of every document's ids and of the text they decode to."""
+    path = tokenizer("byte_bpe_50k.json")
+    return bpe.digests(bpe.decode(bpe.encode(documents(spark, folder), path), path))

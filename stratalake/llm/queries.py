@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm import bpe, jaccard, tokencount
+from stratalake.llm import bpe, jaccard, repeats, tokencount
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,31 @@ def op6_bpe_round_trip(spark, folder):
     """Digests of every document's ids and of the text they decode to."""
     path = tokenizer("byte_bpe_50k.json")
     return bpe.digests(bpe.decode(bpe.encode(documents(spark, folder), path), path))
+
+
+@query(
+    rf"""
+    WITH words AS (
+        SELECT doc_id, {SQL_WORDS.format("text")} AS w FROM documents
+    ), windows AS (
+        SELECT doc_id, unnest(range(1, len(w) - 18)) AS i, w FROM words
+    ), later AS (
+        SELECT doc_id, i
+        FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(w[i:i + 19], ' ') ORDER BY doc_id, i) AS r FROM windows)
+        WHERE r > 1
+    ), gone AS (
+        SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later
+    ), each_word AS (
+        SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM words
+    ), kept AS (
+        SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.i) AS text, count(*) AS n
+        FROM each_word e LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.i = e.i
+        WHERE g.i IS NULL GROUP BY e.doc_id
+    )
+    SELECT words.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM words LEFT JOIN kept ON kept.doc_id = words.doc_id
+    """
+)
+def op9_substring_dedup(spark, folder):
+    """Every document without the 20-word windows that occur earlier."""
+    return repeats.without_repeats(documents(spark, folder)).select("doc_id", "n_words", "n_removed", "kept_sha256")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm import bpe, jaccard, repeats, tokencount
+from stratalake.llm import bpe, jaccard, outliers, repeats, tokencount
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,3 +108,83 @@ def op6_bpe_round_trip(spark, folder):
 def op9_substring_dedup(spark, folder):
     """Every document without the 20-word windows that occur earlier."""
     return repeats.without_repeats(documents(spark, folder)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def _quality_sql(least: int = 200, share: float = 0.75, rounds: int = 4, usual: float = 12.83, cut: float = 50.0) -> str:
+    """The same estimates round by round; the formulas come from the module, the scans, bins and joins are spelled out here."""
+    xs = outliers.DIMENSIONS
+    columns = ", ".join(outliers.factor_columns())
+
+    def factors(name: str, source: str) -> str:
+        sql = "SELECT pool, " + ", ".join(f"{f} AS {n}" for n, f in outliers.moments_sql()) + f" FROM {source} GROUP BY pool"
+        for n, f in outliers.cholesky_steps():
+            sql = f"SELECT *, {f} AS {n} FROM ({sql})"
+        return f"{name} AS MATERIALIZED (SELECT pool, {columns} FROM ({sql}))"
+
+    def near(k: int, within: float) -> list[str]:
+        return [
+            f"d{k} AS MATERIALIZED (SELECT p.*, {outliers.distance_sql()} AS d2 FROM passed p JOIN f{k} USING (pool))",
+            f"b{k} AS MATERIALIZED (SELECT *, floor(ln(1 + d2) * {outliers.BINS})::BIGINT AS bin FROM d{k})",
+            f"""t{k} AS MATERIALIZED (
+                SELECT pool, min(bin) AS most FROM (
+                    SELECT pool, bin, sum(c) OVER (PARTITION BY pool ORDER BY bin) AS upto, sum(c) OVER (PARTITION BY pool) AS n
+                    FROM (SELECT pool, bin, count(*) AS c FROM b{k} GROUP BY pool, bin))
+                WHERE upto >= {share} * n GROUP BY pool)""",
+            factors(f"f{k + 1}", f"(SELECT b{k}.* FROM b{k} JOIN t{k} USING (pool) WHERE bin <= most OR d2 <= {within})"),
+        ]
+
+    start = []
+    for i, x in enumerate(xs):
+        start.append(
+            f"""q{i} AS (
+                SELECT pool, min(CASE WHEN upto >= 0.25 * n THEN (bin + 0.5) / {outliers.BINS} END) AS lo,
+                    min(CASE WHEN upto >= 0.5 * n THEN (bin + 0.5) / {outliers.BINS} END) AS mid,
+                    min(CASE WHEN upto >= 0.75 * n THEN (bin + 0.5) / {outliers.BINS} END) AS hi
+                FROM (SELECT pool, bin, sum(c) OVER (PARTITION BY pool ORDER BY bin) AS upto, sum(c) OVER (PARTITION BY pool) AS n
+                    FROM (SELECT pool, floor({x} * {outliers.BINS})::BIGINT AS bin, count(*) AS c FROM passed GROUP BY 1, 2))
+                GROUP BY pool)"""
+        )
+    first = ", ".join(f"q{i}.mid AS m_{i}" for i in range(len(xs)))
+    for i, x in enumerate(xs):
+        for j in range(i + 1):
+            scale = f"1 / sqrt(power((q{i}.hi - q{i}.lo) / 1.349, 2) + {outliers.TRANSFORMS[x][1] ** 2})"
+            first += f", {scale if i == j else '0.0'} AS r_{i}{j}"
+    joins = "".join(f" JOIN q{i} USING (pool)" for i in range(1, len(xs)))
+    steps = [s for k in range(rounds) for s in near(k, 0.0)] + near(rounds, usual)
+    return rf"""
+    WITH split AS MATERIALIZED (
+        SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text, {SQL_WORDS.format("text")} AS w,
+            list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^ 	-
+]')) AS lines
+        FROM documents
+    ), windows AS (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS times FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM split)
+    ), repeated AS (
+        SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE times > 1) GROUP BY doc_id
+    ), counted AS MATERIALIZED (
+        SELECT s.doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+            length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+            len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+        FROM split s LEFT JOIN repeated r ON r.doc_id = s.doc_id
+    ), stats AS MATERIALIZED (
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {", ".join(f"({sql})::DOUBLE AS {x}" for x, (sql, _) in outliers.TRANSFORMS.items())}
+        FROM counted
+    ), sizes AS (
+        SELECT lang, source, count(*) AS n FROM stats WHERE NOT base_failed GROUP BY lang, source
+    ), pools AS (
+        SELECT lang, source, CASE WHEN n >= {least} THEN 'source ' || lang || ' ' || source
+            WHEN sum(CASE WHEN n < {least} THEN n ELSE 0 END) OVER (PARTITION BY lang) >= {least} THEN 'lang ' || lang ELSE 'rest' END AS pool
+        FROM sizes
+    ), passed AS MATERIALIZED (
+        SELECT doc_id, pool, {", ".join(xs)} FROM stats JOIN pools USING (lang, source) WHERE NOT base_failed
+    ), {", ".join(start)}, f0 AS MATERIALIZED (SELECT pool, {first} FROM q0{joins}), {", ".join(steps)},
+    judged AS (SELECT p.doc_id, {outliers.distance_sql()} AS d2 FROM passed p JOIN f{rounds + 1} USING (pool))
+    SELECT s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(d2 <= {cut}, false) AS kept
+    FROM stats s LEFT JOIN judged j ON j.doc_id = s.doc_id
+    """
+
+
+@query(_quality_sql())
+def op3_quality_rules(spark, folder):
+    """Fixed rules and robust outliers of every document's statistics, by language and source."""
+    return outliers.quality_verdicts(documents(spark, folder)).drop("distance")

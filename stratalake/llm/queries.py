@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm import bpe, jaccard, outliers, repeats, tokencount
+from stratalake.llm import bpe, jaccard, language, outliers, repeats, tokencount, urlmodel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -154,8 +154,7 @@ def _quality_sql(least: int = 200, share: float = 0.75, rounds: int = 4, usual:
     return rf"""
     WITH split AS MATERIALIZED (
         SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text, {SQL_WORDS.format("text")} AS w,
-            list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^ 	-
-]')) AS lines
+            [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
         FROM documents
     ), windows AS (
         SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS times FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM split)
@@ -188,3 +187,18 @@ def _quality_sql(least: int = 200, share: float = 0.75, rounds: int = 4, usual:
 def op3_quality_rules(spark, folder):
     """Fixed rules and robust outliers of every document's statistics, by language and source."""
     return outliers.quality_verdicts(documents(spark, folder)).drop("distance")
+
+
+URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
+
+
+@query()
+def op4_url_filters(spark, folder):
+    """Every page's URL by the rules, or by character models where none fits."""
+    return urlmodel.judge_urls(spark.read.parquet(f"{folder}/pages.parquet"), URL_RULES)
+
+
+@query()
+def op7_language_id(spark, folder):
+    """Every document's language, learnt from the documents that are not held out."""
+    return language.identify_languages(documents(spark, folder), tokenizer("piece_bpe_32k.model"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm import bpe, jaccard, language, outliers, repeats, tokencount, urlmodel
+from stratalake.llm import bpe, jaccard, language, outliers, repeats, tokencount, toxicity, urlmodel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -202,3 +202,10 @@ def op4_url_filters(spark, folder):
 def op7_language_id(spark, folder):
     """Every document's language, learnt from the documents that are not held out."""
     return language.identify_languages(documents(spark, folder), tokenizer("piece_bpe_32k.model"))
+
+
+@query()
+def op10_toxicity(spark, folder):
+    """Every document's toxicity, learnt from the labels that are not held out."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return toxicity.score_toxicity(documents(spark, folder), labels).drop("segments")

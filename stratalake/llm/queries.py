@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm import bpe, jaccard, language, outliers, repeats, tokencount, toxicity, urlmodel
+from stratalake.llm import ann, bpe, jaccard, language, outliers, repeats, tokencount, toxicity, urlmodel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -209,3 +209,9 @@ def op10_toxicity(spark, folder):
     """Every document's toxicity, learnt from the labels that are not held out."""
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     return toxicity.score_toxicity(documents(spark, folder), labels).drop("segments")
+
+
+@query()
+def op8_nearest_neighbours(spark, folder):
+    """The 20 nearest vectors found for every twentieth one."""
+    return ann.nearest(spark.read.parquet(f"{folder}/embeddings.parquet"))

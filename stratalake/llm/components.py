@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.sources.scratch import store
+from stratalake.sources.scratch import discard, store
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -26,13 +26,16 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     before = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        old = [edges]
         least = store(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = store(large.where("u != v").distinct(), "large")
+        old += [least, large]
         least = store(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         edges = store(small.where("u != v").distinct(), "edges")
+        discard(*old, least)
         # Both steps leave the components as they are, so equal links mean that they are stars.
         state = edges.agg(F.count("*"), F.coalesce(F.expr("sum(cast(xxhash64(u, v) as decimal(38,0)))"), F.lit(0))).first()
         if before == state:

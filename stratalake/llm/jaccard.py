@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from stratalake.llm.components import connected_components
 from stratalake.llm.wordhash import Words, mix, range_hashes, salted, signed, slices
-from stratalake.sources.scratch import store
+from stratalake.sources.scratch import discard, store
 
 SKETCH_WORDS = 8
 PROFILE = T.StructType(
@@ -167,7 +167,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     sets = store(sets, "sets")
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("x")), "a")
     both = both.join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("y")), "b")
-    return store(both.select("a", "b", "x", "y").mapInArrow(_similar(percent), "a long, b long"), "links")
+    links = store(both.select("a", "b", "x", "y").mapInArrow(_similar(percent), "a long, b long"), "links")
+    discard(sets)
+    return links
 
 
 def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
@@ -198,9 +200,10 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rep_of = store(base.select("doc_id", "n", "fp1", "fp2").join(kinds, ["n", "fp1", "fp2"]).select("doc_id", "rep").distinct(), "rep_of")
     bucket = Window.partitionBy("sig")
     rows = base.select("doc_id", F.explode("signatures").alias("sig"))
-    shared = store(rows.withColumn("c", F.count("*").over(bucket)).where("c > 1").select("sig", "doc_id"), "shared")
-    shared = shared.join(rep_of, "doc_id").select("sig", "rep").distinct()
+    company = store(rows.withColumn("c", F.count("*").over(bucket)).where("c > 1").select("sig", "doc_id"), "shared")
+    shared = company.join(rep_of, "doc_id").select("sig", "rep").distinct()
     shared = store(shared.withColumn("c", F.count("*").over(bucket)).where("c > 1"), "buckets")
+    discard(company)
 
     # The member with most company over all its buckets is the likeliest original.
     company = store(shared.groupBy("rep").agg(F.sum("c").alias("weight")), "company")

@@ -198,9 +198,8 @@ def _predict(pieces: list[str], langs: list[str], chances: np.ndarray):
                     best = int(row.argmax())
                     names.append(langs[best])
                     scores.append(float(1 / np.exp(row - row[best]).sum()))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"]
-                )
+                out = [part.column(0), part.column(2), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+                yield pa.RecordBatch.from_arrays([*out, *part.columns[3:]], names=["doc_id", "held_out", "lang_pred", "score", "row"][: len(out) + len(part.columns) - 3])
 
     return predict
 
@@ -211,7 +210,7 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
 
 
 def identify_languages(
-    df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", parts: int = 4, part: int = 2
+    df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", parts: int = 4, part: int = 2, carry: bool = False
 ) -> DataFrame:
     """``doc_id, held_out, lang_pred, score``: each text's language and how sure that is (0 to 1).
 
@@ -221,12 +220,13 @@ def identify_languages(
     language if all are equally likely beforehand.
 
     A null text or one without letters is ``und`` with score 0, and so is any text if no language could be learnt. Ties go to
-    the language that sorts first. Null languages are not learnt from. Repeated rows are judged alike. An empty table gives no rows.
+    the language that sorts first. With ``carry`` a column ``row`` holds the input row. Null languages are not learnt from. Repeated rows are judged alike. An empty table gives no rows.
     """
     pieces = read_pieces(path)
+    row = [F.struct(*df.columns).alias("row")] if carry else []
     kind = df.schema[id_col].dataType.simpleString()
-    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), held_out(F.col(id_col), parts, part).alias("held_out"))
-    langs, chances = learn(docs.where("NOT held_out AND lang IS NOT NULL AND text IS NOT NULL"), pieces)
-    return docs.select("doc_id", "text", "held_out").mapInArrow(
-        _predict(pieces, langs, chances), f"doc_id {kind}, held_out boolean, lang_pred string, score double"
-    )
+    known = df.where(~held_out(F.col(id_col), parts, part)).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    langs, chances = learn(known.where("lang IS NOT NULL AND text IS NOT NULL"), pieces)
+    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out(F.col(id_col), parts, part).alias("held_out"), *row)
+    carried = f", row {docs.schema['row'].dataType.simpleString()}" if carry else ""
+    return docs.mapInArrow(_predict(pieces, langs, chances), f"doc_id {kind}, held_out boolean, lang_pred string, score double{carried}")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratalake.llm import ann, bpe, jaccard, language, outliers, repeats, tokencount, toxicity, urlmodel
+from stratalake.llm import ann, bpe, jaccard, language, mixing, outliers, repeats, tokencount, toxicity, urlmodel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -215,3 +216,38 @@ def op10_toxicity(spark, folder):
 def op8_nearest_neighbours(spark, folder):
     """The 20 nearest vectors found for every twentieth one."""
     return ann.nearest(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+def _mixing_sql(rounds: int = mixing.ROUNDS, temper: float = mixing.TEMPER) -> str:
+    topic = "CASE " + " ".join(f"WHEN regexp_matches(coalesce(text, ''), '{p}') THEN '{n}'" for n, p in mixing.TOPICS.items()) + " ELSE 'prose' END"
+    step, shares = "cells", []
+    for m in mixing.MARGINS:
+        shares.append(f"share_{m} AS (SELECT {m}, pow(t, {temper}) / sum(pow(t, {temper})) OVER () AS share FROM (SELECT {m}, sum(tokens) AS t FROM cells GROUP BY {m}))")
+    steps = []
+    for r in range(rounds):
+        for m in mixing.MARGINS:
+            name = f"w{r}_{m}"
+            steps.append(
+                f"{name} AS MATERIALIZED (SELECT c.* REPLACE (f * CASE WHEN s > 0 THEN share * total / s ELSE 1 END AS f) FROM "
+                f"(SELECT *, sum(tokens * f) OVER (PARTITION BY {m}) AS s_{r}_{m} FROM {step}) c JOIN share_{m} USING ({m}), LATERAL (SELECT s_{r}_{m} AS s))"
+            )
+            step = name
+    return f"""
+    WITH rows AS MATERIALIZED (
+        SELECT doc_id, len({SQL_WORDS.format("text")}) AS n_tokens, coalesce(source, '') AS source, coalesce(lang, '') AS lang, {topic} AS topic,
+            ('0x' || md5(doc_id::VARCHAR)[1:13])::BIGINT / 4503599627370496.0::DOUBLE AS u
+        FROM documents
+    ), cells AS MATERIALIZED (
+        SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens, 1.0::DOUBLE AS f, (SELECT sum(n_tokens) FROM rows)::DOUBLE AS total FROM rows GROUP BY ALL
+    ), {", ".join(shares)}, {", ".join(steps)},
+    chance AS (SELECT source, lang, topic, f, least(1.0, f / (SELECT max(f) FROM {step} WHERE tokens > 0)) AS p FROM {step})
+    SELECT doc_id, n_tokens, topic, round(f, 6) AS weight, round(p, 6) AS probability, u < p AS selected
+    FROM rows JOIN chance USING (source, lang, topic)
+    """
+
+
+@query(_mixing_sql())
+def op2_mixing(spark, folder):
+    """Every document's weight and whether it is in a sample of tempered shares of sources, languages and topics."""
+    rows = mixing.mix(documents(spark, folder))
+    return rows.select("row.doc_id", "n_tokens", "topic", F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "selected")

@@ -158,15 +158,14 @@ def _cut(length: int):
                     kept.append(None if text is None else raw.decode())
                     digests.append(hashlib.sha256(b" ".join(left)).hexdigest())
                     removed.append(int(gone.sum()))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts.astype(np.int64)), pa.array(removed, pa.int64()), pa.array(digests), pa.array(kept, pa.string())],
-                    names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"],
-                )
+                out = [part.column(0), pa.array(counts.astype(np.int64)), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.string())]
+                names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "row"]
+                yield pa.RecordBatch.from_arrays([*out, *part.columns[3:]], names=names[: len(out) + len(part.columns) - 3])
 
     return cut
 
 
-def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 20) -> DataFrame:
+def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 20, carry: bool = False) -> DataFrame:
     """Every document without the words of windows of ``length`` words that start earlier in the corpus.
 
     Earlier means in a document of smaller id or further up in the same one; windows are judged on the
@@ -183,7 +182,7 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Null and empty texts have no words and stay. Rows without id take no part and stay whole. Equal rows of one id
     don't remove each other; different texts of one id are told apart by a hash of their words. Texts of fewer words than ``length``
-    have no windows. An empty table gives no rows.
+    have no windows. With ``carry`` a column ``row`` holds the other input columns. An empty table gives no rows.
     """
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sequences = store(docs.mapInArrow(_sequences, "doc_id long, n long, one long, two long"), "sequences")
@@ -209,4 +208,9 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = found.select("doc_id", "place", F.expr("local | bits").alias("windows")).where("windows != 0")
     spans = found.union(whole).groupBy("doc_id").agg(F.collect_list(F.struct("place", "windows")).alias("found"))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
-    return docs.join(store(spans, "spans"), "doc_id", "left").select("doc_id", "text", "found").mapInArrow(_cut(length), schema)
+    row = []
+    if carry:
+        others = [c for c in df.columns if c not in (id_col, text_col)]
+        docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.struct(*others, F.lit(0).alias("_")).alias("row"))
+        schema, row = f"{schema}, row {docs.schema['row'].dataType.simpleString()}", ["row"]
+    return docs.join(store(spans, "spans"), "doc_id", "left").select("doc_id", "text", "found", *row).mapInArrow(_cut(length), schema)

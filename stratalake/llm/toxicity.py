@@ -14,9 +14,12 @@ from stratalake.llm.wordhash import slices
 from stratalake.sources.scratch import store
 
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Most labelled rows and scored words the model is made from and of.
+#: Most labelled rows and scored tokens the model is made from and of.
 MAX_LABELLED = 20_000
 MAX_WORDS = 50_000
+#: A word's tokens are itself and its beginnings of these lengths (with a hyphen), so that inflected words share one.
+STEMS = range(4, 9)
+CACHED = 300_000
 #: Weight of the prior, in contexts; least significance of a word; cost of each other word.
 PRIOR = 20.0
 LEAST_Z = 4.0
@@ -54,12 +57,28 @@ class Model:
 
     def __init__(self, gains: dict[str, float], rate: float = 1.0, size: float = 1.0, weights: tuple[float, float] = (0.0, 0.0)):
         self.gains, self.rate, self.size, self.weights = gains, rate, size, weights
+        self.known: dict[str, float] = {}
 
-    def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
+    def gain(self, word: str) -> float:
+        """Of the longest token of the word that has one."""
+        tokens = [word, *(word[:k] + "-" for k in reversed(STEMS) if k < len(word))]
+        return next((g for t in tokens if (g := self.gains.get(t)) is not None), 0.0)
+
+    def hits(self, text: str | None) -> tuple[int, list[int], list[float]]:
+        """The number of words, and where those with a gain stand."""
         words = LETTERS.findall((text or "").lower())
-        gains = self.gains
-        places = [i for i, w in enumerate(words) if w in gains]
-        return len(words), maximal_segments(places, [gains[words[i]] for i in places], DRIFT) if places else []
+        known = self.known
+        if len(known) > CACHED:
+            known.clear()
+        for w in set(words).difference(known):
+            known[w] = self.gain(w)
+        gains = [known[w] for w in words]
+        places = [i for i, g in enumerate(gains) if g]
+        return len(words), places, [gains[i] for i in places]
+
+    def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
+        n, places, gains = self.hits(text)
+        return n, maximal_segments(places, gains, DRIFT)
 
     def surprise(self, n: int, segments: list[tuple[int, int, float]]) -> float:
         """Minus the log chance that clean text of this length has so high a best segment, and less for each further one."""
@@ -96,30 +115,46 @@ def _contexts(batches):
         )
 
 
-def word_gains(labelled: DataFrame) -> tuple[dict[str, float], dict[str, float], float]:
-    """Significant words' log-odds less the drift, their counts in clean texts, and all counts in those.
+def _significant(counts: DataFrame, share: float) -> DataFrame:
+    """``token, odds`` of those used significantly more in toxic contexts, at most ``MAX_WORDS``."""
+    odds = F.log((F.col("t") + PRIOR * share) / (F.col("c") + PRIOR * (1 - share))) - float(np.log(share / (1 - share)))
+    spread = F.sqrt(1 / (F.col("t") + PRIOR * share) + 1 / (F.col("c") + PRIOR * (1 - share)))
+    best = counts.select("token", odds.alias("odds"), (odds / spread).alias("z")).where(f"z >= {LEAST_Z} AND odds > {2 * DRIFT}")
+    return store(best.orderBy(F.desc("z"), "token").limit(MAX_WORDS).select("token", "odds"), "tokens")
+
+
+def token_gains(labelled: DataFrame) -> dict[str, float]:
+    """Significant tokens' log-odds less the drift.
 
     A word counts once for each pair of neighbours it has in toxic and in clean texts, so copies and near copies of
-    one text don't make its words look toxic. The Dirichlet prior expects both classes to use a word alike.
+    one text don't make its words look toxic. The Dirichlet prior expects both classes to use a token alike.
+    Stems are first counted over all their words, then, twice, over those that have no longer significant token.
     """
     each = labelled.select("text", "toxic").mapInArrow(_contexts, "word string, context long, toxic int")
     both = each.groupBy("word", "context").agg(F.max("toxic").alias("t"), F.max(1 - F.col("toxic")).alias("c"))
-    counts = store(both.groupBy("word").agg(F.sum("t").cast("double").alias("t"), F.sum("c").cast("double").alias("c")), "words")
-    toxic, clean = counts.agg(F.coalesce(F.sum("t"), F.lit(0.0)), F.coalesce(F.sum("c"), F.lit(0.0))).first()
+    words = store(both.groupBy("word").agg(F.sum("t").cast("double").alias("t"), F.sum("c").cast("double").alias("c")), "words")
+    toxic, clean = words.agg(F.coalesce(F.sum("t"), F.lit(0.0)), F.coalesce(F.sum("c"), F.lit(0.0))).first()
     if not toxic or not clean:
-        return {}, {}, clean
+        return {}
+    stems = [F.when(F.length("word") > k, F.concat(F.substring("word", 1, k), F.lit("-"))) for k in STEMS]
+    tokens = words.select("word", "t", "c", F.explode(F.array_compact(F.array("word", *stems))).alias("token"))
+    tally = [F.sum("t").alias("t"), F.sum("c").alias("c")]
     share = toxic / (toxic + clean)
-    odds = F.log((F.col("t") + PRIOR * share) / (F.col("c") + PRIOR * (1 - share))) - float(np.log(share / (1 - share)))
-    spread = F.sqrt(1 / (F.col("t") + PRIOR * share) + 1 / (F.col("c") + PRIOR * (1 - share)))
-    best = counts.select("word", "c", odds.alias("odds"), (odds / spread).alias("z")).where(f"z >= {LEAST_Z} AND odds > {2 * DRIFT}")
-    rows = best.orderBy(F.desc("z"), "word").limit(MAX_WORDS).collect()
-    return {r["word"]: r["odds"] - DRIFT for r in rows}, {r["word"]: r["c"] for r in rows}, clean
+    found = _significant(tokens.groupBy("token").agg(*tally), share)
+    for _ in range(2):
+        rank = F.when(F.col("token") == F.col("word"), 1 << 20).otherwise(F.length("token"))
+        owned = tokens.join(F.broadcast(found), "token").groupBy("word", "t", "c").agg(F.max_by("token", rank).alias("token"))  # at most MAX_WORDS tokens
+        found = _significant(owned.groupBy("token").agg(*tally), share)
+    return {r["token"]: r["odds"] - DRIFT for r in found.collect()}
+
 
+def decay(gains: np.ndarray, words: float) -> float:
+    """The rate at which chances of high segments fall in clean text: the positive root of E[exp(rate * score)] = 1.
 
-def decay(gains: dict[str, float], counts: dict[str, float], total: float) -> float:
-    """The rate at which chances of high segments fall in clean text: the positive root of E[exp(rate * score)] = 1."""
-    s = np.array([*gains.values()])
-    p = np.array([counts[w] + 0.5 for w in gains]) / (total + 0.5 * len(gains) + 1)
+    ``gains`` are those met in ``words`` words of clean text.
+    """
+    s, times = np.unique(gains, return_counts=True)
+    p = times / max(words, 1.0)
     p = p * min(1.0, 0.5 / max(p.sum(), 1e-300))
     rest = 1 - p.sum()
     f = lambda x: float((p * np.exp(np.minimum(x * s, 500))).sum() + rest * np.exp(-x * DRIFT) - 1)
@@ -150,15 +185,11 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def _best(model: Model):
     def best(batches):
         for batch in batches:
-            rows = [model.segments(t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([n for n, _ in rows], pa.int64()),
-                    pa.array([[s for _, _, s in found] for _, found in rows], pa.list_(pa.float64())),
-                    batch.column(1),
-                ],
-                names=["n", "scores", "toxic"],
-            )
+            rows = [model.hits(t) for t in batch.column(0).to_pylist()]
+            scores = [[s for _, _, s in maximal_segments(places, gains, DRIFT)] for _, places, gains in rows]
+            kind = pa.list_(pa.float64())
+            out = [pa.array([n for n, *_ in rows], pa.int64()), pa.array(scores, kind), pa.array([g for *_, g in rows], kind), batch.column(1)]
+            yield pa.RecordBatch.from_arrays(out, names=["n", "scores", "gains", "toxic"])
 
     return best
 
@@ -168,9 +199,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     one = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     sample = store(one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED), "sample")
     labelled = docs.join(F.broadcast(sample), "doc_id").select("text", "toxic")  # at most MAX_LABELLED rows of two numbers
-    gains, counts, clean = word_gains(labelled)
-    model = Model(gains)
-    rows = labelled.mapInArrow(_best(model), "n long, scores array<double>, toxic int")
+    model = Model(token_gains(labelled))
+    rows = labelled.mapInArrow(_best(model), "n long, scores array<double>, gains array<double>, toxic int")
     rows = rows.where("n > 0").orderBy(F.xxhash64("n", "scores", "toxic")).limit(MAX_LABELLED).collect()
     if not rows:
         model.weights = (-30.0, 0.0)
@@ -180,7 +210,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         model.weights = (30.0 if toxic.max() else -30.0, 0.0)
         return model
     top = np.array([max(r["scores"], default=0.0) for r in rows])
-    model.rate = decay(gains, counts, clean) if gains else 1.0
+    met = np.array([g for r in rows if not r["toxic"] for g in r["gains"]])
+    model.rate = decay(np.append(met, max(model.gains.values())), float(n[toxic == 0].sum())) if model.gains else 1.0
     # Given the rate, n * exp(-rate * best) of clean texts is exponential with mean 1 / size.
     model.size = float(1 / np.mean((n * np.exp(-model.rate * top))[toxic == 0]))
     x = np.log1p([model.surprise(int(r["n"]), [(0, 0, s) for s in r["scores"]]) for r in rows])
@@ -209,8 +240,8 @@ def _judge(model: Model):
 def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", parts: int = 5, part: int = 0) -> DataFrame:
     """``doc_id, held_out, score, predicted, segments``: how likely each text is toxic, and its toxic passages.
 
-    Words' log-odds between toxic and clean labelled texts, with a Dirichlet prior, are learnt from labels whose
-    ids are not held out (at most ``MAX_LABELLED``; at most ``MAX_WORDS`` words). A linear-time scan finds every maximal segment of
+    Log-odds of words and of their beginnings (:data:`STEMS`) between toxic and clean labelled texts, with a Dirichlet prior, are learnt from labels whose
+    ids are not held out (at most ``MAX_LABELLED``; at most ``MAX_WORDS`` tokens). A linear-time scan finds every maximal segment of
     each whole text, as first and last word (letter runs) and score. The chance of so high a segment in clean text of that
     length follows from an extreme-value law fitted to clean texts; a logistic curve over the logs makes the score. No other column is read.
 

@@ -1,12 +1,11 @@
 import hashlib
-import json
 import math
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from corpus import SCHEMA, corpus, frame, result
+from corpus import corpus, frame, result
 from pyspark.sql import functions as F
 
 from stratalake.llm import mixing, outliers, urlmodel
@@ -78,7 +77,7 @@ def test_verdicts_are_those_of_numpy(spark, least):
 
 
 def test_symbols_are_rejected_and_prose_is_kept(spark):
-    got = {r[0]: r[1] for r in result(outliers.quality_verdicts(frame(spark, quality_rows()), least=20), "doc_id", "kept")}
+    got = {r[0]: r[1] for r in result(outliers.quality_verdicts(frame(spark, quality_rows()), least=1000), "doc_id", "kept")}
     assert not any(got[900 + i] for i in range(6))
     prose = [i for i, t, *_ in corpus(seed=11, n=150) if i is not None and statistics(t)[0] >= 60 and statistics(t)[4] * 10 < statistics(t)[0]]
     assert sum(got[i] for i in prose) >= 0.98 * len(prose)
@@ -223,10 +222,8 @@ def test_rules_of_the_contract(spark):
 
 
 def test_models_tell_unseen_hosts_apart(spark):
-    rows = list(enumerate(URLS))
+    rows = list(enumerate([*URLS, "https://news7.net/de/casa-31", "https://www.shop8.org/fr/12"]))
     df = spark.createDataFrame(rows, "page_id long, url string")
-    got = {r[0]: r[1:] for r in result(urlmodel.judge_urls(df, URL_RULES), "page_id", "verdict", "score")}
-    spam = [got[i][1] for i, u in rows if u and "spam.net" in u]
-    blog = [got[i][1] for i, u in rows if u and "blog.org" in u]
-    assert np.mean(spam) < np.mean(blog)
-    assert json.dumps(SCHEMA.jsonValue())
+    got = {r[0]: r[1:] for r in result(urlmodel.judge_urls(df, URL_RULES), "page_id", "rule", "verdict", "score")}
+    like_blocked, like_allowed = got[len(URLS)], got[len(URLS) + 1]
+    assert like_blocked[:2] == (None, "block") and like_allowed[:2] == (None, "allow") and like_blocked[2] < like_allowed[2]

@@ -141,8 +141,12 @@ def _cut(leaf: int):
 
 
 def _join(path: str):
+    held = []  # one encoder for all documents of a task
+
     def join(table: pa.Table) -> pa.Table:
-        encoder = Encoder(BpeFile(path))
+        if not held:
+            held.append(Encoder(BpeFile(path)))
+        encoder = held[0]
         table = table.sort_by("place")
         places = table.column("place").to_pylist()
         copies = places.count(0)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from functools import cache
 
 import numpy as np
 
@@ -43,11 +42,6 @@ class BpeFile:
         return out | {i: s.encode() for s, i in self.special.items()}
 
 
-@cache
-def bpe_file(path: str) -> BpeFile:
-    return BpeFile(path)
-
-
 LETTER, NUMBER, SPACE, OTHER, UNKNOWN = 0, 1, 2, 3, 255
 
 

@@ -13,6 +13,12 @@ def decimal_comma(text: Column) -> Column:
     return F.translate(text, ",", ".").try_cast("double")
 
 
+def locale_decimal(text: Column, strict: bool = False) -> Column:
+    """``"1.234,5"`` to 1234.5: points are separators where there is a comma. With ``strict`` other text is an error."""
+    plain = F.when(F.contains(text, F.lit(",")), F.translate(text, ",.", ".")).otherwise(text)
+    return plain.cast("double") if strict else plain.try_cast("double")
+
+
 def recode(value: Column, mapping: Mapping) -> Column:
     """Replace listed values; everything else, NULL included, passes through."""
     branches = None

@@ -5,7 +5,6 @@ from __future__ import annotations
 import warnings
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,21 +113,11 @@ def impute_string(df: DataFrame, value: str = "Desconocido", columns: Sequence[s
 
 # ---- filters --------------------------------------------------------------
 
-PAIR_PREDICATE_LIMIT = 20
-
-
 def filter_pairs(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple]) -> DataFrame:
-    """Keep rows whose column tuple is listed.
+    """Keep rows whose column tuple is listed, by a semi-join with the list as a literal dimension.
 
-    A short list becomes a predicate the scan can push down; a longer one is
-    joined as a literal dimension, whose size is known here.
+    The list is code, not data: ``literal_dim`` refuses more than it should hold, and longer lists belong in a table.
     """
-    if len(pairs) <= PAIR_PREDICATE_LIMIT:
-        tests = [
-            reduce(lambda a, b: a & b, [F.col(c) == F.lit(v) for c, v in zip(columns, pair, strict=True)])
-            for pair in pairs
-        ]
-        return df.filter(reduce(or_, tests, F.lit(False)))
     schema = T.StructType([T.StructField(c, df.schema[c].dataType) for c in columns])
     return df.join(literal_dim(df.sparkSession, pairs, schema), list(columns), "left_semi")
 

@@ -8,6 +8,7 @@ beyond it the join is a shuffle, and adaptive execution splits hot keys.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,12 +51,25 @@ def keep_members(
     return fact.join(side, F.col(fact_key) == F.col("_member_key"), "left_semi")
 
 
+def spread_join(fact: DataFrame, distinct: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join a fact to a frame with one row per key such that no key has to be one task.
+
+    A frame just grouped by its key would lend the join its partitioning, and adaptive execution could not split a key that is
+    hot in the fact. The constant slot makes both sides be shuffled for the join. Rows with a NULL key match nothing; they
+    get slots of their own and spread out instead of meeting in one task.
+    """
+    slots = F.pmod(F.xxhash64(*fact.columns), F.lit(1 << 16))
+    usable = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    side = distinct.withColumn("_slot", F.lit(-1).cast("long"))
+    return fact.withColumn("_slot", F.when(usable, F.lit(-1)).otherwise(slots).cast("long")).join(side, [*keys, "_slot"], how).drop("_slot")
+
+
 def pending(requested: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Requested rows whose key is not among the finished ones.
 
     Finished keys are made distinct first, so a batch of many rows counts once.
     """
-    return requested.join(done.select(*keys).distinct(), list(keys), "left_anti")
+    return spread_join(requested, done.select(*keys).distinct(), list(keys), "left_anti").select(requested.columns)
 
 
 def panel_join(

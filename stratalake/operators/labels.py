@@ -9,7 +9,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.functions.text import recode
+from stratalake.operators.ordered import running_totals
+from stratalake.sources.scratch import store
 
 
 def label_rules(df: DataFrame, bad_when: Sequence[Column], out: str = "label") -> DataFrame:
@@ -33,59 +34,28 @@ def class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     return df.withColumn(out, F.when(F.col(label) == 1, ratio).otherwise(F.lit(1.0)))
 
 
-MAX_CLASSES = 1000
-_DIGEST_LENGTH, _STEP = 32, 4
+_SLICE = 4  # hex digits of a digest that make a slice: 65,536 slices for each class
 
 
-def _test_bounds(rows: DataFrame, label: str, test_fraction: float) -> dict:
-    """Per class the digest prefix at and below which rows go to the test side.
+def _test_cuts(rows: DataFrame, label: str, test_fraction: float) -> DataFrame:
+    """``label, cut``: the digest up to which a class's rows go to the test side.
 
-    Digests spread evenly, so counting rows per 4-digit prefix narrows the cut to
-    one slice of 65,536; that slice is refined the same way until the cut falls
-    between two slices. Each round reads back one row per class.
+    Digests spread evenly, so counting rows by slice finds the slice that holds the cut; the rows of that one slice are
+    then counted by digest. Both are aggregations, and cuts are a table with one row per class.
     """
-    bounds: dict = {}
-    open_cuts: dict | None = None  # class -> (prefix under refinement, rows still needed)
-    length = 0
-    while (open_cuts is None or open_cuts) and length < _DIGEST_LENGTH:
-        length += _STEP
-        part = rows
-        if open_cuts is not None:
-            hit = [(F.col(label) == c) & F.col("_digest").startswith(prefix) for c, (prefix, _) in open_cuts.items()]
-            part = rows.filter(reduce(or_, hit))
-        slices = part.groupBy(label, F.substring("_digest", 1, length).alias("slice")).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        # at most 65,536 slices per class, whatever the number of rows
-        upto = Window.partitionBy(label).orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
-        whole = Window.partitionBy(label)
-        slices = slices.withColumns({"upto": F.sum("n").over(upto), "total": F.sum("n").over(whole)})
-        if open_cuts is None:
-            # + 0.5 and floor: the same half-up rounding on every platform
-            need = F.floor(F.col("total") * F.lit(test_fraction) + F.lit(0.5 + 1e-9))
-        else:
-            need = recode(F.col(label), {c: left for c, (_, left) in open_cuts.items()})
-        cut = (
-            slices.withColumn("need", need)
-            .filter((F.col("upto") >= F.col("need")) & (F.col("need") > 0))
-            .groupBy(label)
-            .agg(
-                F.min_by("slice", "slice").alias("slice"),
-                F.min_by(F.col("upto") - F.col("n"), "slice").alias("below"),
-                F.min_by("upto", "slice").alias("upto"),
-                F.first("need").alias("need"),
-            )
-        )
-        found = cut.take(MAX_CLASSES + 1)
-        if len(found) > MAX_CLASSES:
-            raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-        open_cuts = {}
-        for row in found:
-            if row["upto"] == row["need"] or length >= _DIGEST_LENGTH:
-                bounds[row[label]] = row["slice"]
-            else:
-                open_cuts[row[label]] = (row["slice"], row["need"] - row["below"])
-    return bounds
+    slices = rows.groupBy(label, F.substring("_digest", 1, _SLICE).alias("slice")).agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy(label)
+    slices = slices.withColumns(
+        {"upto": F.sum("n").over(whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)), "total": F.sum("n").over(whole)}
+    )
+    # + 0.5 and floor: the same half-up rounding on every platform
+    need = F.floor(F.col("total") * F.lit(test_fraction) + F.lit(0.5 + 1e-9))
+    holding = slices.withColumn("need", need).filter("upto >= need AND upto - n < need AND need > 0")
+    holding = store(holding.select(label, "slice", (F.col("need") - F.col("upto") + F.col("n")).alias("left")), "slices")
+    inside = rows.withColumn("slice", F.substring("_digest", 1, _SLICE)).join(holding, [label, "slice"])
+    digests = store(inside.groupBy(label, "_digest").agg(F.count(F.lit(1)).alias("n"), F.first("left").alias("left")), "digests")
+    upto = running_totals(digests, "_digest", ["n"], by=[label])
+    return upto.filter("n_before + n >= left").groupBy(label).agg(F.min("_digest").alias("_cut"))
 
 
 def split_stratified(
@@ -94,19 +64,18 @@ def split_stratified(
     """Mark an exact share of every class as test rows, repeatably.
 
     Rows are taken in the order of the MD5 digest of their key, so the choice
-    depends on the key alone. Rows sharing a key stay on one side. Finding the cut
-    takes counting passes over (class, digest) only; marking the rows is then a
-    projection without a shuffle.
+    depends on the key alone, and rows sharing a key stay on one side. A key with a NULL in it identifies nothing: such a row is
+    taken by the digest of all its columns. Rows without label are never test rows. The cuts are found in two counting passes and joined
+    back as one row per class.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    digest = F.md5(text)
-    labelled = df.select(label, digest.alias("_digest")).filter(F.col(label).isNotNull())
-    bounds = _test_bounds(labelled, label, test_fraction)
-    if not bounds:
-        return df.withColumn(out, F.lit(False))
-    tests = [(F.col(label) == c) & (F.substring(digest, 1, len(cut)) <= cut) for c, cut in bounds.items()]
-    return df.withColumn(out, F.coalesce(reduce(or_, tests), F.lit(False)))
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    row = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    text = F.when(known, F.concat_ws("|", *[F.col(k).cast("string") for k in keys])).otherwise(row)
+    marked = df.withColumn("_digest", F.md5(text))
+    cuts = _test_cuts(marked.filter(F.col(label).isNotNull()).select(label, "_digest"), label, test_fraction)
+    both = marked.join(store(cuts, "cuts"), [label], "left")
+    return both.withColumn(out, F.coalesce(F.col("_digest") <= F.col("_cut"), F.lit(False))).select(*[c for c in df.columns if c != out], out)
 
 
 def split_sampled(df: DataFrame, label: str, classes: Sequence, test_fraction: float = 0.2, seed: int = 42) -> DataFrame:

@@ -4,19 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import ceil, inf, isfinite
+from math import ceil, inf
 from operator import or_
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.sources.literal import literal_dim
 from stratalake.sources.scratch import store
 
-
-ONE_TASK_VALUES = 1_000_000
-MAX_RANGES = 2000
+#: Distinct values that one task sums; the number of tasks follows from the number of values.
+VALUES_PER_RANGE = 250_000
 
 
 def _sum_before(window):
@@ -25,91 +23,89 @@ def _sum_before(window):
     return lambda w: F.coalesce(F.sum(w).over(frame), F.lit(0))
 
 
-def _totals_in_one_task(counts: DataFrame, value: str, weights: Sequence[str]) -> DataFrame:
-    total = _sum_before(Window.orderBy(value))
-    return counts.withColumns({f"{w}_before": total(w) for w in weights})
-
-
-def running_totals(counts: DataFrame, value: str, weights: Sequence[str], ranges: int | None = None) -> DataFrame:
-    """Add ``<weight>_before``: the total weight of all strictly smaller values.
+def running_totals(
+    counts: DataFrame, value: str, weights: Sequence[str], ranges: int | None = None, by: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``<weight>_before``: the total weight of all strictly smaller values, within each ``by`` group if given.
 
-    ``counts`` holds one row per distinct value and should be a stored table, as
-    it is read several times. Up to ``ONE_TASK_VALUES`` values are summed in one
-    task. More are cut into ranges of similar size at approximate quantiles. The
-    cut points become literals, so every pass and every retried task cuts alike,
-    and the totals are exact whatever they are.
+    ``counts`` holds one row per distinct value (and group) and should be a stored table, as it is counted first. The rows are
+    dealt out by ranges of the value, one for every ``VALUES_PER_RANGE`` rows, and written with their range, so every later pass sees the
+    same ranges and the totals are exact whatever the ranges are. Each range is summed by itself; the ranges' own totals are added before.
     """
-    if ranges is None:
-        if counts.count() <= ONE_TASK_VALUES:
-            return _totals_in_one_task(counts, value, weights)
-        ranges = min(4 * int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
-
-    steps = [i / ranges for i in range(1, ranges)]
-    cuts = sorted({c for c in counts.approxQuantile(value, steps, 1 / (4 * ranges)) if isfinite(c)})
-    if not cuts:  # no finite value, so at most two rows
-        return _totals_in_one_task(counts, value, weights)
-    spread = Bucketizer(splits=[-inf, *cuts, inf], inputCol=value, outputCol="_range").transform(counts)
-    # At most `ranges` rows, so one task may hold them all and the result may be broadcast.
-    offset = _sum_before(Window.orderBy("_range"))
-    offsets = (
-        spread.groupBy("_range")
-        .agg(*[F.sum(w).alias(w) for w in weights])
-        .select("_range", *[offset(w).alias(f"_{w}_offset") for w in weights])
-    )
-    local = _sum_before(Window.partitionBy("_range").orderBy(value))
-    joined = spread.withColumns({f"_{w}_local": local(w) for w in weights}).join(F.broadcast(offsets), "_range")
-    return joined.select(
-        *counts.columns, *[(F.col(f"_{w}_local") + F.col(f"_{w}_offset")).alias(f"{w}_before") for w in weights]
-    )
-
-
-def _present(df: DataFrame, column: str) -> DataFrame:
-    """The column as non-NULL, non-NaN doubles named ``v``."""
-    v = F.col(column).cast("double")
-    return df.select(v.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-
-
-def _values_at(values: DataFrame, ranks: Sequence[int], n: int) -> list[float | None]:
-    """The values of ``v`` at the given ranks among at most ``n`` rows; NULL beyond the last rank."""
-    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    if n <= ONE_TASK_VALUES:
-        totals = _totals_in_one_task(counts, "v", ["n"])
-    else:
-        totals = running_totals(store(counts, "value_counts"), "v", ["n"])
+    ranges = ranges or max(1, ceil(counts.count() / VALUES_PER_RANGE))
+    dealt = counts.repartitionByRange(ranges, *by, value).withColumn("_range", F.spark_partition_id())
+    dealt = store(dealt, "ranges")
+    sums = dealt.groupBy(*by, "_range").agg(*[F.sum(w).alias(w) for w in weights])
+    earlier = _sum_before(Window.partitionBy(*by).orderBy("_range"))  # one row per range and group
+    offsets = sums.select(*by, "_range", *[earlier(w).alias(f"_{w}_offset") for w in weights])
+    local = _sum_before(Window.partitionBy(*by, "_range").orderBy(value))
+    summed = dealt.withColumns({f"_{w}_local": local(w) for w in weights})
+    same = reduce(lambda a, b: a & b, [F.col(f"s.{c}").eqNullSafe(F.col(f"o.{c}")) for c in (*by, "_range")])
+    joined = summed.alias("s").join(offsets.alias("o"), same)
+    totals = [(F.col(f"_{w}_local") + F.col(f"_{w}_offset")).alias(f"{w}_before") for w in weights]
+    return joined.select(*[F.col(f"s.{c}") for c in counts.columns], *totals)
+
+
+def _per_column(values: dict[str, float | int | None]) -> Column:
+    """The number that belongs to the row's column name ``c``."""
+    out = F.lit(None).cast("double")
+    for name, value in values.items():
+        out = F.when(F.col("c") == name, F.lit(None if value is None else float(value)).cast("double")).otherwise(out)
+    return out
+
+
+def _values_at(values: DataFrame, ranks: dict[str, list[int]]) -> dict[str, list[float | None]]:
+    """The values of ``v`` at the given ranks of each column; NULL beyond the last rank."""
+    counts = store(values.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")), "value_counts")
+    totals = running_totals(counts, "v", ["n"], by=["c"])
     upto = F.col("n_before") + F.col("n")
-    return list(totals.agg(*[F.min(F.when(upto >= k, F.col("v"))).alias(f"q{i}") for i, k in enumerate(ranks)]).first())
+    width = max(map(len, ranks.values()), default=0)
+    at = [_per_column({c: ks[i] for c, ks in ranks.items() if i < len(ks)}) for i in range(width)]
+    found = totals.groupBy("c").agg(*[F.min(F.when(upto >= k, F.col("v"))).alias(f"q{i}") for i, k in enumerate(at)])
+    rows = {r["c"]: list(r)[1:] for r in found.collect()}
+    return {c: rows.get(c, [None] * width)[: len(ks)] for c, ks in ranks.items()}
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], slack: float = 0.002) -> list[float | None]:
-    """Discrete quantiles: the value at rank ``ceil(p * n)``, ignoring NULL and NaN.
+def exact_quantiles_of(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], slack: float = 0.002
+) -> dict[str, list[float | None]]:
+    """Discrete quantiles of several columns: the value at rank ``ceil(p * n)``, ignoring NULL and NaN.
 
-    The pass that counts the rows also sketches a bracket around each quantile.
-    On a large table only values inside the brackets are then counted one by one,
-    so the table is scanned but hardly shuffled; a small one is counted whole.
+    All columns go through three passes together: one counts and sketches a bracket around each
+    quantile, one counts what lies below the brackets, and one counts the values inside them one by one. Only those
+    are shuffled. A bracket that misses its rank would show, and then that column is counted whole.
     """
-    values = _present(df, column)
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("double").alias("v")) for c in columns]))
+    values = df.select(each.alias("_each")).select("_each.*").filter(F.col("v").isNotNull() & ~F.isnan("v"))
     ends = [p + side * 2 * slack for p in probs for side in (-1, 1)]
     sketch = F.percentile_approx("v", [min(max(e, 0.0), 1.0) for e in ends], ceil(1 / slack))
-    n, found = values.agg(F.count(F.lit(1)), sketch).first()
-    if n == 0:
-        return [None for _ in probs]
+    rows = values.groupBy("c").agg(F.count(F.lit(1)).alias("n"), sketch.alias("found")).collect()  # one row per column
+    if not rows:
+        return {c: [None for _ in probs] for c in columns}
     # round() drops the float noise of p * n before the ceiling is taken
-    ranks = [max(ceil(round(p * n, 6)), 1) for p in probs]
-    if n * slack >= 1000:
-        found = [-inf if e <= 0 else inf if e >= 1 else x for e, x in zip(ends, found, strict=True)]
-        lows, highs = found[::2], found[1::2]
-        inside = reduce(or_, [F.col("v").between(low, high) for low, high in zip(lows, highs, strict=True)])
-        # values outside all brackets only count towards the ranks
-        n_inside, *skipped = values.agg(
-            F.count_if(inside), *[F.count_if((F.col("v") < low) & ~inside) for low in lows]
-        ).first()
-        shifted = [k - s for k, s in zip(ranks, skipped, strict=True)]
-        quantiles = _values_at(values.filter(inside), shifted, n_inside)
-        # A sketch worse than its error bound would show here; then everything is counted.
-        checks = zip(shifted, quantiles, lows, highs, strict=True)
-        if all(k >= 1 and q is not None and low <= q <= high for k, q, low, high in checks):
-            return quantiles
-    return _values_at(values, ranks, n)
+    ranks = {r["c"]: [max(ceil(round(p * r["n"], 6)), 1) for p in probs] for r in rows}
+    found = {r["c"]: [-inf if e <= 0 else inf if e >= 1 else x for e, x in zip(ends, r["found"], strict=True)] for r in rows}
+    lows = [_per_column({c: f[2 * i] for c, f in found.items()}) for i in range(len(probs))]
+    highs = [_per_column({c: f[2 * i + 1] for c, f in found.items()}) for i in range(len(probs))]
+    inside = reduce(or_, [F.col("v").between(low, high) for low, high in zip(lows, highs, strict=True)])
+    # values outside all brackets only count towards the ranks
+    below = [F.count_if((F.col("v") < low) & ~inside).alias(f"b{i}") for i, low in enumerate(lows)]
+    skipped = {r["c"]: list(r)[1:] for r in values.groupBy("c").agg(*below).collect()}
+    shifted = {c: [k - s for k, s in zip(ks, skipped[c], strict=True)] for c, ks in ranks.items()}
+    quantiles = _values_at(values.filter(inside), shifted)
+    missed = [
+        c
+        for c, qs in quantiles.items()
+        if not all(k >= 1 and q is not None and lo <= q <= hi for k, q, lo, hi in zip(shifted[c], qs, found[c][::2], found[c][1::2], strict=True))
+    ]
+    if missed:
+        quantiles |= _values_at(values.filter(F.col("c").isin(missed)), {c: ranks[c] for c in missed})
+    return {c: quantiles.get(c, [None for _ in probs]) for c in columns}
+
+
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], slack: float = 0.002) -> list[float | None]:
+    """Discrete quantiles of one column, see :func:`exact_quantiles_of`."""
+    return exact_quantiles_of(df, [column], probs, slack)[column]
 
 
 def quantile_thresholds(
@@ -133,6 +129,6 @@ def quantile_thresholds(
             for i, p in enumerate(probs)
         ]
         return sketch.select(F.inline(F.array(*entries)))
-    found = {c: exact_quantiles(df, c, probs) for c in columns}
+    found = exact_quantiles_of(df, columns, probs)
     rows = [(c, float(p), v) for c in columns for p, v in zip(probs, found[c], strict=True)]
     return literal_dim(spark, rows, "column_name string, prob double, value double")

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from functools import reduce
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.functions.text import decimal_comma
+from stratalake.functions.text import locale_decimal
 from stratalake.operators.reshape import union_all
 
 
+RECORDS_AT_ONCE = 10_000
+
+
 def read_table(spark: SparkSession, name: str, db: str | None = None) -> DataFrame:
     """A catalog table."""
     return spark.table(f"{db}.{name}" if db else name)
@@ -23,6 +28,20 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _layouts(spark: SparkSession, paths: str | list[str], sep: str, encoding: str) -> dict[tuple[str, ...], list[str]]:
+    """Files by the column names in their first line."""
+    lines = spark.read.csv(paths, schema="line string", sep="\u0001", quote="", encoding=encoding)
+    lines = lines.select(
+        "line", "_metadata.file_path", F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("i")
+    )
+    first = lines.filter("start = 0").groupBy("file_path").agg(F.min_by("line", "i").alias("line"))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for row in first.orderBy("file_path").collect():  # one short row per file, as Spark's own file list has
+        names = tuple(n.strip().strip('"') for n in row["line"].split(sep))
+        layouts.setdefault(names, []).append(row["file_path"])
+    return layouts
+
+
 def read_delimited(
     spark: SparkSession,
     paths: str | list[str],
@@ -32,40 +51,68 @@ def read_delimited(
     encoding: str = "ISO-8859-1",
     mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Semicolon-separated latin-1 text with a header.
+    """Semicolon-separated latin-1 text with a header, whose names say which column is which.
 
-    Decimal-comma columns are declared STRING in ``schema`` and turned into
-    doubles here. Malformed lines fail the read unless ``mode`` says otherwise.
+    Files may have their columns in any order; a column that a file lacks is NULL and one that ``schema`` does not
+    know is an error. Decimal-comma columns are declared STRING in ``schema`` and turned into doubles here
+    (``1.234,5`` is 1234.5). Malformed lines, and under FAILFAST text that is no number, fail the read.
     """
-    df = spark.read.csv(paths, schema=schema, header=True, sep=sep, encoding=encoding, mode=mode)
-    return df.withColumns({c: decimal_comma(F.col(c)) for c in decimal_comma_columns})
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    known = {f.name: f for f in schema.fields}
+    parts = []
+    for names, files in _layouts(spark, paths, sep, encoding).items():
+        if unknown := [n for n in names if n not in known]:
+            raise ValueError(f"{files[0]}: columns {unknown} are not in the schema")
+        own = T.StructType([known[n] for n in names])
+        parts.append(spark.read.csv(files, schema=own, header=True, sep=sep, encoding=encoding, mode=mode))
+    df = union_all(parts, allow_missing=True) if parts else spark.createDataFrame([], schema)
+    missing = {n: F.lit(None).cast(f.dataType) for n, f in known.items() if n not in df.columns}
+    df = df.withColumns(missing).select(list(known))
+    return df.withColumns({c: locale_decimal(F.col(c), strict=mode == "FAILFAST") for c in decimal_comma_columns})
 
 
 def read_envelope(
     spark: SparkSession, paths: str | list[str], row_schema: T.StructType, field: str = "data", multi_line: bool = True
 ) -> DataFrame:
-    """Rows of ``{"metadata": ..., "data": [row, ...]}`` documents, one file or one line each."""
+    """Rows of ``{"metadata": ..., "data": [row, ...]}`` documents, one file or one line each; a broken document fails the read."""
     envelope = T.StructType([T.StructField(field, T.ArrayType(row_schema))])
-    docs = spark.read.schema(envelope).json(paths, multiLine=multi_line)
+    docs = spark.read.schema(envelope).json(paths, multiLine=multi_line, mode="FAILFAST")
     return docs.select(F.explode(field).alias("_row")).select("_row.*")
 
 
+def read_envelope_rejects(
+    spark: SparkSession, paths: str | list[str], row_schema: T.StructType, field: str = "data", multi_line: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of whole documents, ``file_path, text`` of broken ones): nothing is lost and nothing fails."""
+    envelope = T.StructType([T.StructField(field, T.ArrayType(row_schema)), T.StructField("_broken", T.StringType())])
+    docs = spark.read.schema(envelope).json(paths, multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord="_broken")
+    docs = docs.select(field, "_broken", "_metadata.file_path")
+    whole = docs.filter("_broken IS NULL").select(F.explode(field).alias("_row")).select("_row.*")
+    # Spark wants a data column to be read along with the broken text.
+    read = F.coalesce(F.size(field), F.lit(-1)) >= -1
+    return whole, docs.filter(F.col("_broken").isNotNull() & read).select("file_path", F.col("_broken").alias("text"))
+
+
 def read_log(spark: SparkSession, paths: str | list[str], schema: str | T.StructType, header: bool = True) -> DataFrame:
     """A comma-separated log with one record per line; malformed lines are skipped.
 
     Lines are parsed whole. A CSV scan would not convert the fields a query leaves
     out, so the same line could be kept or dropped depending on the query.
+    A header is the first line of each file, not any line that looks like one.
     """
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
-    names = schema.fieldNames()
     wide = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields], "_bad_line string"])
-    lines = spark.read.text(paths).filter(F.length("value") > 0)
-    if header:
-        lines = lines.filter(F.col("value") != ",".join(names))
+    lines = spark.read.csv(paths, schema="value string", sep="\u0001", quote="", header=header).filter(F.length("value") > 0)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad_line"}
     records = lines.select(F.from_csv("value", wide, options).alias("_record"))
-    return records.filter("_record._bad_line IS NULL").select(*[F.col("_record").getField(n).alias(n) for n in names])
+    return records.filter("_record._bad_line IS NULL").select(*[F.col("_record").getField(n).alias(n) for n in schema.fieldNames()])
+
+
+def read_rejects(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """What ``log_rejects`` wrote, value for value."""
+    return spark.read.schema(schema).json(path, mode="FAILFAST")
 
 
 def union_tagged(
@@ -75,10 +122,14 @@ def union_tagged(
 
     Several loads may share one tag value, so an iterable of pairs is accepted
     too. With ``skip_empty`` a load without rows is left out, columns included,
-    and having no load left is an error; finding that out reads one row per load.
+    and having no load left is an error; one job finds out for all loads, reading one row of each.
     """
-    pairs = frames.items() if isinstance(frames, Mapping) else frames
-    tagged = [df.withColumn(tag, F.lit(value)) for value, df in pairs if not (skip_empty and df.isEmpty())]
+    pairs = list(frames.items() if isinstance(frames, Mapping) else frames)
+    if skip_empty and pairs:
+        seen = reduce(DataFrame.union, [df.limit(1).select(F.lit(i).alias("i")) for i, (_, df) in enumerate(pairs)])
+        filled = {row["i"] for row in seen.collect()}  # one row per load at most
+        pairs = [pair for i, pair in enumerate(pairs) if i in filled]
+    tagged = [df.withColumn(tag, F.lit(value)) for value, df in pairs]
     if not tagged:
         raise ValueError("no load has data")
     return union_all(tagged, allow_missing=True)
@@ -99,8 +150,7 @@ def read_binary_records(
     """Rows parsed out of whole files, such as spreadsheets, one file at a time inside the tasks.
 
     ``parser`` gets the bytes of one file and yields its rows. Files are spread
-    over tasks by the binary file source, and Spark cuts Arrow batches by bytes,
-    so large files do not pile up in one batch.
+    over tasks by the binary file source; rows leave the task ``RECORDS_AT_ONCE`` at a time.
     """
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
@@ -110,10 +160,12 @@ def read_binary_records(
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:
-                rows = pd.DataFrame(list(parser(bytes(content))), columns=names, dtype=object)
-                for name in texts:
-                    rows[name] = [None if value is None else str(value) for value in rows[name]]
-                yield rows
+                records = iter(parser(bytes(content)))
+                while some := list(islice(records, RECORDS_AT_ONCE)):
+                    rows = pd.DataFrame(some, columns=names, dtype=object)
+                    for name in texts:
+                        rows[name] = [None if value is None else str(value) for value in rows[name]]
+                    yield rows
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("content")
     return files.mapInPandas(parse, schema)

@@ -22,18 +22,8 @@ def _files(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
-@cache
-def _owned(spark: SparkSession, root: str, application: str) -> str:
-    """This application's folder below the root; it goes when the application ends."""
-    path = f"{root.rstrip('/')}/stratalake/{application}"
-    fs, at = _files(spark, path)
-    fs.mkdirs(at)
-    fs.deleteOnExit(at)
-    return path
-
-
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, deleted with the application's other ones when it ends.
+    """A fresh folder below ``spark.checkpoint.dir``.
 
     Only a local session without that setting falls back to a temporary folder;
     on a cluster such a folder would differ from machine to machine.
@@ -43,17 +33,21 @@ def scratch_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = _local_root()
-    return f"{_owned(spark, root, spark.sparkContext.applicationId)}/{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/stratalake/{uuid.uuid4().hex}"
 
 
 def store(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Used where a result feeds several passes: the files survive a lost executor,
-    and their size is known when Spark picks a join strategy. The write's shuffle files go when it is done.
+    and their size is known when Spark picks a join strategy. The write's shuffle files go when it is done,
+    the table when :func:`discard` is told so or the application ends.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}"
+    folder = scratch_dir(spark)
+    path = f"{folder}/{name}"
+    fs, at = _files(spark, folder)
+    fs.deleteOnExit(at)
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:

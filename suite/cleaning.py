@@ -90,6 +90,13 @@ def filter_pairs(t: Tables):
     return clean.filter_pairs(rows, ["o_orderstatus", "o_orderpriority"], pairs)
 
 
+@query("SELECT p_partkey, p_size FROM part WHERE p_size BETWEEN 5 AND 44 AND p_partkey % 3 = p_size % 3")
+def filter_pairs_many(t: Tables):
+    """Forty pairs, as many as a user may list by hand."""
+    rows = t.part.select("p_partkey", "p_size", (F.col("p_partkey") % 3).cast("int").alias("third"))
+    return clean.filter_pairs(rows, ["p_size", "third"], [(n, n % 3) for n in range(5, 45)]).select("p_partkey", "p_size")
+
+
 @query("SELECT c_custkey, c_name FROM customer WHERE starts_with(c_name, 'Customer#0000001')")
 def filter_prefix(t: Tables):
     return clean.filter_prefix(t.customer.select("c_custkey", "c_name"), "c_name", "Customer#0000001")

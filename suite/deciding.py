@@ -91,6 +91,16 @@ def split_stratified(t: Tables):
     return labels.split_stratified(t.labels.select("doc_id", "quality"), "quality", "doc_id", 0.2)
 
 
+@query("""
+SELECT quality, count(*) AS n_rows, CAST(floor(count(*) * 0.2 + 0.5 + 1e-9) AS BIGINT) AS n_test FROM labels GROUP BY quality
+""")
+def split_stratified_nulls(t: Tables):
+    """The share is exact although most rows have no key."""
+    rows = t.labels.select(F.when(F.col("doc_id") % 10 == 0, F.col("doc_id")).alias("key"), "doc_id", "quality")
+    marked = labels.split_stratified(rows, "quality", "key", 0.2)
+    return marked.groupBy("quality").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("is_test").alias("n_test"))
+
+
 # ---- metrics --------------------------------------------------------------
 
 _SCORED_SQL = """

@@ -237,7 +237,7 @@ def reject_split(t: Tables):
     good, bad = clean.reject_split(lines, F.col("qty") > 10)
     path = f"{scratch_dir(t.spark)}/rejects"
     writers.log_rejects(bad, path)
-    logged = readers.read_log(t.spark, path, "l_returnflag string, qty double")
+    logged = readers.read_rejects(t.spark, path, "l_returnflag string, qty double")
     sides = good.withColumn("side", F.lit("good")).unionByName(logged.withColumn("side", F.lit("bad")))
     return sides.groupBy("side", "l_returnflag").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("qty").alias("sum_qty")
@@ -268,3 +268,75 @@ def stream_ingest_files(t: Tables):
         rows.filter(F.col("event_id") % 2 == part).write.mode("append").json(f"{root}/landing")
         ingest_new_files(t.spark, f"{root}/landing", rows.schema, append_sink(f"{root}/table"), f"{root}/progress")
     return t.spark.read.schema(rows.schema).parquet(f"{root}/table").select(*rows.columns)
+
+
+@query("""
+SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority,
+       CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END AS o_totalprice
+FROM orders
+""")
+def sink_append_mismatch(t: Tables):
+    """The second load has a column more and one less; the new one is added, neither is lost."""
+    db = t.work_db()
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    writers.overwrite_table(rows.filter("o_orderkey % 2 = 0").drop("o_orderpriority"), db, "orders_mixed")
+    return writers.append_table(rows.filter("o_orderkey % 2 = 1").drop("o_totalprice"), db, "orders_mixed", add_columns=True).select(
+        "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
+    )
+
+
+@query("SELECT c_custkey, c_name, round(c_acctbal * 1000, 1) AS c_acctbal, CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS c_mktsegment FROM customer")
+def src_csv_reordered(t: Tables):
+    """Files whose columns come in different orders, one kind without a column, with points between thousands."""
+    path = f"{scratch_dir(t.spark)}/customer"
+    text = F.translate(F.format_number(F.col("c_acctbal") * 1000, 1), ",.", ".,").alias("c_acctbal")
+    rows = t.customer.select("c_custkey", "c_name", text, "c_mktsegment")
+    for part, names in enumerate((["c_name", "c_acctbal", "c_custkey"], ["c_mktsegment", "c_custkey", "c_name", "c_acctbal"], rows.columns)):
+        rows.filter(F.col("c_custkey") % 3 == part).select(names).write.mode("append").csv(path, sep=";", header=True, encoding="ISO-8859-1")
+    return readers.read_delimited(
+        t.spark, path, "c_custkey bigint, c_name string, c_acctbal string, c_mktsegment string", ["c_acctbal"]
+    )
+
+
+@query("""
+SELECT CASE WHEN n_nationkey % 5 = 0 THEN 'broken' ELSE 'row' END AS kind, count(*) AS n, CAST(sum(CASE WHEN n_nationkey % 5 = 0 THEN 0 ELSE n_nationkey END) AS BIGINT) AS keys
+FROM nation GROUP BY 1
+""")
+def src_json_envelope_multiline(t: Tables):
+    """One document a file over several lines, a fifth of them cut off; those are counted in the reject frame."""
+    path = f"{scratch_dir(t.spark)}/envelopes"
+    row = F.concat(F.lit('{"metadata": {},\n "data": [\n  {"key": "'), F.col("n_nationkey").cast("string"))
+    whole = F.concat(row, F.lit('"}\n ]\n}'))
+    lines = F.when(F.col("n_nationkey") % 5 == 0, row).otherwise(whole).alias("value")
+    t.nation.repartition(25, "n_nationkey").select(lines).write.option("maxRecordsPerFile", 1).text(path)
+    schema = T.StructType([T.StructField("key", T.StringType())])
+    rows, broken = readers.read_envelope_rejects(t.spark, path, schema)
+    rows = rows.select(F.lit("row").alias("kind"), F.col("key").cast("long").alias("k"))
+    return rows.union(broken.select(F.lit("broken"), F.lit(0).cast("long"))).groupBy("kind").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("k").alias("keys")
+    )
+
+
+@query("SELECT doc_id, text, lang FROM documents")
+def reject_roundtrip(t: Tables):
+    """Rejected texts with line breaks, quotes and separators come back as they were."""
+    path = f"{scratch_dir(t.spark)}/rejects"
+    writers.log_rejects(t.documents.select("doc_id", "text", "lang"), path)
+    return readers.read_rejects(t.spark, path, "doc_id bigint, text string, lang string")
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 0.0 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderkey % 10 = 0 THEN 1999 ELSE year(o_orderdate) END::INT AS year
+FROM orders
+""")
+def upsert_table_partitioned(t: Tables):
+    """Updated rows move to another partition; the table keeps its partitions."""
+    db = t.work_db()
+    rows = t.orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    writers.overwrite_table(rows, db, "orders_by_year", partition_by=["year"])
+    moved = rows.filter("o_orderkey % 10 = 0").select("o_orderkey", F.lit(0.0).alias("o_totalprice"), F.lit(1999).alias("year"))
+    writers.upsert_table(moved, db, "orders_by_year", ["o_orderkey"])
+    if writers.partition_columns(t.spark, f"{db}.orders_by_year") != ["year"]:
+        raise ValueError("the table lost its partitions")
+    return t.spark.table(f"{db}.orders_by_year")

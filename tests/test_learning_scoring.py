@@ -29,10 +29,10 @@ def test_quantiles_ignore_null_and_nan(spark):
     assert ordered.exact_quantiles(_values(spark, [None, float("nan")]), "x", [0.5]) == [None]
 
 
-@pytest.mark.parametrize("one_task", [50, 1_000_000])
-def test_bracketed_quantiles_equal_plain_ones(spark, monkeypatch, one_task):
+@pytest.mark.parametrize("in_a_range", [50, 250_000])
+def test_bracketed_quantiles_equal_plain_ones(spark, monkeypatch, in_a_range):
     """A third of the rows share one value, and the brackets are taken from a sketch."""
-    monkeypatch.setattr(ordered, "ONE_TASK_VALUES", one_task)
+    monkeypatch.setattr(ordered, "VALUES_PER_RANGE", in_a_range)
     rng = random.Random(3)
     xs = [7.0 if i % 3 == 0 else round(rng.gauss(0, 100), 2) for i in range(20_000)]
     probs = [0.0, 0.05, 0.33, 0.5, 0.66, 1.0]
@@ -93,7 +93,7 @@ def test_auc_equals_pair_count(spark, pairs):
 
 
 def test_auc_over_many_ranges_with_a_hot_score(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "ONE_TASK_VALUES", 10)
+    monkeypatch.setattr(ordered, "VALUES_PER_RANGE", 10)
     rng = random.Random(11)
     pairs = [(rng.randint(0, 1), 0.5 if i % 3 == 0 else round(rng.random(), 3)) for i in range(1500)]
     got = evaluate.eval_auc(spark.createDataFrame(pairs, "y int, s double"), "y", "s").first()["auc"]
@@ -152,8 +152,8 @@ def test_split_is_the_same_after_reshuffling(spark, rows):
 
 
 def test_split_refines_crowded_slices(spark, monkeypatch):
-    """One digit at a time, so that several rounds are needed."""
-    monkeypatch.setattr(labels, "_STEP", 1)
+    """Slices of one digit hold many digests each."""
+    monkeypatch.setattr(labels, "_SLICE", 1)
     df = spark.createDataFrame([(i, i % 2) for i in range(2000)], "id long, y int")
     coarse = labels.split_stratified(df, "y", "id").filter("is_test")
     monkeypatch.undo()
@@ -161,6 +161,14 @@ def test_split_refines_crowded_slices(spark, monkeypatch):
     assert coarse.exceptAll(labels.split_stratified(df, "y", "id").filter("is_test")).count() == 0
 
 
+def test_split_share_is_exact_with_null_keys(spark):
+    """Rows without key are taken one by one; (NULL, 'a') and ('a', NULL) are different."""
+    df = spark.createDataFrame([(None if i < 900 else i, i % 7, 0) for i in range(1000)], "id long, v long, y int")
+    assert abs(labels.split_stratified(df.withColumn("row", F.monotonically_increasing_id()), "y", "id").filter("is_test").count() - 200) == 0
+    two = spark.createDataFrame([(None, "a", i) for i in range(500)] + [("a", None, i) for i in range(500)], "k1 string, k2 string, v long")
+    assert labels.split_stratified(two.withColumn("y", F.lit(1)), "y", ["k1", "k2"]).filter("is_test").count() == 200
+
+
 def test_split_keeps_rows_of_one_key_together(spark):
     df = spark.createDataFrame([(i % 10, 0) for i in range(100)], "id long, y int")
     sides = labels.split_stratified(df, "y", "id").groupBy("id").agg(F.countDistinct("is_test").alias("n"))

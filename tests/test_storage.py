@@ -10,7 +10,7 @@ from stratalake.plans.datasets import MONTHLY_DATASETS, load_landing, read_landi
 from stratalake.plans.reload import reload_pending
 from stratalake.sources import readers, writers
 from stratalake.sources.literal import literal_dim
-from stratalake.sources.scratch import scratch_dir, store
+from stratalake.sources.scratch import discard, scratch_dir, store
 from stratalake.sources.spreadsheet import sheet_rows
 from stratalake.streaming.incremental import append_sink, ingest_new_files, upsert_sink
 
@@ -219,3 +219,80 @@ def test_scratch_folder_rules(spark):
     with pytest.raises(RuntimeError):
         scratch_dir(_Session("spark://host:7077"))
     assert scratch_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_append_refuses_or_adds_unknown_columns(spark, rows, db):
+    writers.overwrite_table(_frame(spark, [(1, "a")]), db, "t")
+    wider = _frame(spark, [(2, "b")]).withColumn("extra", F.lit(5))
+    with pytest.raises(ValueError, match="extra"):
+        writers.append_table(wider, db, "t")
+    stored = writers.append_table(wider, db, "t", add_columns=True)
+    assert rows(stored) == [(1, "a", None), (2, "b", 5)]
+
+
+def test_failed_overwrite_leaves_the_old_table(spark, rows, db):
+    writers.overwrite_table(_frame(spark, [(1, "a")]), db, "t")
+    broken = _frame(spark, [(2, "b")]).withColumn("v", F.raise_error(F.lit("no")))
+    with pytest.raises(Exception, match="no"):
+        writers.overwrite_table(broken, db, "t")
+    assert rows(spark.table(f"{db}.t")) == [(1, "a")]
+
+
+def test_upsert_rewrites_touched_partitions_only(spark, rows, db):
+    frame = spark.createDataFrame([(1, "a", 2020), (2, "b", 2021), (3, "c", 2022), (4, "d", None)], "k int, v string, year int")
+    writers.overwrite_table(frame, db, "t", partition_by=["year"])
+    files = {r["p"]: r["f"] for r in spark.table(f"{db}.t").select("year", F.col("_metadata.file_path").alias("f")).withColumnRenamed("year", "p").collect()}
+    source = spark.createDataFrame([(2, "moved", 2022), (5, "new", 2023)], "k int, v string, year int")
+    stored = writers.upsert_table(source, db, "t", ["k"])
+    assert rows(stored, "k", "v", "year") == sorted([(1, "a", 2020), (2, "moved", 2022), (3, "c", 2022), (4, "d", None), (5, "new", 2023)], key=repr)
+    assert writers.partition_columns(spark, f"{db}.t") == ["year"]
+    after = {r["p"]: r["f"] for r in stored.select(F.col("year").alias("p"), F.col("_metadata.file_path").alias("f")).collect()}
+    assert after[2020] == files[2020] and after[None] == files[None]
+
+
+def test_upsert_reads_the_target_once(spark):
+    target = spark.range(100).selectExpr("id AS k", "id AS v")
+    plan = writers.upsert_merge(target, spark.range(50, 120).selectExpr("id AS k", "0L AS v"), ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 100") == 1
+
+
+def test_columns_are_bound_by_name(spark, rows, tmp_path):
+    (tmp_path / "x.csv").write_bytes("a;b\n1;1.234,5\n".encode("latin-1"))
+    (tmp_path / "y.csv").write_bytes("b;a\n2,5;2\n".encode("latin-1"))
+    (tmp_path / "z.csv").write_bytes("a\n3\n".encode("latin-1"))
+    df = readers.read_delimited(spark, str(tmp_path), "a int, b string", ["b"])
+    assert rows(df) == [(1, 1234.5), (2, 2.5), (3, None)]
+    with pytest.raises(ValueError, match="not in the schema"):
+        readers.read_delimited(spark, str(tmp_path), "a int", [])
+
+
+def test_a_broken_envelope_fails_or_is_told(spark, rows, tmp_path):
+    from pyspark.sql import types as T
+
+    (tmp_path / "a.json").write_text(json.dumps({"data": [{"k": "1"}, {"k": "2"}]}, indent=1))
+    (tmp_path / "b.json").write_text('{"data": [\n{"k": "3"},')
+    schema = T.StructType([T.StructField("k", T.StringType())])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_envelope(spark, str(tmp_path), schema).collect()
+    good, bad = readers.read_envelope_rejects(spark, str(tmp_path), schema)
+    assert rows(good) == [("1",), ("2",)]
+    assert [(r["file_path"].endswith("b.json"), '"3"' in r["text"]) for r in bad.collect()] == [(True, True)]
+
+
+def test_rejects_come_back_whole(spark, rows, tmp_path):
+    values = [(1, 'line\nbreak, "quoted"'), (2, None), (3, "k,v")]
+    writers.log_rejects(spark.createDataFrame(values, "k int, v string"), str(tmp_path / "log"))
+    assert rows(readers.read_rejects(spark, str(tmp_path / "log"), "k int, v string")) == sorted(values, key=repr)
+
+
+def test_a_line_like_the_header_is_kept(spark, rows, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v\nx,y\nk,v\n")
+    assert rows(readers.read_log(spark, str(tmp_path), "k string, v string")) == [("k", "v"), ("x", "y")]
+
+
+def test_stored_tables_can_be_discarded(spark):
+    kept, gone = store(spark.range(3)), store(spark.range(3))
+    discard(gone)
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="(?i)not exist|not found"):
+        spark.read.parquet(gone.scratch_path)

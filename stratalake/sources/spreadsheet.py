@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
 import io
+import posixpath
 import re
 import zipfile
 from collections.abc import Iterator
@@ -10,8 +12,11 @@ from xml.etree import ElementTree
 
 # Fixed values of the file format.
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
-SHEET = "xl/worksheets/sheet1.xml"
+RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 SHARED = "xl/sharedStrings.xml"
+STYLES = "xl/styles.xml"
+WORKBOOK = "xl/workbook.xml"
+DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
 
 
 def _column_index(reference: str) -> int:
@@ -21,37 +26,82 @@ def _column_index(reference: str) -> int:
     return index - 1
 
 
-def _cell_value(cell, shared: list[str]):
-    kind = cell.get("t", "n")
-    if kind == "inlineStr":
-        return "".join(t.text or "" for t in cell.iter(f"{MAIN}t"))
-    raw = cell.findtext(f"{MAIN}v")
-    if raw is None:
-        return None
-    if kind == "s":
-        return shared[int(raw)]
-    if kind in ("str", "e"):
-        return raw
-    if kind == "b":
-        return raw == "1"
-    return int(raw) if re.fullmatch(r"-?[0-9]+", raw) else float(raw)
+def _text(node) -> str:
+    """The text of a cell or shared string: its own and that of its runs, but not how it is pronounced."""
+    own = [t.text or "" for t in node.findall(f"{MAIN}t")]
+    return "".join(own + [t.text or "" for run in node.findall(f"{MAIN}r") for t in run.findall(f"{MAIN}t")])
+
+
+class _Book:
+    """Where the first sheet is, the shared strings, and which styles show dates."""
+
+    def __init__(self, book: zipfile.ZipFile):
+        names = set(book.namelist())
+        root = ElementTree.fromstring(book.read(WORKBOOK)) if WORKBOOK in names else None
+        self.sheet = self._first_sheet(book, root, names)
+        properties = None if root is None else root.find(f"{MAIN}workbookPr")
+        old = properties is not None and properties.get("date1904") in ("1", "true")
+        self.start = datetime.datetime(1904, 1, 1) if old else datetime.datetime(1899, 12, 30)
+        self.shared = [_text(s) for s in ElementTree.fromstring(book.read(SHARED)).iter(f"{MAIN}si")] if SHARED in names else []
+        self.dates = self._date_styles(ElementTree.fromstring(book.read(STYLES))) if STYLES in names else set()
+
+    @staticmethod
+    def _first_sheet(book: zipfile.ZipFile, root, names: set[str]) -> str:
+        links = "xl/_rels/workbook.xml.rels"
+        first = None if root is None else root.find(f"{MAIN}sheets/{MAIN}sheet")
+        if first is not None and links in names:
+            for link in ElementTree.fromstring(book.read(links)):
+                if link.get("Id") == first.get(f"{RELATION}id"):
+                    return posixpath.normpath(posixpath.join("/xl", link.get("Target"))).lstrip("/")
+        return "xl/worksheets/sheet1.xml"
+
+    @staticmethod
+    def _date_styles(root) -> set[int]:
+        custom = {int(f.get("numFmtId")): f.get("formatCode") or "" for f in root.iter(f"{MAIN}numFmt")}
+        shown = {k for k, code in custom.items() if re.search("[ymdhs]", re.sub(r'"[^"]*"|\\.|\[[^\]]*\]', "", code.lower()))}
+        styles = root.find(f"{MAIN}cellXfs")
+        kinds = [int(x.get("numFmtId", 0)) for x in (styles if styles is not None else ())]
+        return {i for i, kind in enumerate(kinds) if kind in shown or (kind in DATE_FORMATS and kind not in custom)}
+
+    def value(self, cell):
+        kind = cell.get("t", "n")
+        if kind == "inlineStr":
+            inline = cell.find(f"{MAIN}is")
+            return None if inline is None else _text(inline)
+        raw = cell.findtext(f"{MAIN}v")
+        if raw is None or kind == "e":
+            return None
+        if kind == "s":
+            return self.shared[int(raw)]
+        if kind == "b":
+            return raw == "1"
+        if kind in ("str", "d"):
+            return raw
+        if int(cell.get("s", 0)) in self.dates:
+            moment = self.start + datetime.timedelta(seconds=round(float(raw) * 86_400))
+            return moment if moment.time() != datetime.time() else moment.date()
+        return int(raw) if re.fullmatch(r"-?[0-9]+", raw) else float(raw)
 
 
 def sheet_rows(content: bytes) -> Iterator[dict]:
-    """Rows of the first sheet as dicts keyed by its header row."""
-    with zipfile.ZipFile(io.BytesIO(content)) as book:
-        shared: list[str] = []
-        if SHARED in book.namelist():
-            for item in ElementTree.fromstring(book.read(SHARED)).iter(f"{MAIN}si"):
-                shared.append("".join(t.text or "" for t in item.iter(f"{MAIN}t")))
+    """Rows of the workbook's first sheet as dicts keyed by its header row.
+
+    Cells styled as dates become dates (or datetimes, with a time of day), error cells are missing values, and a cell that
+    does not say where it stands follows the one before it.
+    """
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        book = _Book(archive)
         header: dict[int, str] | None = None
-        with book.open(SHEET) as sheet:
+        with archive.open(book.sheet) as sheet:
             for _, row in ElementTree.iterparse(sheet):
                 if row.tag != f"{MAIN}row":
                     continue
-                cells = {_column_index(c.get("r")): _cell_value(c, shared) for c in row.iter(f"{MAIN}c")}
+                cells, at = {}, -1
+                for cell in row.findall(f"{MAIN}c"):
+                    at = _column_index(cell.get("r")) if cell.get("r") else at + 1
+                    cells[at] = book.value(cell)
                 if header is None:
-                    header = {i: str(name) for i, name in cells.items()}
+                    header = {i: str(name) for i, name in cells.items() if name is not None}
                 else:
                     yield {name: cells.get(i) for i, name in header.items()}
                 row.clear()

@@ -153,6 +153,43 @@ def test_spreadsheets_are_parsed_in_tasks(spark, rows, tmp_path):
     assert df.count() == 6
 
 
+def test_workbook_as_spreadsheet_programs_write_it():
+    """Sheet order and place from the workbook, dates by style, errors, phonetic text, rich text and cells without reference."""
+    space = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    links = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    cells = (
+        '<row><c t="s"><v>0</v></c><c t="s"><v>1</v></c><c t="inlineStr"><is><r><t>TO</t></r><r><t>TAL</t></r></is></c><c t="str"><v>AT</v></c></row>'
+        '<row><c s="1"><v>45306</v></c><c t="s"><v>2</v></c><c t="e"><v>#N/A</v></c><c s="2"><v>45306.5</v></c></row>'
+        '<row r="3"><c r="B3" t="b"><v>1</v></c><c r="C3"><v>1.5</v></c><c s="3"><v>2</v></c></row>'
+    )
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as book:
+        book.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{space}"><sheetData/></worksheet>')
+        book.writestr("xl/worksheets/data.xml", f'<worksheet xmlns="{space}"><sheetData>{cells}</sheetData></worksheet>')
+        book.writestr(
+            "xl/workbook.xml",
+            f'<workbook xmlns="{space}" xmlns:r="{links}"><sheets><sheet name="x" sheetId="7" r:id="rId9"/><sheet name="y" sheetId="1" r:id="rId1"/></sheets></workbook>',
+        )
+        book.writestr(
+            "xl/_rels/workbook.xml.rels",
+            '<Relationships xmlns="p"><Relationship Id="rId1" Target="worksheets/sheet1.xml"/><Relationship Id="rId9" Target="/xl/worksheets/data.xml"/></Relationships>',
+        )
+        book.writestr(
+            "xl/sharedStrings.xml", f'<sst xmlns="{space}"><si><t>DAY</t></si><si><t>NAME</t></si><si><t>X</t><rPh sb="0" eb="1"><t>yomi</t></rPh></si></sst>'
+        )
+        book.writestr(
+            "xl/styles.xml",
+            f'<styleSheet xmlns="{space}"><numFmts><numFmt numFmtId="170" formatCode="dd/mm/yyyy hh:mm"/><numFmt numFmtId="171" formatCode="0.0&quot; days&quot;"/></numFmts>'
+            '<cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="170"/><xf numFmtId="171"/></cellXfs></styleSheet>',
+        )
+    import datetime
+
+    assert list(sheet_rows(buffer.getvalue())) == [
+        {"DAY": datetime.date(2024, 1, 15), "NAME": "X", "TOTAL": None, "AT": datetime.datetime(2024, 1, 15, 12)},
+        {"DAY": None, "NAME": True, "TOTAL": 1.5, "AT": 2},
+    ]
+
+
 def test_tagged_union_and_empty_loads(spark, rows, db):
     full, empty = _frame(spark, [(1, "a")]), _frame(spark, []).withColumn("extra", F.lit(1))
     assert readers.union_tagged({"x": full, "y": empty}, "tag").columns == ["k", "v", "tag", "extra"]

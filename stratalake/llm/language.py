@@ -179,7 +179,9 @@ def _predict(pieces: list[str], langs: list[str], chances: np.ndarray):
         for batch in batches:
             for low, high in slices(batch.column(1)):
                 part = batch.slice(low, high - low)
-                words = [LETTERS.findall((t or "").lower()) for t in part.column(1).to_pylist()]
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                # Signs like a raised two count as word characters; a text of only those has no letter.
+                words = [LETTERS.findall(t.lower()) if any(map(str.isalpha, set(t))) else [] for t in texts]
                 counts = np.array([len(w) for w in words])
                 flat = [w for ws in words for w in ws]
                 new = [w for w in dict.fromkeys(flat) if w not in known]

@@ -45,7 +45,7 @@ def corpus(seed=5, n=90):
                 text = " ".join(words)
         rows.append((i * 3, text, lang, rng.choice(["s0", "s0", "s1", None])))
     rows += [(1, None, "en", "s0"), (2, "", None, None), (4, " \n\t ", "de", "s1"), (5, "one", "en", "s1"), (7, "One two three", "en", "s1"), (8, "one Two three ", "fr", "s1")]
-    rows += [(10, "¿!? 12 34 … 😀", "en", "s1"), (11, "tab\tand\x0bvertical\x0cfeed\r\nline", "en", "s1"), (13, "nbsp is a letter here too", "en", None)]
+    rows += [(10, "¿!? 12 34 … 😀", "en", "s1"), (16, "² ½ Ⅻ 5", "en", "s1"), (11, "tab\tand\x0bvertical\x0cfeed\r\nline", "en", "s1"), (13, "nbsp is a letter here too", "en", None)]
     long = sentences(rng, "en", 30_000)
     rows += [(500, long, "en", "s0"), (501, long, "en", "s0"), (502, "x" * 50_000, "de", "s0"), (503, "again and again " * 4_000, "en", "s1")]
     rows += [rows[3], rows[3], rows[20]]  # repeated rows

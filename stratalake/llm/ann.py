@@ -199,7 +199,7 @@ def nearest(df: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id",
       limit is applied before the shuffle. Queries are not left out.
 
     Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do rows without id and vectors of
-    another length than most. Fewer candidates than ``k`` give fewer rows; an empty table gives none.
+    another length than most. Repeated rows count once; different vectors of one id are all candidates and all asked. Fewer candidates than ``k`` give fewer rows; an empty table gives none.
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     rows = rows.where(usable(F.col("vector")) & F.col("id").isNotNull())
@@ -210,7 +210,8 @@ def nearest(df: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id",
     rows = rows.where(F.size("vector") == common["n"])
     copies = Window.partitionBy("key").orderBy("id")
     distinct = rows.withColumn("key", F.sha2(F.col("vector").cast("string"), 256))
-    distinct = store(distinct.withColumn("copy", F.row_number().over(copies)).where(f"copy <= {k + 1}"), "distinct")
+    distinct = distinct.withColumn("copy", F.dense_rank().over(copies)).where(f"copy <= {k + 1}")
+    distinct = store(distinct.dropDuplicates(["key", "id"]), "distinct")
     sample = distinct.where("copy = 1").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").collect()
     router = learn_router(np.array([r[0] for r in sample], np.float64), k)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.bpefile import PATTERN, BpeFile
-from stratalake.llm.wordhash import slices
+from stratalake.llm.wordhash import bounded_batches, slices
 
 LEAF_CHARS = 16_384
 FIRST_WINDOW = 8
@@ -168,7 +168,7 @@ def encode(df: DataFrame, path: str, leaf_chars: int = LEAF_CHARS, id_col: str =
     A null text counts as empty and has no ids. Repeated rows, also of long texts, come out as often as they went in. The file must be
     there on every executor.
     """
-    docs = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    docs = bounded_batches(df).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     short = docs.where(F.length("text") <= leaf_chars).mapInArrow(_encode(path, [0], ["doc_id", "ids"], 1), f"doc_id {kind}, ids array<int>")
     long = docs.where(F.length("text") > leaf_chars).select("doc_id", F.xxhash64("doc_id", "text").alias("mark"), "text")
@@ -192,7 +192,7 @@ def _decode(path: str, keep: int):
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """The rows with a column ``decoded``: the text of the ids, invalid UTF-8 replaced. A null list gives an empty text."""
-    rows = df.drop("decoded")
+    rows = bounded_batches(df).drop("decoded")
     rows = rows.withColumn(ids_col, F.coalesce(ids_col, F.expr("cast(array() as array<int>)")))
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes)
     return rows.mapInArrow(_decode(path, rows.columns.index(ids_col)), f"{schema}, decoded string")

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from stratalake.llm.components import connected_components
-from stratalake.llm.wordhash import Words, mix, range_hashes, salted, signed, slices
+from stratalake.llm.wordhash import Words, bounded_batches, mix, range_hashes, salted, signed, slices
 from stratalake.sources.scratch import discard, store
 
 SKETCH_WORDS = 8
@@ -190,7 +190,7 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A null or empty text has no shingles, links with nothing and is its own component. Rows with one id are taken for
     versions of one document and share its component; rows without id get a null component. An empty table gives no rows.
     """
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = bounded_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     base = store(docs.mapInArrow(_profiles(width, percent), PROFILE), "profiles")
     sketch = [f"s{i}" for i in range(SKETCH_WORDS)]
     classes = store(

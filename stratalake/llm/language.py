@@ -10,14 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.wordhash import mix, slices
+from stratalake.llm.wordhash import bounded_batches, mix, slices
 from stratalake.sources.scratch import store
 
 LETTERS = re.compile(r"[^\W\d_]+")
 START = "▁"
 #: Chance of a character that is no piece.
 UNSEEN = 1e-8
-CACHED = 300_000
+CACHED = 150_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -171,15 +171,19 @@ def learn(labelled: DataFrame, pieces: list[str], rounds: int = 2, smoothing: fl
     return langs, chances
 
 
-def _predict(pieces: list[str], langs: list[str], chances: np.ndarray):
+def _predict(pieces: list[str], langs: list[str], chances: np.ndarray, names: tuple[str, str] | None = None):
+    """``names`` are those of id and text within a struct ``row``, which is passed on, where the rows are carried along."""
+
     def predict(batches):
         lattice = Lattice(pieces)
         known: dict[str, int] = {}
         table = np.zeros((1 << 12, len(langs)))
         for batch in batches:
-            for low, high in slices(batch.column(1)):
+            flags, rows = batch.column(0), batch.column(1)
+            batch = pa.RecordBatch.from_arrays([flags, *([rows.field(n) for n in names] if names else batch.columns[1:])], names=["held_out", "doc_id", "text"])
+            for low, high in slices(batch.column(2)):
                 part = batch.slice(low, high - low)
-                texts = [t or "" for t in part.column(1).to_pylist()]
+                texts = [t or "" for t in part.column(2).to_pylist()]
                 # Signs like a raised two count as word characters; a text of only those has no letter.
                 words = [LETTERS.findall(t.lower()) if any(map(str.isalpha, set(t))) else [] for t in texts]
                 counts = np.array([len(w) for w in words])
@@ -199,17 +203,18 @@ def _predict(pieces: list[str], langs: list[str], chances: np.ndarray):
                 logs = np.zeros((len(words), len(langs)))
                 if flat and langs:
                     np.add.at(logs, np.repeat(np.arange(len(words)), counts), table[np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))])
-                names, scores = [], []
+                found, scores = [], []
                 for n, row in zip(counts.tolist(), logs, strict=True):
                     if not n or not langs:
-                        names.append("und")
+                        found.append("und")
                         scores.append(0.0)
                         continue
                     best = int(row.argmax())
-                    names.append(langs[best])
+                    found.append(langs[best])
                     scores.append(float(1 / np.exp(row - row[best]).sum()))
-                out = [part.column(0), part.column(2), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-                yield pa.RecordBatch.from_arrays([*out, *part.columns[3:]], names=["doc_id", "held_out", "lang_pred", "score", "row"][: len(out) + len(part.columns) - 3])
+                out = [part.column(1), part.column(0), pa.array(found, pa.string()), pa.array(scores, pa.float64())]
+                more = [rows.slice(low, high - low)] if names else []
+                yield pa.RecordBatch.from_arrays(out + more, names=["doc_id", "held_out", "lang_pred", "score", "row"][: len(out + more)])
 
     return predict
 
@@ -233,10 +238,11 @@ def identify_languages(
     the language that sorts first. With ``carry`` a column ``row`` holds the input row. Null languages are not learnt from. Repeated rows are judged alike. An empty table gives no rows.
     """
     pieces = read_pieces(path)
-    row = [F.struct(*df.columns).alias("row")] if carry else []
     kind = df.schema[id_col].dataType.simpleString()
-    known = df.where(~held_out(F.col(id_col), parts, part)).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    known = bounded_batches(df).where(~held_out(F.col(id_col), parts, part)).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     langs, chances = learn(known.where("lang IS NOT NULL AND text IS NOT NULL"), pieces)
-    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out(F.col(id_col), parts, part).alias("held_out"), *row)
+    columns = [F.struct(*df.columns).alias("row")] if carry else [F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")]
+    docs = bounded_batches(df).select(held_out(F.col(id_col), parts, part).alias("held_out"), *columns)
     carried = f", row {docs.schema['row'].dataType.simpleString()}" if carry else ""
-    return docs.mapInArrow(_predict(pieces, langs, chances), f"doc_id {kind}, held_out boolean, lang_pred string, score double{carried}")
+    predict = _predict(pieces, langs, chances, (id_col, text_col) if carry else None)
+    return docs.mapInArrow(predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double{carried}")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stratalake.llm.wordhash import Words, mix, range_hashes, salted, signed, slices
+from stratalake.llm.wordhash import Words, bounded_batches, mix, range_hashes, salted, signed, slices
 from stratalake.sources.scratch import store
 
 #: Bytes of text looked at together, within which repeats are found before anything is shuffled.
@@ -184,7 +184,7 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     don't remove each other; different texts of one id are told apart by a hash of their words. Texts of fewer words than ``length``
     have no windows. With ``carry`` a column ``row`` holds the other input columns. An empty table gives no rows.
     """
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = bounded_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sequences = store(docs.mapInArrow(_sequences, "doc_id long, n long, one long, two long"), "sequences")
     long = sequences.where(f"n >= {length} AND doc_id IS NOT NULL")
     copies = long.groupBy("n", "one", "two").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first != last")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.bpefile import BpeFile, Splitter, byte_alphabet
-from stratalake.llm.wordhash import mix, range_hashes, slices
+from stratalake.llm.wordhash import bounded_batches, mix, range_hashes, slices
 
 CACHED = 400_000
 
@@ -125,7 +125,7 @@ def token_counts(df: DataFrame, path: str, limit: int, id_col: str = "doc_id", t
     text has no bytes and no tokens; repeated rows and rows without id are counted like others. The file must be there
     on every executor.
     """
-    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    docs = bounded_batches(df).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     sized = docs.mapInArrow(_count(path), f"doc_id {kind}, n_bytes long, n_tokens long")
     return sized.withColumn("over_limit", F.col("n_tokens") > limit)

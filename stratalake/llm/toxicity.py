@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.language import held_out
-from stratalake.llm.wordhash import slices
+from stratalake.llm.wordhash import bounded_batches, slices
 from stratalake.sources.scratch import store
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -250,7 +250,7 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     table gives no rows.
     """
     kind = df.schema[id_col].dataType.simpleString()
-    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    docs = bounded_batches(df).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("toxic")).where(~held_out(F.col("doc_id"), parts, part))
     model = fit(docs, known)
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id"), parts, part).alias("held_out"))

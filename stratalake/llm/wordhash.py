@@ -46,6 +46,25 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mix(own + (ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
+#: Bytes of an Arrow batch. Spark's own bound is made for rows of numbers; texts are held several times over while a batch is worked on.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(df):
+    """The frame, with the session's Arrow batches bounded to ``BATCH_BYTES`` (a smaller bound stays as it is).
+
+    The bound stays set, as the frame is run later.
+    """
+    conf = df.sparkSession.conf
+    now = conf.get(_BATCH_SETTING).lower()
+    units = {"b": 0, "k": 10, "m": 20, "g": 30}
+    now = int(now.rstrip("bkmg")) << units.get(now.strip("0123456789")[:1], 0)
+    if now <= 0 or now > BATCH_BYTES:
+        conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return df
+
+
 def text_bytes(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a text column and the bounds of its rows; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -115,13 +115,20 @@ def by_length(words: list[str]) -> dict[int, list[int]]:
 
 
 def _word_counts(batches):
-    """Letter runs of training texts and how often they occur, by language, for each batch."""
+    """Letter runs of training texts and how often they occur, by language; added up over batches while there is room."""
+    found: dict[str, Counter] = {}
+
+    def rows():
+        for lang, words in found.items():
+            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(words), "word": pa.array(words.keys(), pa.string()), "n": pa.array(words.values(), pa.int64())})
+        found.clear()
+
     for batch in batches:
-        found: dict[str, Counter] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             found.setdefault(lang, Counter()).update(LETTERS.findall((text or "").lower()))
-        for lang, words in found.items():
-            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(words), "word": pa.array(words.keys(), pa.string()), "n": pa.array(words.values(), pa.int64())})
+        if sum(map(len, found.values())) > CACHED:
+            yield from rows()
+    yield from rows()
 
 
 #: Longer words are cut for learning only; scoring takes them whole.

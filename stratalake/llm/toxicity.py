@@ -97,22 +97,24 @@ class Model:
 
 
 def _contexts(batches):
-    """Words of labelled texts with a hash of the word before and after, once for each batch and label."""
+    """Words of labelled texts with a hash of the word before and after, once for each label while there is room."""
     import xxhash
 
+    seen: set[tuple[str, str, str, int]] = set()
+
+    def rows():
+        contexts = [xxhash.xxh64_intdigest(f"{a} {c}") - (1 << 63) for a, _, c, _ in seen]
+        out = [pa.array([s[1] for s in seen], pa.string()), pa.array(contexts, pa.int64()), pa.array([s[3] for s in seen], pa.int32())]
+        seen.clear()
+        return pa.RecordBatch.from_arrays(out, names=["word", "context", "toxic"])
+
     for batch in batches:
-        seen = set()
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words = ["", *LETTERS.findall((text or "").lower()), ""]
             seen.update(zip(words, words[1:], words[2:], [toxic] * (len(words) - 2), strict=False))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([s[1] for s in seen], pa.string()),
-                pa.array([xxhash.xxh64_intdigest(f"{a} {c}") - (1 << 63) for a, _, c, _ in seen], pa.int64()),
-                pa.array([s[3] for s in seen], pa.int32()),
-            ],
-            names=["word", "context", "toxic"],
-        )
+            if len(seen) > CACHED:
+                yield rows()
+    yield rows()
 
 
 def _significant(counts: DataFrame, share: float) -> DataFrame:

@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.sources.scratch import store
+from stratalake.sources.scratch import discard, store
 
-#: A string of one context's length at most is kept if it makes up this share of its length's strings or more,
-#: so there are at most ``1 / SHARE`` of each length, whatever the number of URLs.
-SHARE = 1 / 40_000
+#: The share of its length's strings below which a string is left out: none is. The plain version reads it.
+SHARE = 0.0
 ORDER = 5
+STRENGTH = 2.0
 BIN = 1 / 64
 #: Marks the start and the end of an address.
 EDGE = "\u0002"
@@ -46,23 +43,74 @@ def address() -> Column:
     return F.regexp_replace(F.concat(F.lit(EDGE), labels, F.col("path"), F.lit(EDGE)), "[0-9]", "0")
 
 
-def gram_counts(judged: DataFrame, order: int) -> DataFrame:
+def distinct_addresses(rows: DataFrame) -> DataFrame:
+    """``address, allow, block, id``: each address once, with how often rules accept and reject it."""
+    weights = rows.groupBy("address").agg(*[F.count_if(F.col("verdict") == v).alias(v) for v in ("allow", "block")])
+    return weights.withColumn("id", F.monotonically_increasing_id())
+
+
+def gram_counts(addresses: DataFrame, order: int) -> DataFrame:
     """How often each string of up to ``order + 1`` characters occurs in accepted and in rejected addresses."""
     grams = F.expr(f"flatten(transform(sequence(1, {order + 1}), k -> transform(sequence(1, greatest(length(address) - k + 1, 1)), i -> substring(address, i, k))))")
-    weights = judged.groupBy("address").agg(*[F.sum((F.col("verdict") == v).cast("long")).alias(v) for v in ("allow", "block")])
-    each = weights.select(F.explode(grams).alias("gram"), "allow", "block")
+    each = addresses.where("allow + block > 0").select(F.explode(grams).alias("gram"), "allow", "block")
     return each.groupBy("gram").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))
 
 
+def address_keys(addresses: DataFrame, order: int) -> DataFrame:
+    """``id, key`` for every character of an address but the first: its context of up to ``order`` characters and itself."""
+    keys = F.expr(f"transform(sequence(2, length(address)), i -> substring(address, greatest(1, i - {order}), least(i, {order + 1})))")
+    return addresses.select("id", F.explode(keys).alias("key"))
+
+
+def log_ratios(keys: DataFrame, counts: DataFrame, order: int, strength: float = STRENGTH) -> DataFrame:
+    """``key, ratio``: what :meth:`CharacterModels.ratio` gives for every key, by joins with the written counts.
+
+    Strings of one length are smoothed towards the results for the strings without their first character, length by length.
+    """
+    ends = F.expr("transform(sequence(1, length(key)), k -> right(key, k))")
+    strings = store(keys.select("key").distinct().select(F.explode(ends).alias("key")).distinct(), "strings")
+    alphabet = 1 + counts.where("length(gram) = 1").count()
+    context = F.expr("substring(gram, 1, length(gram) - 1)").alias("context")
+    totals = store(counts.groupBy(context).agg(F.sum("allow").alias("all_allow"), F.sum("block").alias("all_block")), "totals")
+    levels = []
+    for n in range(1, order + 2):
+        level = strings.where(F.length("key") == n).withColumns({"context": F.substring("key", 1, n - 1), "rest": F.expr("substring(key, 2)")})
+        level = level.join(counts, F.col("key") == F.col("gram"), "left").join(totals, "context", "left")
+        if levels:
+            level = level.join(levels[-1].select(F.col("key").alias("rest"), F.col("p").alias("p0"), F.col("q").alias("q0")), "rest")
+        else:
+            level = level.withColumns({"p0": F.lit(1.0 / alphabet), "q0": F.lit(1.0 / alphabet)})
+        smoothed = {
+            to: F.when(F.col(total).isNull(), F.col(to + "0")).otherwise((F.coalesce(count, F.lit(0)) + strength * F.col(to + "0")) / (F.col(total) + strength))
+            for to, count, total in (("p", "allow", "all_allow"), ("q", "block", "all_block"))
+        }
+        levels.append(store(level.withColumns(smoothed).select("key", "p", "q"), "level"))
+    out = levels[0]
+    for level in levels[1:]:
+        out = out.union(level)
+    out = store(out.select("key", F.ln(F.col("p") / F.col("q")).alias("ratio")), "ratios")
+    discard(strings, totals, *levels)
+    return out
+
+
+def address_scores(addresses: DataFrame, counts: DataFrame, order: int) -> DataFrame:
+    """``address, score`` of every address. The sum is one of decimals, so that it doesn't depend on the rows' order."""
+    ratios = log_ratios(address_keys(addresses, order), counts, order)
+    sums = address_keys(addresses, order).join(ratios, "key").groupBy("id").agg(F.sum(F.col("ratio").cast("decimal(24,14)")).cast("double").alias("total"))
+    sums = addresses.join(sums, "id", "left")
+    return sums.select("address", (F.coalesce("total", F.lit(0.0)) / F.greatest(F.length("address") - 1, F.lit(1))).alias("score"))
+
+
 class CharacterModels:
     """Two variable-order Markov models with common contexts.
 
     A character's probability after a context is its share there, smoothed towards its probability after the
     context without its first character, down to an even chance for each known character. Contexts that
-    were not kept pass it on unchanged, so the order varies with what was seen.
+    were not seen pass it on unchanged, so the order varies with what was seen. This is the plain version of
+    :func:`log_ratios` for counts that fit one process.
     """
 
-    def __init__(self, grams: dict[str, tuple[int, int]], order: int, strength: float = 2.0):
+    def __init__(self, grams: dict[str, tuple[int, int]], order: int, strength: float = STRENGTH):
         self.grams, self.order, self.strength = grams, order, strength
         self.totals: dict[str, tuple[int, int]] = {}
         for gram, (a, b) in grams.items():
@@ -97,15 +145,6 @@ class CharacterModels:
         return total / max(1, len(address) - 1)
 
 
-def _scores(grams: dict[str, tuple[int, int]], order: int):
-    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        models = CharacterModels(grams, order)
-        for addresses in batches:
-            yield pd.Series([models.score(a) for a in addresses], dtype="float64")
-
-    return scores
-
-
 def _threshold(scored: DataFrame) -> float:
     """The score from which fewest judged addresses are on the wrong side, both verdicts weighing alike."""
     rows = scored.groupBy(F.floor(F.col("score") / BIN).alias("bin")).agg(
@@ -128,8 +167,8 @@ def judge_urls(df: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_
     variable-order character models decide, learnt from the addresses (host from the top domain down, then path) that rules
     accept and reject: the mean log-likelihood difference per character against the threshold that separates the learnt addresses best.
 
-    Strings are counted in Spark over all judged URLs, equal addresses first; strings rarer than ``SHARE`` of their length are
-    left to shorter contexts, so the models hold at most ``(order + 1) / SHARE`` strings at any size and are sent to every task.
+    All strings are counted in Spark over all judged URLs, equal addresses first, and stay a written table. The distinct addresses'
+    characters are joined with it, so nothing that grows with the URLs is sent to a task or to the driver.
     The threshold comes from counts of score bins. If the rules accept or reject nothing at all, the threshold is 0.
 
     A null URL or one without ``://`` has empty host and path, fits no rule and is judged by the models like others. Rows that
@@ -140,12 +179,10 @@ def judge_urls(df: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": rule, "verdict": verdict}).withColumn("address", address())
     rows = store(rows, "addresses")
-    counts = store(gram_counts(rows.where("verdict IS NOT NULL"), order), "grams")
-    total = counts.groupBy(F.length("gram").alias("n")).agg(F.sum(F.col("allow") + F.col("block")).alias("total"))
-    kept = counts.join(F.broadcast(total), F.length("gram") == F.col("n")).where(f"allow + block >= total * {SHARE}")  # one row a length
-    grams = {r["gram"]: (r["allow"], r["block"]) for r in kept.select("gram", "allow", "block").collect()}
-    score = F.pandas_udf(_scores(grams, order), "double")
-    scored = store(rows.withColumn("score", score("address")), "scored")
+    addresses = store(distinct_addresses(rows), "distinct")
+    counts = store(gram_counts(addresses, order), "grams")
+    scored = store(rows.join(address_scores(addresses, counts, order), "address"), "scored")
+    discard(rows, addresses, counts)
     threshold = _threshold(scored.where("verdict IS NOT NULL"))
     verdict = F.coalesce("verdict", F.when(F.col("score") >= threshold, "allow").otherwise("block"))
     return scored.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")

@@ -227,3 +227,28 @@ def test_models_tell_unseen_hosts_apart(spark):
     got = {r[0]: r[1:] for r in result(urlmodel.judge_urls(df, URL_RULES), "page_id", "rule", "verdict", "score")}
     like_blocked, like_allowed = got[len(URLS)], got[len(URLS) + 1]
     assert like_blocked[:2] == (None, "block") and like_allowed[:2] == (None, "allow") and like_blocked[2] < like_allowed[2]
+
+
+def test_rare_strings_are_counted_among_many(spark):
+    """Far more than 40,000 strings of a length, so that a string seen a few times makes up less than 1 / 40,000 of them."""
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 12))
+    urls = [f"https://{word()}.com/fr/{word()}" for _ in range(3500)] + [f"https://{word()}.net/es/{word()}" for _ in range(1200)]
+    urls += [f"https://a{i}.net/fr/qzjxkv" for i in range(3)] + [f"https://b{i}.com/qzjxkw" for i in range(3)] + ["https://c.org/qzjxkv", "https://c.org/qzjxkw"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = urlmodel.judge_urls(df, URL_RULES)
+    got = {r["page_id"]: r for r in rows.collect()}
+    grams, total = Counter(), defaultdict(lambda: [0, 0])
+    for i, r in got.items():
+        if r["rule"]:
+            a = re.sub("[0-9]", "0", urlmodel.EDGE + ".".join(reversed(r["host"].split("."))) + r["path"] + urlmodel.EDGE)
+            for k in range(1, urlmodel.ORDER + 2):
+                for j in range(max(len(a) - k + 1, 1)):
+                    total[a[j : j + k]][r["verdict"] == "block"] += 1
+                    grams[k] += 1
+    assert min(grams[k] for k in (5, 6)) > 3 * 40_000 and sum(total["qzjxkv"]) <= 3
+    models = urlmodel.CharacterModels({g: tuple(v) for g, v in total.items()}, urlmodel.ORDER)
+    for i, r in got.items():
+        a = re.sub("[0-9]", "0", urlmodel.EDGE + ".".join(reversed(r["host"].split("."))) + r["path"] + urlmodel.EDGE)
+        assert r["score"] == pytest.approx(models.score(a), abs=1e-9), urls[i]
+    assert got[len(urls) - 2]["score"] < got[len(urls) - 1]["score"]

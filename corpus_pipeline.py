@@ -20,8 +20,8 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of near copies. Rows without id stay."""
-    groups = jaccard.jaccard_groups(docs)
+    """The document of smallest id of each group of near copies: 80 % of 5-word shingles or more. Rows without id stay."""
+    groups = jaccard.jaccard_groups(docs, width=5, percent=80)
     gone = groups.where("component_id < doc_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

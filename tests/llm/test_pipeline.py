@@ -70,6 +70,17 @@ def test_stages_are_those_of_the_plain_versions(spark, folder):
     assert result(corpus_pipeline.run(spark, folder), *five.columns) == sorted(expected, key=repr)
 
 
+def test_near_copies_by_five_words_and_four_fifths(spark, tmp_path):
+    """Copies with a 5-word similarity from 0.80 to 0.85, and one just below."""
+    words = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join(words), "en", "s0")]
+    rows += [(2 + k, " ".join([*words, *(f"n{k}x{i}" for i in range(more))]), "en", "s0") for k, more in enumerate((18, 24, 25))]
+    groups = {i: g for i, _, g in plain_groups(rows, 5, 80)}
+    assert groups == {1: 1, 2: 1, 3: 1, 4: 4} and {g for _, _, g in plain_groups(rows, 4, 85)} == {1, 2, 3, 4}
+    got = corpus_pipeline.near_duplicates(spark, frame(spark, rows, extra=False), str(tmp_path))
+    assert result(got, "doc_id") == [(1,), (4,)]
+
+
 def test_empty_documents(spark, tmp_path):
     frame(spark, [], extra=False).write.parquet(f"{tmp_path}/documents.parquet")
     assert result(corpus_pipeline.run(spark, str(tmp_path)), "doc_id") == []

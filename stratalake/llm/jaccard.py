@@ -172,11 +172,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     return links
 
 
-def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
+def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85, count_links: bool = False) -> DataFrame:
     """Groups of documents linked by ``percent`` % or more Jaccard similarity of their ``width``-word shingles.
 
-    Returns ``doc_id, n_shingles, component_id, n_links``: the size of the document's set, the smallest id that links
-    reach from it, and the verified links of its set. Texts are lower-cased (A-Z); a text of fewer words is one shingle.
+    Returns ``doc_id, n_shingles, component_id``: the size of the document's set and the smallest id that links reach
+    from it. With ``count_links`` also ``n_links``, to how many different sets the document's set is linked. Texts are lower-cased (A-Z); a text of fewer words is one shingle.
 
     * Sets that are equal form a class first (by a 128-bit sum of shingle hashes), so that copies cost one row.
     * Every set is cut into blocks by hash and each block XORed into one value: a sketch whose blocks differ in at most
@@ -184,7 +184,8 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     * A second sketch of 512 parity bits gives a lower bound of the difference and drops hopeless pairs.
     * In each bucket of equal blocks the best connected member is compared with the others, so a group of near copies
       costs one comparison a member. Only members of buckets that this leaves in several components are then
-      compared with each other.
+      compared with each other. To count links all members of a bucket are compared, which grows with the square of a
+      group's different sets; components need no more than the above.
     * Pairs are decided by their whole shingle sets (64-bit hashes of the shingles).
 
     A null or empty text has no shingles, links with nothing and is its own component. Rows with one id are taken for
@@ -227,21 +228,27 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # Members of one bucket that are still in different groups may have missed a link.
     placed = shared.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("g", F.coalesce("component", "rep"))
     placed = store(placed.select("sig", "rep", "g"), "placed")
-    split = placed.groupBy("sig").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo != hi").select("sig")
-    rest = store(placed.join(split, "sig", "left_semi").join(facts, "rep"), "rest")
+    if not count_links:
+        split = placed.groupBy("sig").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo != hi").select("sig")
+        placed = placed.join(split, "sig", "left_semi")
+    rest = store(placed.join(facts, "rep"), "rest")
     left, right = (rest.select(*[F.col(c).alias(f"{side}_{c}") for c in rest.columns]) for side in "ab")
-    more = left.join(right, (F.col("a_sig") == F.col("b_sig")) & (F.col("a_rep") < F.col("b_rep")) & (F.col("a_g") != F.col("b_g")) & near)
+    more = left.join(right, (F.col("a_sig") == F.col("b_sig")) & (F.col("a_rep") < F.col("b_rep")) & (F.lit(count_links) | (F.col("a_g") != F.col("b_g"))) & near)
     more = more.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
     links = links.union(_verified(store(more, "more"), docs, width, percent))
     groups = store(connected_components(links), "groups")
 
-    ends = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("links"))
-    tags = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left").join(ends, "rep", "left")
-    tags = tags.select("n", "fp1", "fp2", F.coalesce("component", "rep").alias("component_id"), F.coalesce("links", F.lit(0)).alias("n_links"))
+    tags = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+    columns = ["n", "fp1", "fp2", F.coalesce("component", "rep").alias("component_id")]
+    if count_links:
+        links = links.distinct()  # repeated rows repeat theirs
+        ends = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("links"))
+        tags, columns = tags.join(ends, "rep", "left"), [*columns, F.coalesce("links", F.lit(0)).alias("n_links")]
+    tags = tags.select(*columns)
     out = base.select("doc_id", "n", "fp1", "fp2").join(store(tags, "tags"), ["n", "fp1", "fp2"], "left")
     return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        *([F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")] if count_links else []),
     )

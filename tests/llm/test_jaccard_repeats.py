@@ -55,6 +55,21 @@ def test_group_of_near_copies_needs_no_hub(spark):
     assert result(got, "doc_id", "n_shingles", "component_id") == plain_groups(rows, 4, 85)
 
 
+def test_links_are_counted_between_all_different_sets(spark):
+    """Twelve texts that are all linked, three copies of one of them, and the corpus."""
+    base = [f"w{i}" for i in range(200)]
+    rows = [(1000 + i, " ".join([*base[: i * 9], f"v{i}", *base[i * 9 + 1 :]]), "en", "s0") for i in range(12)]
+    rows += [(1100 + i, rows[4][1], "en", "s0") for i in range(3)] + corpus(n=60)
+    sets = {i: frozenset(shingles(t, 4)) for i, t, *_ in rows if i is not None}
+    kinds = {s for s in sets.values() if s}
+    expected = {i: sum(s != o and 100 * len(s & o) >= 85 * len(s | o) for o in kinds) if s else 0 for i, s in sets.items()}
+    assert expected[1000] == 11 and expected[1100] == 11
+    got = jaccard.jaccard_groups(frame(spark, rows), count_links=True)
+    assert {i: n for i, n in result(got, "doc_id", "n_links") if i is not None} == expected
+    assert result(got, "doc_id", "n_shingles", "component_id") == plain_groups(rows, 4, 85)
+    assert "n_links" not in jaccard.jaccard_groups(frame(spark, rows[:3])).columns
+
+
 def test_bands_leave_an_untouched_block():
     for percent in (50, 85, 100):
         lows, highs, blocks, spare = jaccard.size_bands(percent)

@@ -74,6 +74,24 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], total: float, rounds:
     return cells
 
 
+def calibrated(fitted: DataFrame, size: float) -> float:
+    """The ``c`` for which the chances ``min(1, c * f)`` of all cells give ``size`` tokens; infinite if there are fewer.
+
+    Cells at chance 1 are taken out and the rest scaled anew, until no further cell reaches 1. Each step can only raise ``c``.
+    """
+    c, full = 0.0, -1
+    while True:
+        whole = F.col("f") * c >= 1
+        row = fitted.where("tokens > 0 AND f > 0").agg(
+            F.count_if(whole).alias("n"), F.sum(F.when(whole, F.col("tokens"))).alias("taken"), F.sum(F.when(~whole, F.col("tokens") * F.col("f"))).alias("rest")
+        ).first()
+        if row["n"] == full:
+            return c
+        if not row["rest"]:
+            return float("inf")
+        c, full = (size - (row["taken"] or 0)) / row["rest"], row["n"]
+
+
 def mix(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -83,6 +101,7 @@ def mix(
     targets: dict[str, dict[str, float]] | None = None,
     temper: float = TEMPER,
     rounds: int = ROUNDS,
+    size: float | None = None,
 ) -> DataFrame:
     """``row, n_tokens, source, lang, topic, weight, probability, selected``: a sample that has the target mix of tokens.
 
@@ -90,6 +109,9 @@ def mix(
     not given are tempered: the present shares to the power ``temper``. Iterative proportional fitting over the cells
     (source, language, topic) finds a weight for each that meets all margins at once. A document's probability is its cell's weight over the
     largest one, so the expected sample has exactly the fitted mix; it is chosen if a number made of its id's MD5 is below.
+    The cell of largest weight alone then sets how much is chosen. With ``size``, the expected tokens of the sample, the probability is
+    ``min(1, c * weight)`` with ``c`` such that all cells together give ``size``; one more column, ``shortfall``, has the share
+    of its cell's tokens in the mix that the cell lacks though all of it is chosen.
 
     Tokens are words. A topic is the kind of text by :data:`TOPICS`. Only the cells (one number each) are fitted; documents are read twice
     and neither moved nor gathered but for the join with their cells. Null margins count as an empty value, null texts have no tokens and are
@@ -100,6 +122,11 @@ def mix(
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
     shares = {m: store(target_shares(cells, m, (targets or {}).get(m), temper), "shares") for m in MARGINS}
     fitted = rake(cells, shares, total, rounds) if total else store(cells.withColumn("f", F.lit(1.0)), "cells")
+    chosen = (F.col("u") < F.col("probability")).alias("selected")
+    if size is not None:
+        asked = F.when(F.col("f") > 0, F.col("f") * (calibrated(fitted, size) if total else 1.0)).otherwise(0.0)
+        cell = fitted.select(*MARGINS, F.col("f").alias("weight"), F.least(F.lit(1.0), asked).alias("probability"), F.greatest(F.lit(0.0), 1 - 1 / F.greatest(asked, F.lit(1.0))).alias("shortfall"))
+        return rows.join(cell, list(MARGINS)).select("row", "n_tokens", *MARGINS, "weight", "probability", chosen, "shortfall")
     largest = fitted.where("tokens > 0").agg(F.max("f")).first()[0] or 1.0
     cell = fitted.select(*MARGINS, F.col("f").alias("weight"), F.least(F.lit(1.0), F.col("f") / F.lit(largest)).alias("probability"))
-    return rows.join(cell, list(MARGINS)).select("row", "n_tokens", *MARGINS, "weight", "probability", (F.col("u") < F.col("probability")).alias("selected"))
+    return rows.join(cell, list(MARGINS)).select("row", "n_tokens", *MARGINS, "weight", "probability", chosen)

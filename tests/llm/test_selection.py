@@ -151,6 +151,26 @@ def test_margins_meet_their_targets(spark):
             assert sums[lang] / total == pytest.approx(share / (1 if sums.get("") else 0.99), rel=0.05)
 
 
+def test_size_is_met_whatever_a_stray_row_weighs(spark):
+    rows = [r for r in corpus(seed=2) if r[0] is None or r[0] < 500]
+    stray = [*rows, (9001, "word " * 60, None, "unseen")]
+    tokens = sum(len(WORDS.findall(t or "")) for _, t, *_ in rows)
+    got = mixing.mix(frame(spark, stray), size=tokens * 0.9, rounds=4).collect()
+    assert sum(r["n_tokens"] * r["probability"] for r in got) == pytest.approx(tokens * 0.9)
+    assert sum(r["n_tokens"] * r["probability"] for r in got if r["row"]["doc_id"] != 9001) >= tokens * 0.9 - 60 - 1e-6  # all but the stray row's own 60
+    scale = max(r["probability"] / r["weight"] for r in got if r["n_tokens"])
+    assert all(r["probability"] == pytest.approx(min(1.0, scale * r["weight"])) for r in got)
+    assert all(r["shortfall"] == pytest.approx(max(0.0, 1 - 1 / max(1.0, scale * r["weight"])), abs=1e-9) for r in got)
+
+
+def test_chances_fill_a_given_size(spark):
+    cells = spark.createDataFrame([(1000, 1.0), (500, 0.5), (10, 40.0), (20, 3.0), (7, 0.0), (0, 99.0)], "tokens long, f double")
+    for size in (0, 200, 700, 1300, 1529):
+        c = mixing.calibrated(cells, size)
+        assert sum(t * min(1.0, c * f) for t, f in ((1000, 1.0), (500, 0.5), (10, 40.0), (20, 3.0))) == pytest.approx(size)
+    assert mixing.calibrated(cells, 1600) == math.inf
+
+
 URLS = (
     [f"https://www.shop{i % 5}.com/fr/{i}?x=1" for i in range(40)]
     + [f"http://a{i % 3}.example.com/en/{i}#top" for i in range(40)]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import ann, bpe, jaccard, language, mixing, outliers, repeats, tokencount, toxicity, urlmodel
+from stratalake.llm import ann, audit, bpe, jaccard, language, minhash, mixing, outliers, repeats, runs, tokencount, toxicity, urlmodel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -251,3 +251,132 @@ def op2_mixing(spark, folder):
     """Every document's weight and whether it is in a sample of tempered shares of sources, languages and topics."""
     rows = mixing.mix(documents(spark, folder))
     return rows.select("row.doc_id", "n_tokens", "topic", F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "selected")
+
+
+#: CRC-32 of an id's decimal digits: every byte goes in from below, eight shifts each with the reversed polynomial.
+_CRC_SQL = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), "
+    "lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"
+)
+
+
+def _runs_sql(levels: int = 17) -> str:
+    """Factors of 1, 2, 4 … words are named by rank; equal distances to the next occurrence side by side are a run. Right for texts of up to ``4 * 2 ** (levels - 1)`` words."""
+    steps = []
+    for k in range(levels):
+        names = "SELECT doc_id, i, dense_rank() OVER (ORDER BY doc_id, word) AS name FROM words"
+        if k:
+            names = (
+                f"SELECT a.doc_id, a.i, dense_rank() OVER (ORDER BY a.name, b.name) AS name FROM level{k - 1} a "
+                f"JOIN level{k - 1} b ON b.doc_id = a.doc_id AND b.i = a.i + {1 << (k - 1)}"
+            )
+        steps.append(f"level{k} AS MATERIALIZED (SELECT * FROM ({names}) QUALIFY count(*) OVER (PARTITION BY name) > 1)")
+        near = f"gap <= {1 << k} AND 2 * gap > {1 << k}"
+        steps.append(
+            f"runs{k} AS (SELECT doc_id, min(i) AS start, max(i) - min(i) + {1 << k} + gap AS length, gap AS period FROM "
+            f"(SELECT doc_id, i, gap, i - row_number() OVER (PARTITION BY doc_id, gap ORDER BY i) AS island FROM "
+            f"(SELECT doc_id, i, lead(i) OVER (PARTITION BY name ORDER BY i) - i AS gap FROM level{k}) WHERE {near}) "
+            f"GROUP BY doc_id, gap, island HAVING length >= greatest(6, 4 * gap))"
+        )
+    every = " UNION ALL ".join(f"SELECT * FROM runs{k}" for k in range(levels))
+    return rf"""
+    WITH own AS (
+        SELECT doc_id, {SQL_WORDS.format("text")} AS w, {_CRC_SQL.format("doc_id")} AS h FROM documents
+    ), places AS (
+        SELECT *, (h // 10) % greatest(len(w), 1) AS a, 1 + (len(w) - (h // 10) % greatest(len(w), 1)) // (3 + (h // 10) % 8) AS p FROM own
+    ), words AS MATERIALIZED (
+        SELECT doc_id, i, w[1 + CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END] AS word
+        FROM (SELECT *, unnest(range(len(w))) AS i FROM places)
+    ), {", ".join(steps)}, runs AS MATERIALIZED ({every}), listed AS (
+        SELECT doc_id, count(*) AS n_runs, first({{'start': start, 'length': length, 'period': period}} ORDER BY length DESC, start, period) AS best,
+            string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+        FROM runs GROUP BY doc_id
+    ), gone AS (
+        SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+    ), kept AS (
+        SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.i) AS text FROM words LEFT JOIN gone USING (doc_id, i) WHERE gone.i IS NULL GROUP BY words.doc_id
+    )
+    SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+        1000 * best.length // best.period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+    FROM documents d LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """
+
+
+@query(_runs_sql())
+def op11_periodic_runs(spark, folder):
+    """Every document's periodic runs, one in ten with a planted one, and the text with every run cut to its first period."""
+    return runs.find_runs(documents(spark, folder), rewrite=runs.planted).drop("runs")
+
+
+@query(
+    rf"""
+    WITH texts AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {SQL_WORDS.format("text")} AS w FROM documents
+    ), earliest AS (
+        SELECT t, min(doc_id) AS first FROM texts GROUP BY t
+    ), marks AS (
+        SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+    ), kinds AS MATERIALIZED (
+        SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n,
+            concat(CASE WHEN len(w) < 100 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' END,
+                CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 'C' END,
+                CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN doc_id > first THEN 'E' END) AS fails
+        FROM texts JOIN earliest USING (t) LEFT JOIN marks USING (doc_id) GROUP BY ALL
+    ), letters AS (
+        SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+    ), steps AS (
+        SELECT filter_order, step, substr(filter_order, step, 1) AS letter, substr(filter_order, 1, step - 1) AS earlier
+        FROM (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, unnest([1, 2, 3, 4, 5]) AS step
+            FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+                JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x))
+    ), outcomes AS (
+        SELECT part, filter_order, step, letter, n, good, toxic, fails = letter AS alone, contains(fails, letter) AS failing,
+            length(translate(earlier, fails, '')) < length(earlier) AS gone
+        FROM kinds, steps
+    ), summed AS (
+        SELECT part, filter_order, step, letter,
+            sum(CASE WHEN NOT gone AND NOT failing THEN n ELSE 0 END)::BIGINT AS kept, sum(CASE WHEN failing AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+            sum(CASE WHEN failing AND gone THEN n ELSE 0 END)::BIGINT AS redundant, sum(CASE WHEN alone THEN n ELSE 0 END)::BIGINT AS unique_fails,
+            sum(CASE WHEN failing AND NOT gone AND good THEN n ELSE 0 END)::BIGINT AS good_lost,
+            sum(CASE WHEN failing AND NOT gone AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost
+        FROM outcomes GROUP BY ALL
+    )
+    SELECT * EXCLUDE (letter), sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley FROM summed
+    """
+)
+def op12_filter_audit(spark, folder):
+    """What five filters remove at every step of all their orders, by language."""
+    return audit.audit_documents(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+@query(
+    rf"""
+    WITH RECURSIVE lowered AS (
+        SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+    ), words AS (
+        SELECT doc_id, {SQL_WORDS.format("t")} AS w FROM lowered
+    ), shingles AS (
+        SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 2 THEN [w[1]]
+            ELSE list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) END) AS s
+        FROM words
+    ), sizes AS (
+        SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+    ), links AS (
+        SELECT a.doc_id AS a, b.doc_id AS b
+        FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+            JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+        WHERE 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+        GROUP BY a.doc_id, b.doc_id, x.n, y.n
+        HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+    ), reach AS (
+        SELECT doc_id AS a, doc_id AS b FROM documents
+        UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+    )
+    SELECT *, doc_id = component_id AS kept FROM (
+        SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, min(r.b) AS component_id
+        FROM documents d JOIN reach r ON r.a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id, s.n)
+    """
+)
+def op13_minhash_dedup(spark, folder):
+    """Every document's group of near copies, by MinHash tables whose keys combine two small collections."""
+    return minhash.minhash_groups(documents(spark, folder))

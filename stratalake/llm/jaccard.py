@@ -2,93 +2,95 @@
 
 from __future__ import annotations
 
+from functools import cache
+from math import ceil, erf, log, sqrt
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
-
-from stratalake.llm.components import connected_components
-from stratalake.llm.wordhash import Words, bounded_batches, mix, range_hashes, salted, signed, slices
-from stratalake.sources.scratch import discard, store
-
-SKETCH_WORDS = 8
-PROFILE = T.StructType(
-    [
-        T.StructField("doc_id", T.LongType()),
-        T.StructField("n", T.LongType()),
-        T.StructField("fp1", T.LongType()),
-        T.StructField("fp2", T.LongType()),
-        T.StructField("signatures", T.ArrayType(T.LongType(), False)),
-        *[T.StructField(f"s{i}", T.LongType()) for i in range(SKETCH_WORDS)],
-    ]
-)
-
 
+from stratalake.llm.similar import FACTS, LONGS, set_facts, shingle_sets, similar_groups
+from stratalake.llm.wordhash import Words, bounded_batches, mix, salted, signed, slices
+from stratalake.sources.scratch import store
+
+PROFILE = T.StructType([*FACTS, T.StructField("signatures", LONGS)])
+#: Chance that a set is dealt into too few blocks of every partition of its band.
+FEW_BLOCKS = 1e-9
+#: Blocks to try, as multiples of the least number.
+_WIDER = (1, 1.02, 1.05, 1.1, 1.15, 1.2, 1.3, 1.4, 1.5, 1.75, 2, 2.5, 3, 4, 6, 8, 12)
+_EXACT = 400
+
+
+def chance_of_few(n: int, blocks: int, most: int) -> float:
+    """Chance that ``n`` elements dealt by hash leave at most ``most`` blocks with an element; by a normal law for large sets."""
+    if most >= min(n, blocks):
+        return 1.0
+    if n <= _EXACT:
+        p, k = np.zeros(blocks + 1), np.arange(blocks + 1)
+        p[0] = 1
+        for _ in range(n):
+            q = p * k / blocks
+            q[1:] += p[:-1] * (blocks - k[:-1]) / blocks
+            p = q
+        return float(p[: most + 1].sum())
+    empty = (1 - 1 / blocks) ** n
+    mean = blocks * (1 - empty)
+    spread = blocks * empty * (1 - empty) + blocks * (blocks - 1) * ((1 - 2 / blocks) ** n - empty**2)
+    return 0.5 * (1 + erf((most + 0.5 - mean) / sqrt(2 * max(spread, 1e-9))))
+
+
+@cache
 def size_bands(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Least and greatest set size, blocks and spare blocks of every band.
+    """Least and greatest set size, blocks of a partition and number of partitions of every band.
 
-    Sets with similarity of ``percent`` % or more, the larger one in a band up to ``high``, differ
-    in at most ``(100 - percent) / (100 + percent) * 2 * high`` elements. That many plus one blocks
-    leave one untouched; with the spare ones, some untouched block also holds an element unless
-    more blocks of both sets than there are spare ones are empty.
+    Sets with similarity of ``percent`` % or more, the larger one in a band up to ``high``, differ in at most ``(100 - percent) / (100 + percent) * 2 * high``
+    elements, and so in at most as many blocks of a partition. If the larger one has elements in more blocks than that, one of these is the same in
+    both. Blocks and partitions are chosen so that this fails for all partitions of a band with a chance of ``FEW_BLOCKS`` at most, and so
+    that a set has as few filled blocks as that allows. So only blocks with elements need a signature, and sets that share no element share none.
     """
-    low, bounds = 1, []
+    low, bands = 1, []
+    growth = 14 if percent >= 70 else 11
     while low < 1 << 40:
-        high = max(low, low * 14 // 10)
-        bounds.append((low, high))
+        high = max(low, low * growth // 10)
+        differ = 2 * high * (100 - percent) // (100 + percent)
+        best = None
+        for wider in _WIDER:
+            blocks = ceil((differ + 1) * wider)
+            few = chance_of_few(low, blocks, differ)
+            if few < 0.5:
+                partitions = 1 if few <= FEW_BLOCKS else ceil(log(FEW_BLOCKS) / log(few))
+                filled = partitions * blocks * (1 - (1 - 1 / blocks) ** low)
+                best = min(best or (filled, blocks, partitions), (filled, blocks, partitions))
+        bands.append((low, high, *best[1:]))
         low = high + 1
-    lows, highs = (np.array(x, np.int64) for x in zip(*bounds, strict=True))
-    differ = 2 * highs * (100 - percent) // (100 + percent)
-    spare = np.where(differ > 0, 1 + differ // 16, 0)
-    return lows, highs, differ + 1 + spare, spare
-
-
-def shingle_sets(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each text, as (text, hash) sorted by both; a short text is one shingle."""
-    hashes, counts = words.hashes(), words.counts
-    starts, grams = words.windows(hashes, width)
-    texts = words.texts()[starts]
-    short = np.flatnonzero((counts > 0) & (counts < width))
-    if len(short):
-        grams = np.concatenate([grams, range_hashes(hashes, words.first[short], words.first[short + 1])])
-        texts = np.concatenate([texts, short])
-    order = np.lexsort((grams, texts))
-    texts, grams = texts[order], grams[order]
-    new = np.ones(len(texts), bool)
-    new[1:] = (texts[1:] != texts[:-1]) | (grams[1:] != grams[:-1])
-    return texts[new], grams[new]
+    return tuple(np.array(x, np.int64) for x in zip(*bands, strict=True))
 
 
 def block_signatures(texts: np.ndarray, grams: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text, signature) of every block: the XOR of the hashes that fall into it, in each band the text can match in."""
-    lows, highs, blocks, spare = size_bands(percent)
+    """(text, signature) of every block with elements: the XOR of the hashes that fall into it, in each band the text can match in."""
+    lows, _, blocks, partitions = size_bands(percent)
     own = np.searchsorted(lows, sizes, "right") - 1
     last = np.searchsorted(lows, sizes * 100 // percent, "right") - 1
-    owners, signatures = [], []
-    where = salted(grams, 1)
+    owners, signatures = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     for step in range(int((last - own).max(initial=-1)) + 1):
         band = own + step
         used = (sizes > 0) & (band <= last)
         band = np.where(used, band, 0)
-        m = np.where(used, blocks[band], 0)
-        first = np.concatenate([[0], np.cumsum(m)])
-        take = used[texts]
-        slot = first[texts[take]] + (where[take] % m[texts[take]].astype(np.uint64)).astype(np.int64)
-        value = np.zeros(first[-1], np.uint64)
-        np.bitwise_xor.at(value, slot, grams[take])
-        filled = np.bincount(slot, minlength=first[-1]) > 0
-        owner = np.repeat(np.arange(len(sizes)), m)
-        empty = np.bincount(owner[~filled], minlength=len(sizes))
-        place = np.arange(first[-1]) - first[owner]
-        tag = salted((band[owner] * (1 << 42) + place).astype(np.uint64), 2)
-        value = np.where(filled, mix(value ^ tag), mix(tag))
-        emit = filled | (empty > spare[band])[owner]
-        owners.append(owner[emit])
-        signatures.append(value[emit])
-    if not owners:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        for partition in range(int(partitions[band].max(initial=0))):
+            here = used & (partition < partitions[band])
+            m = np.where(here, blocks[band], 0)
+            first = np.concatenate([[0], np.cumsum(m)])
+            take = here[texts]
+            slot = first[texts[take]] + (salted(grams[take], 20 + partition) % m[texts[take]].astype(np.uint64)).astype(np.int64)
+            value = np.zeros(first[-1], np.uint64)
+            np.bitwise_xor.at(value, slot, grams[take])
+            filled = np.flatnonzero(np.bincount(slot, minlength=first[-1]))
+            owner = np.repeat(np.arange(len(sizes)), m)[filled]
+            tag = (band[owner] << 50) + (partition << 42) + filled - first[owner]
+            owners.append(owner)
+            signatures.append(mix(value[filled] ^ salted(tag.astype(np.uint64), 2)))
     return np.concatenate(owners), np.concatenate(signatures)
 
 
@@ -98,80 +100,18 @@ def _profiles(width: int, percent: int):
         for batch in batches:
             for low, high in slices(batch.column(1)):
                 ids = batch.column(0).slice(low, high - low)
-                words = Words(batch.column(1).slice(low, high - low), lower=True)
-                texts, grams = shingle_sets(words, width)
-                rows = len(ids)
-                sizes = np.bincount(texts, minlength=rows)
-                prints = []
-                for salt in (3, 4):
-                    total = np.zeros(rows, np.uint64)
-                    np.add.at(total, texts, salted(grams, salt))
-                    prints.append(total)
-                bits = 64 * SKETCH_WORDS
-                flips = np.bincount(texts * bits + (salted(grams, 5) % np.uint64(bits)).astype(np.int64), minlength=rows * bits) & 1
-                sketch = np.packbits(flips.astype(np.uint8).reshape(rows, bits), axis=1, bitorder="little").view(np.int64)
-                first = sizes.copy()
-                for i, key in enumerate(zip(ids.to_pylist(), prints[0].tolist(), prints[1].tolist(), strict=True)):
-                    if key[0] is None or key[1:] in seen:
-                        first[i] = 0
-                    else:
-                        seen.add(key[1:])
-                owners, signatures = block_signatures(texts, grams, first, percent)
+                texts, grams = shingle_sets(Words(batch.column(1).slice(low, high - low), lower=True), width)
+                sizes = np.bincount(texts, minlength=high - low)
+                columns, new = set_facts(ids, texts, grams, sizes, percent, seen)
+                owners, signatures = block_signatures(texts, grams, np.where(new, sizes, 0), percent)
                 order = np.argsort(owners, kind="stable")
-                bounds = np.searchsorted(owners[order], np.arange(rows + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids,
-                        pa.array(sizes.astype(np.int64)),
-                        *[pa.array(signed(x)) for x in prints],
-                        pa.ListArray.from_arrays(pa.array(bounds), pa.array(signed(signatures[order]))),
-                        *[pa.array(sketch[:, i]) for i in range(SKETCH_WORDS)],
-                    ],
-                    names=PROFILE.names,
-                )
+                bounds = np.searchsorted(owners[order], np.arange(high - low + 1)).astype(np.int32)
+                found = pa.ListArray.from_arrays(pa.array(bounds), pa.array(signed(signatures[order])))
+                yield pa.RecordBatch.from_arrays([*columns, found], names=PROFILE.names)
 
     return profile
 
 
-def _sets(width: int):
-    def sets(batches):
-        for batch in batches:
-            for low, high in slices(batch.column(1)):
-                words = Words(batch.column(1).slice(low, high - low), lower=True)
-                texts, grams = shingle_sets(words, width)
-                parts = np.split(grams, np.searchsorted(texts, np.arange(1, high - low)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), pa.array([p.tobytes() for p in parts], pa.binary())], names=["doc_id", "grams"]
-                )
-
-    return sets
-
-
-def _similar(percent: int):
-    def similar(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    return similar
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of the pairs ``a, b`` whose shingle sets are similar enough, from the texts themselves."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = docs.join(store(ids, "ids"), "doc_id", "left_semi").mapInArrow(_sets(width), "doc_id long, grams binary")
-    sets = store(sets, "sets")
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("x")), "a")
-    both = both.join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("y")), "b")
-    links = store(both.select("a", "b", "x", "y").mapInArrow(_similar(percent), "a long, b long"), "links")
-    discard(sets)
-    return links
-
-
 def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85, count_links: bool = False) -> DataFrame:
     """Groups of documents linked by ``percent`` % or more Jaccard similarity of their ``width``-word shingles.
 
@@ -180,75 +120,14 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     * Sets that are equal form a class first (by a 128-bit sum of shingle hashes), so that copies cost one row.
     * Every set is cut into blocks by hash and each block XORed into one value: a sketch whose blocks differ in at most
-      as many places as the sets differ. Sets alike enough share a block by the pigeonhole rule, per band of sizes.
-    * A second sketch of 512 parity bits gives a lower bound of the difference and drops hopeless pairs.
-    * In each bucket of equal blocks the best connected member is compared with the others, so a group of near copies
-      costs one comparison a member. Only members of buckets that this leaves in several components are then
-      compared with each other. To count links all members of a bucket are compared, which grows with the square of a
-      group's different sets; components need no more than the above.
-    * Pairs are decided by their whole shingle sets (64-bit hashes of the shingles).
+      as many places as the sets differ. Sets alike enough share a block with elements by the pigeonhole rule, per band of sizes (see :func:`size_bands`).
+    * A second sketch of parity bits, as wide as the set needs, gives a lower bound of the difference and drops hopeless pairs.
+    * Candidates, confirmation on whole sets (64-bit hashes of the shingles) and components are those of :func:`similar_groups`. To count links all members of a
+      bucket are compared, which grows with the square of a group's different sets.
 
     A null or empty text has no shingles, links with nothing and is its own component. Rows with one id are taken for
-    versions of one document and share its component; rows without id get a null component. An empty table gives no rows.
+    versions of one document; those with text share its component. Rows without id get a null component. An empty table gives no rows.
     """
-    docs = bounded_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    base = store(docs.mapInArrow(_profiles(width, percent), PROFILE), "profiles")
-    sketch = [f"s{i}" for i in range(SKETCH_WORDS)]
-    classes = store(
-        base.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes"
-    )
-    kinds = classes.select("n", "fp1", "fp2", "rep")
-    rep_of = store(base.select("doc_id", "n", "fp1", "fp2").join(kinds, ["n", "fp1", "fp2"]).select("doc_id", "rep").distinct(), "rep_of")
-    bucket = Window.partitionBy("sig")
-    rows = base.select("doc_id", F.explode("signatures").alias("sig"))
-    company = store(rows.withColumn("c", F.count("*").over(bucket)).where("c > 1").select("sig", "doc_id"), "shared")
-    shared = company.join(rep_of, "doc_id").select("sig", "rep").distinct()
-    shared = store(shared.withColumn("c", F.count("*").over(bucket)).where("c > 1"), "buckets")
-    discard(company)
-
-    # The member with most company over all its buckets is the likeliest original.
-    company = store(shared.groupBy("rep").agg(F.sum("c").alias("weight")), "company")
-    weighed = shared.join(company, "rep")
-    hubs = weighed.groupBy("sig").agg(F.max(F.struct("weight", (-F.col("rep")).alias("neg"))).alias("best"))
-    hubs = store(hubs.select("sig", (-F.col("best.neg")).alias("hub")), "hubs")
-    facts = base.where("n > 0").select(F.col("doc_id").alias("rep"), "n", *sketch)
-    facts = store(facts.join(company.select("rep"), "rep", "left_semi").dropDuplicates(["rep", *sketch]), "facts")
-    star = shared.join(hubs, "sig").where("rep != hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-    left, right = (facts.select(*[F.col(c).alias(f"{side}_{c}") for c in facts.columns]) for side in "ab")
-    near = F.expr(
-        f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n) AND "
-        + " + ".join(f"bit_count(a_{c} ^ b_{c})" for c in sketch)
-        + f" <= ({100 - percent} * (a_n + b_n)) div {100 + percent}"
-    )
-    star = star.join(left, F.col("a") == F.col("a_rep")).join(right, (F.col("b") == F.col("b_rep")) & near)
-    star = store(star.select("a", "b").distinct(), "star")
-    links = _verified(star, docs, width, percent)
-    groups = store(connected_components(links), "groups")
-
-    # Members of one bucket that are still in different groups may have missed a link.
-    placed = shared.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("g", F.coalesce("component", "rep"))
-    placed = store(placed.select("sig", "rep", "g"), "placed")
-    if not count_links:
-        split = placed.groupBy("sig").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo != hi").select("sig")
-        placed = placed.join(split, "sig", "left_semi")
-    rest = store(placed.join(facts, "rep"), "rest")
-    left, right = (rest.select(*[F.col(c).alias(f"{side}_{c}") for c in rest.columns]) for side in "ab")
-    more = left.join(right, (F.col("a_sig") == F.col("b_sig")) & (F.col("a_rep") < F.col("b_rep")) & (F.lit(count_links) | (F.col("a_g") != F.col("b_g"))) & near)
-    more = more.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    links = links.union(_verified(store(more, "more"), docs, width, percent))
-    groups = store(connected_components(links), "groups")
-
-    tags = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-    columns = ["n", "fp1", "fp2", F.coalesce("component", "rep").alias("component_id")]
-    if count_links:
-        links = links.distinct()  # repeated rows repeat theirs
-        ends = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("links"))
-        tags, columns = tags.join(ends, "rep", "left"), [*columns, F.coalesce("links", F.lit(0)).alias("n_links")]
-    tags = tags.select(*columns)
-    out = base.select("doc_id", "n", "fp1", "fp2").join(store(tags, "tags"), ["n", "fp1", "fp2"], "left")
-    return out.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
-        *([F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")] if count_links else []),
-    )
+    docs = bounded_batches(df).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    profiles = store(docs.mapInArrow(_profiles(width, percent), PROFILE), "profiles")
+    return similar_groups(profiles, F.col("signatures"), F.size("signatures"), docs, width, percent, count_links)

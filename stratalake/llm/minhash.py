@@ -8,20 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.llm.components import connected_components
-from stratalake.llm.jaccard import shingle_sets
-from stratalake.llm.parity import most_difference, parity_long, parity_sketches, sizes_allow, sketches_allow
+from stratalake.llm.similar import FACTS, LONGS, set_facts, shingle_sets, similar_groups
 from stratalake.llm.wordhash import Words, bounded_batches, mix, salted, signed, slices
-from stratalake.sources.scratch import discard, store
+from stratalake.sources.scratch import store
 
 #: Sub-keys in each of the two collections; every pair of one from each is a table's key.
 SUBKEYS = 12
 #: Minimum hashes that make a sub-key.
 HASHES = 2
-_LONGS = T.ArrayType(T.LongType(), False)
-PROFILE = T.StructType(
-    [T.StructField(c, T.LongType()) for c in ("doc_id", "n", "fp1", "fp2", "parity")] + [T.StructField(c, _LONGS) for c in ("left_keys", "right_keys", "sketch")]
-)
+PROFILE = T.StructType([*FACTS, *[T.StructField(c, LONGS) for c in ("left_keys", "right_keys")]])
 
 
 def miss_chance(similarity: float, subkeys: int = SUBKEYS, hashes: int = HASHES) -> float:
@@ -50,74 +45,23 @@ def collections(grams: np.ndarray, starts: np.ndarray, subkeys: int, hashes: int
 
 def _profiles(width: int, percent: int, subkeys: int, hashes: int):
     def profile(batches):
+        seen = set()  # sets of this partition: copies of one need no keys of their own
         for batch in batches:
             for low, high in slices(batch.column(1)):
                 rows = high - low
                 texts, grams = shingle_sets(Words(batch.column(1).slice(low, rows), lower=True), width)
                 sizes = np.bincount(texts, minlength=rows)
-                prints = []
-                for salt in (3, 4):
-                    total = np.zeros(rows, np.uint64)
-                    np.add.at(total, texts, salted(grams, salt))
-                    prints.append(signed(total))
-                filled = sizes > 0
-                starts = (np.cumsum(sizes) - sizes)[filled]
-                bounds = np.concatenate([[0], np.cumsum(filled * subkeys)]).astype(np.int32)
-                keys = collections(grams, starts, subkeys, hashes) if len(starts) else [np.zeros(0, np.uint64)] * 2
-                widths, sketch = parity_sketches(texts, grams, sizes, percent)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(low, rows),
-                        pa.array(sizes.astype(np.int64)),
-                        *[pa.array(p) for p in prints],
-                        pa.array(parity_long(texts, grams, rows)),
-                        *[pa.ListArray.from_arrays(pa.array(bounds), pa.array(signed(k.ravel()))) for k in keys],
-                        pa.ListArray.from_arrays(pa.array(widths), pa.array(sketch)),
-                    ],
-                    names=PROFILE.names,
-                )
+                columns, new = set_facts(batch.column(0).slice(low, rows), texts, grams, sizes, percent, seen)
+                kept = grams[new[texts]]
+                own = sizes[new]
+                keys = collections(kept, np.cumsum(own) - own, subkeys, hashes) if len(own) else [np.zeros(0, np.uint64)] * 2
+                bounds = pa.array(np.concatenate([[0], np.cumsum(new * subkeys)]).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(bounds, pa.array(signed(k.ravel()))) for k in keys]
+                yield pa.RecordBatch.from_arrays([*columns, *lists], names=PROFILE.names)
 
     return profile
 
 
-def _sets(width: int):
-    def sets(batches):
-        for batch in batches:
-            for low, high in slices(batch.column(1)):
-                texts, grams = shingle_sets(Words(batch.column(1).slice(low, high - low), lower=True), width)
-                bounds = 8 * np.searchsorted(texts, np.arange(high - low + 1))
-                buffers = [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(grams)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.Array.from_buffers(pa.binary(), high - low, buffers)], names=["id", "grams"])
-
-    return sets
-
-
-def _confirmed(percent: int):
-    def confirmed(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    return confirmed
-
-
-def _links(pairs: DataFrame, facts: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those pairs ``a < b`` that the sketches let through and whose whole sets are similar enough."""
-    left, right = (facts.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}")) for s in "ab")
-    near = sketches_allow("sketch_a", "sketch_b", most_difference("n_a", "n_b", percent))
-    pairs = store(pairs.join(left, "a").join(right, "b").where(near).select("a", "b").distinct(), "pairs")
-    ids = store(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
-    sets = store(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(width), "id long, grams binary"), "sets")
-    both = pairs.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b").join(sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a")
-    links = store(both.select("a", "b", "x", "y").mapInArrow(_confirmed(percent), "a long, b long"), "links")
-    discard(pairs, ids, sets)
-    return links
-
-
 def minhash_groups(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 2, percent: int = 80, subkeys: int = SUBKEYS, hashes: int = HASHES
 ) -> DataFrame:
@@ -129,60 +73,14 @@ def minhash_groups(
     * Equal sets form a class first (by a 128-bit sum of 64-bit shingle hashes) and go on as one row.
     * Two collections of ``subkeys`` sub-keys, each of ``hashes`` minimum hashes, make ``subkeys ** 2`` tables: the key of table (i, j) combines sub-key i of one and j of
       the other. So 2 * 12 * 2 = 48 minimum hashes serve 144 tables of four hashes each, which by themselves would take 576. Two sets meet in
-      a table if they share a sub-key of either collection; :func:`miss_chance` is 9.4e-6 at a similarity of 0.8 and 4.1e-7 at 0.85 with the defaults.
-    * Keys held twice are found by an aggregation with map-side combining and joined back, so the bucket of a group that makes up a third of all rows can be split. In each
-      bucket the member with most company over all its buckets is compared with the others: one comparison a member. Members of buckets that
-      this leaves in several components are then compared across these components.
-    * Pairs are dropped if their sizes or parity sketches rule the similarity out (exact bounds); whole shingle sets confirm the rest.
-
-    A null or empty text has no shingles, links with nothing and is its own component. Rows of one id are versions of one document and share its
-    component; rows without id have none and are kept. An empty table gives no rows; other columns are not read.
+      a table if they share one sub-key of each collection; :func:`miss_chance` is 9.4e-6 at a similarity of 0.8 and 4.1e-7 at 0.85 with the defaults.
+    * Candidates, confirmation on whole shingle sets and components are those of :func:`similar_groups`.
+
+    A null or empty text has no shingles, links with nothing and is its own component. Rows of one id are versions of one document; those with text share its
+    component. Rows without id have none and are kept. An empty table gives no rows; other columns are not read.
     """
     docs = bounded_batches(df).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    base = store(docs.mapInArrow(_profiles(width, percent, subkeys, hashes), PROFILE), "profiles")
-    kind = ["n", "fp1", "fp2"]
-    filled = base.where("n > 0 AND doc_id IS NOT NULL")
-    classes = store(filled.groupBy(*kind).agg(F.min("doc_id").alias("rep")), "classes")
-    placed = store(filled.select("doc_id", *kind).join(classes, kind).select("doc_id", "n", "rep"), "placed")
-    own = filled.join(classes.select(*kind, F.col("rep").alias("doc_id")), [*kind, "doc_id"]).dropDuplicates(["doc_id", *kind])
-    facts = store(own.select(F.col("doc_id").alias("rep"), "n", "parity", "sketch", "left_keys", "right_keys"), "facts")
-
+    profiles = store(docs.mapInArrow(_profiles(width, percent, subkeys, hashes), PROFILE), "profiles")
     keys = F.expr("flatten(transform(left_keys, x -> transform(right_keys, y -> xxhash64(x, y))))")
-    rows = facts.select("rep", F.explode(keys).alias("key"))
-    heads = rows.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count(F.lit(1)).alias("c")).where("lo < hi")
-    heads = store(heads.select("key", "c"), "heads")
-    members = store(rows.join(heads, "key"), "members")
-    company = store(members.groupBy("rep").agg(F.sum("c").alias("weight")), "company")
-    marked = members.select("key", "rep").join(facts.select("rep", "n", "parity"), "rep").join(company, "rep")
-    marked = store(marked, "marked")
-    discard(heads, members, company)
-    best = marked.groupBy("key").agg(F.max(F.struct("weight", (-F.col("rep")).alias("hub"), "n", "parity")).alias("best"))
-    hubs = store(best.select("key", (-F.col("best.hub")).alias("hub"), F.col("best.n").alias("hub_n"), F.col("best.parity").alias("hub_parity")), "hubs")
-
-    def near(n_a: str, n_b: str, a: str, b: str) -> str:
-        return f"{sizes_allow(n_a, n_b, percent)} AND bit_count({a} ^ {b}) <= {most_difference(n_a, n_b, percent)}"
-
-    star = marked.join(hubs, "key").where("rep != hub").where(near("n", "hub_n", "parity", "hub_parity"))
-    star = store(star.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct(), "star")
-    links = _links(star, facts, docs, width, percent)
-    # A document whose versions are in several classes ties these together.
-    several = store(placed.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("hi")).where("a < hi").select("doc_id", "a"), "several")
-    links = links.union(store(placed.join(several, "doc_id").where("rep != a").select("a", F.col("rep").alias("b")).distinct(), "versions"))
-    groups = store(connected_components(links), "groups")
-
-    # Members of one bucket that are still in different components may be linked all the same.
-    parts = marked.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("g", F.coalesce("component", "rep"))
-    parts = store(parts.select("key", "rep", "g", "n", "parity"), "parts")
-    split = store(parts.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("key"), "split")
-    parts = store(parts.join(split, "key", "left_semi"), "parts")
-    left, right = (parts.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "g", "n", "parity")]) for s in "ab")
-    more = left.join(right, "key").where("rep_a < rep_b AND g_a != g_b").where(near("n_a", "n_b", "parity_a", "parity_b"))
-    more = store(more.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct().join(star, ["a", "b"], "left_anti"), "more")
-    discard(marked, hubs, star, split, parts, groups)
-    groups = store(connected_components(links.union(_links(more, facts, docs, width, percent))), "groups")
-    discard(facts, more, classes)
-
-    found = placed.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", "n", F.coalesce("component", "rep").alias("component_id"))
-    empty = base.where("NOT (n > 0 AND doc_id IS NOT NULL)").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    out = found.union(empty)
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.expr("doc_id = component_id"), F.lit(True)).alias("kept"))
+    groups = similar_groups(profiles, keys, F.size("left_keys") * F.size("right_keys"), docs, width, percent)
+    return groups.withColumn("kept", F.coalesce(F.expr("doc_id = component_id"), F.lit(True)))

@@ -2,11 +2,13 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from corpus import corpus, frame, result
 
 from stratalake.llm import jaccard, repeats
 from stratalake.llm.components import connected_components
+from stratalake.llm.wordhash import salted
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -71,10 +73,55 @@ def test_links_are_counted_between_all_different_sets(spark):
 
 
 def test_bands_leave_an_untouched_block():
-    for percent in (50, 85, 100):
-        lows, highs, blocks, spare = jaccard.size_bands(percent)
+    """Bands have no gaps, and the smallest set of each is dealt into too few blocks of all partitions with a chance of 1e-9 at most."""
+    for percent in (50, 80, 85, 100):
+        lows, highs, blocks, partitions = jaccard.size_bands(percent)
         assert (lows[1:] == highs[:-1] + 1).all()
-        assert (blocks > (2 * highs * (100 - percent)) // (100 + percent) + spare).all()
+        for low, high, m, k in zip(lows[:30].tolist(), highs.tolist(), blocks.tolist(), partitions.tolist()):
+            assert jaccard.chance_of_few(low, m, 2 * high * (100 - percent) // (100 + percent)) ** k <= 1e-9
+
+
+def test_chance_of_few_blocks():
+    rng = np.random.default_rng(1)
+    dealt = np.array([len(np.unique(rng.integers(0, 12, 9))) for _ in range(20_000)])
+    for most in (4, 5, 6, 7):
+        assert abs((dealt <= most).mean() - jaccard.chance_of_few(9, 12, most)) < 0.02
+    assert abs(jaccard.chance_of_few(400, 150, 138) - jaccard.chance_of_few(401, 150, 138)) < 0.05
+
+
+def pair_rows(spark, sizes, percent, n, seed=1):
+    """Signatures shared by sets that have no element in common."""
+    rng = np.random.default_rng(seed)
+    own = rng.integers(sizes[0], sizes[1] + 1, n)
+    texts = np.repeat(np.arange(n), own)
+    grams = salted(rng.integers(0, 1 << 62, len(texts), dtype=np.int64).astype(np.uint64), 1)
+    owners, signatures = jaccard.block_signatures(texts, grams, own, percent)
+    return len(signatures) - len(np.unique(signatures)), len(signatures) / len(texts)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85])
+@pytest.mark.parametrize(("sizes", "n"), [((1, 4), 4000), ((5, 30), 4000), ((100, 140), 2000), ((400, 600), 500), ((15_000, 20_000), 10)])
+def test_unrelated_sets_share_no_signature(spark, sizes, n, percent):
+    shared, each = pair_rows(spark, sizes, percent, n)
+    assert shared == 0
+    assert each < (1 if percent >= 80 and sizes[0] >= 100 else 25)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85])
+def test_similar_sets_share_a_signature(percent):
+    """Pairs at the threshold, of every size and share of additions and removals."""
+    rng = np.random.default_rng(percent)
+    for size in [*range(1, 40), 60, 100, 250, 1000, 3000]:
+        for _ in range(12):
+            shared = int(rng.integers(max(1, size * percent // 100), size + 1))
+            extra = rng.integers(0, max(1, shared * 100 // percent - size + 1))
+            a = rng.integers(0, 1 << 62, size + int(extra), dtype=np.int64).astype(np.uint64)
+            sets = [salted(a[:size], 1), salted(np.concatenate([a[:shared], a[size:]]), 1)]
+            if 100 * shared < percent * (size + int(extra)):
+                continue
+            sizes = np.array([len(s) for s in sets])
+            owners, signatures = jaccard.block_signatures(np.repeat([0, 1], sizes), np.concatenate(sets), sizes, percent)
+            assert set(signatures[owners == 0].tolist()) & set(signatures[owners == 1].tolist()), (size, shared, extra)
 
 
 def test_empty_table_and_no_links(spark):

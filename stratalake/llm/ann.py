@@ -209,9 +209,9 @@ def nearest(df: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id",
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = rows.where(F.size("vector") == common["n"])
     copies = Window.partitionBy("key").orderBy("id")
-    distinct = rows.withColumn("key", F.sha2(F.col("vector").cast("string"), 256))
-    distinct = distinct.withColumn("copy", F.dense_rank().over(copies)).where(f"copy <= {k + 1}")
-    distinct = store(distinct.dropDuplicates(["key", "id"]), "distinct")
+    # Repeats of an id go first, where they are, so that the limit on copies counts ids.
+    distinct = rows.withColumn("key", F.sha2(F.col("vector").cast("string"), 256)).dropDuplicates(["key", "id"])
+    distinct = store(distinct.withColumn("copy", F.row_number().over(copies)).where(f"copy <= {k + 1}"), "distinct")
     sample = distinct.where("copy = 1").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").collect()
     router = learn_router(np.array([r[0] for r in sample], np.float64), k)
 

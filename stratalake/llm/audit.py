@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.llm.rows import quoted
 from stratalake.llm.wordhash import bounded_batches
 from stratalake.sources.scratch import store
 
@@ -71,7 +72,7 @@ def document_failures(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fail no E and are nobody's earlier text; rows of one id and text don't precede each other. Equal texts are found by their SHA-256.
     """
     docs = bounded_batches(df).select(
-        F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.coalesce(F.col(f"`{part_col}`"), F.lit("")).alias("part")
+        quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).alias("text"), F.coalesce(quoted(part_col), F.lit("")).alias("part")
     )
     facts = store(docs.mapInArrow(_facts, "doc_id long, part string, flags int, digest binary"), "facts")
     # Only texts held twice are joined back; the table is written, so a text that a third of all rows share can be split.
@@ -128,8 +129,8 @@ def audit_filters(failures: DataFrame, filters: Sequence[str], losses: Mapping[s
     if not 1 <= len(filters) <= MOST_FILTERS or len(set(filters)) < len(filters):
         raise ValueError(f"from 1 to {MOST_FILTERS} different filters")
     columns = [*filters, *losses.values()]
-    mask = sum((F.when(F.col(f"`{c}`"), 1 << i).otherwise(0) for i, c in enumerate(columns)), F.lit(0))
-    counts = failures.select(F.coalesce(F.col(f"`{part}`"), F.lit("")).alias("part"), mask.cast("int").alias("mask")).groupBy("part", "mask").agg(F.count(F.lit(1)).alias("n"))
+    mask = sum((F.when(quoted(c), 1 << i).otherwise(0) for i, c in enumerate(columns)), F.lit(0))
+    counts = failures.select(F.coalesce(quoted(part), F.lit("")).alias("part"), mask.cast("int").alias("mask")).groupBy("part", "mask").agg(F.count(F.lit(1)).alias("n"))
     n_filters, n_losses = len(filters), len(names)
 
     def steps(rows: pd.DataFrame) -> pd.DataFrame:

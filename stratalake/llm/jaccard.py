@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.llm.rows import quoted
 from stratalake.llm.similar import FACTS, LONGS, set_facts, shingle_sets, similar_groups
 from stratalake.llm.wordhash import Words, bounded_batches, mix, salted, signed, slices
 from stratalake.sources.scratch import store
@@ -128,6 +129,6 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A null or empty text has no shingles, links with nothing and is its own component. Rows with one id are taken for
     versions of one document; those with text share its component. Rows without id get a null component. An empty table gives no rows.
     """
-    docs = bounded_batches(df).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    docs = bounded_batches(df).select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).alias("text"))
     profiles = store(docs.mapInArrow(_profiles(width, percent), PROFILE), "profiles")
     return similar_groups(profiles, F.col("signatures"), F.size("signatures"), docs, width, percent, count_links)

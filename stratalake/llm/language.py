@@ -9,15 +9,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from stratalake.llm.letters import LetterRuns
+from stratalake.llm.rows import quoted, row_struct
 from stratalake.llm.wordhash import bounded_batches, mix, slices
-from stratalake.sources.scratch import store
+from stratalake.sources.scratch import discard, store
 
 LETTERS = re.compile(r"[^\W\d_]+")
 START = "▁"
 #: Chance of a character that is no piece.
 UNSEEN = 1e-8
 CACHED = 150_000
+#: Letters after which chances are scaled, before they get too small for a double.
+UNSCALED = 24
+#: Letters up to which the steps of a lattice are kept for the way back; beyond, they are made again.
+KEPT_STEPS = 64
+#: Letters of words of one length that are worked on together.
+LATTICE_CELLS = 1 << 17
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -56,11 +65,12 @@ class Lattice:
         np.cumsum((mix(codes) * powers[:n]).T, axis=0, out=sums[1:])
         return lambda start, end: mix((sums[end] - sums[start]) * inverse[start] + np.uint64(end - start))
 
-    def steps(self, words: list[str]):
-        """(start, end, words, piece index by word) of every possible step through words of one length, ends ascending."""
+    def steps(self, words: list[str], backward: bool = False):
+        """(start, end, words, piece index by word) of every possible step through words of one length, ends ascending or descending."""
         codes = _grid([START + w for w in words])
         keys = self._keys(codes)
-        for end in range(1, codes.shape[1] + 1):
+        ends = range(1, codes.shape[1] + 1)
+        for end in reversed(ends) if backward else ends:
             for start in range(max(0, end - self.longest), end):
                 key = keys(start, end)
                 rows = np.flatnonzero(self.likely[key >> np.uint64(44)])
@@ -74,44 +84,56 @@ class Lattice:
                 elif len(rows):
                     yield start, end, rows, piece
 
-    def forward(self, words: list[str], chances: np.ndarray, steps=None) -> tuple[np.ndarray, np.ndarray]:
-        """Chances of the words' beginnings, by length, word and language, each scaled; and the log of the whole words' chances."""
+    def forward(self, words: list[str], chances: np.ndarray, steps=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scaled chances of the words' beginnings by length, word and language, the logs of what they were divided by, and the log of the whole words' chances."""
         n, k = len(words[0]) + 1, chances.shape[1]
-        alpha, logs = np.zeros((n + 1, len(words), k)), np.zeros((len(words), k))
+        alpha, logs = np.zeros((n + 1, len(words), k)), np.zeros((n + 1, len(words), k))
         alpha[0] = 1
-        scaled = 0
+        scaled, log = 0, np.zeros((len(words), k))
         for start, end, rows, piece in self.steps(words) if steps is None else steps:
-            if end - scaled > 24:  # rescale before numbers get too small
+            if end - scaled > UNSCALED:  # before numbers get too small
                 low = max(0, end - self.longest)
                 top = np.maximum(alpha[low:end].max(axis=0), 1e-300)
+                logs[scaled:end] = log
                 alpha[low:end] /= top
-                logs += np.log(top)
+                log = log + np.log(top)
+                logs[low:end] = log
                 scaled = end
             alpha[end, rows] += alpha[start, rows] * chances[piece]
-        return alpha, logs + np.log(np.maximum(alpha[n], 1e-300))
+        logs[scaled:] = log
+        return alpha, logs, log + np.log(np.maximum(alpha[n], 1e-300))
 
     def expected(self, words: list[str], counts: np.ndarray, chances: np.ndarray) -> np.ndarray:
-        """How often each piece is expected in the words, each taken ``counts`` times by language; words of up to 24 characters."""
-        steps = list(self.steps(words))
-        alpha, _ = self.forward(words, chances, steps)
+        """How often each piece is expected in the words, each taken ``counts`` times by language."""
         n, k = len(words[0]) + 1, counts.shape[1]
-        beta = np.zeros_like(alpha)
+        steps = list(self.steps(words)) if n <= KEPT_STEPS else None
+        alpha, logs, whole = self.forward(words, chances, steps)
+        beta, log, scaled = np.zeros_like(alpha), np.zeros((len(words), k)), n
         beta[n] = 1
-        for start, end, rows, piece in sorted(steps, key=lambda s: -s[1]):
-            beta[start, rows] += beta[end, rows] * chances[piece]
-        weight = counts / np.maximum(alpha[n], 1e-300)
         out = np.zeros((self.size + 1, k))
-        for start, end, rows, piece in steps:
-            share = alpha[start, rows] * chances[piece] * beta[end, rows] * weight[rows]
-            np.add.at(out, piece, share)
+        for start, end, rows, piece in self.steps(words, backward=True) if steps is None else sorted(steps, key=lambda s: -s[1]):
+            if scaled - end > UNSCALED:
+                low = max(0, end - self.longest)  # what is before the end has been begun
+                top = np.maximum(beta[low : end + 1].max(axis=0), 1e-300)
+                beta[low : end + 1] /= top
+                log, scaled = log + np.log(top), end
+            after = beta[end, rows] * chances[piece]
+            weight = (counts * np.exp(np.minimum(logs[start] + log - whole, 700)))[rows]
+            np.add.at(out, piece, alpha[start, rows] * after * weight)
+            beta[start, rows] += after
         return out[: self.size]
 
 
-def by_length(words: list[str]) -> dict[int, list[int]]:
-    groups: dict[int, list[int]] = {}
+def grouped(words: list[str]) -> list[list[int]]:
+    """Places of words of one length, as many at a time as keep the lattice small."""
+    lengths: dict[int, list[int]] = {}
     for i, w in enumerate(words):
-        groups.setdefault(len(w), []).append(i)
-    return groups
+        lengths.setdefault(len(w), []).append(i)
+    out = []
+    for length, places in lengths.items():
+        most = max(1, min(4096, LATTICE_CELLS // (length + 2)))
+        out += [places[i : i + most] for i in range(0, len(places), most)]
+    return out
 
 
 def _word_counts(batches):
@@ -124,17 +146,21 @@ def _word_counts(batches):
         found.clear()
 
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found.setdefault(lang, Counter()).update(LETTERS.findall((text or "").lower()))
-        if sum(map(len, found.values())) > CACHED:
-            yield from rows()
+        for low, high in slices(batch.column(1)):
+            by_lang: dict[str, list[str]] = {}
+            for lang, text in zip(batch.column(0).slice(low, high - low).to_pylist(), batch.column(1).slice(low, high - low).to_pylist(), strict=True):
+                by_lang.setdefault(lang, []).append(text or "")
+            for lang, texts in by_lang.items():
+                runs = LetterRuns(texts)
+                _, first, times = np.unique(runs.hashes, return_index=True, return_counts=True)
+                own = found.setdefault(lang, Counter())
+                for word, n in zip(runs.words(first), times.tolist(), strict=True):
+                    own[word] += n
+            if sum(map(len, found.values())) > CACHED:
+                yield from rows()
     yield from rows()
 
 
-#: Longer words are cut for learning only; scoring takes them whole.
-LEARNT_LENGTH = 20
-
-
 def _expectations(pieces: list[str], langs: list[str], chances: np.ndarray):
     place = {lang: i for i, lang in enumerate(langs)}
 
@@ -144,13 +170,11 @@ def _expectations(pieces: list[str], langs: list[str], chances: np.ndarray):
         for batch in batches:
             words: dict[str, np.ndarray] = {}
             for lang, word, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                for i in range(0, len(word), LEARNT_LENGTH):
-                    words.setdefault(word[i : i + LEARNT_LENGTH], np.zeros(len(langs)))[place[lang]] += n
+                words.setdefault(word, np.zeros(len(langs)))[place[lang]] += n
             names = list(words)
-            for _, group in by_length(names).items():
-                for i in range(0, len(group), 4096):
-                    some = [names[j] for j in group[i : i + 4096]]
-                    total += lattice.expected(some, np.stack([words[w] for w in some]), chances)
+            for some in grouped(names):
+                own = [names[j] for j in some]
+                total += lattice.expected(own, np.stack([words[w] for w in own]), chances)
         at, lang = np.nonzero(total)
         yield pa.RecordBatch.from_pydict({"piece": pa.array(at.astype(np.int32)), "lang": pa.array(lang.astype(np.int32)), "n": pa.array(total[at, lang])})
 
@@ -175,6 +199,7 @@ def learn(labelled: DataFrame, pieces: list[str], rounds: int = 2, smoothing: fl
         for r in sums.groupBy("piece", "lang").agg(F.sum("n").alias("n")).collect():
             counts[r["piece"], r["lang"]] += r["n"]
         chances[:size] = counts / counts.sum(axis=0)
+    discard(words)
     return langs, chances
 
 
@@ -183,33 +208,31 @@ def _predict(pieces: list[str], langs: list[str], chances: np.ndarray, names: tu
 
     def predict(batches):
         lattice = Lattice(pieces)
-        known: dict[str, int] = {}
+        known: dict[int, int] = {}  # of a word's hash, its row of the table
         table = np.zeros((1 << 12, len(langs)))
         for batch in batches:
             flags, rows = batch.column(0), batch.column(1)
             batch = pa.RecordBatch.from_arrays([flags, *([rows.field(n) for n in names] if names else batch.columns[1:])], names=["held_out", "doc_id", "text"])
             for low, high in slices(batch.column(2)):
                 part = batch.slice(low, high - low)
-                texts = [t or "" for t in part.column(2).to_pylist()]
-                # Signs like a raised two count as word characters; a text of only those has no letter.
-                words = [LETTERS.findall(t.lower()) if any(map(str.isalpha, set(t))) else [] for t in texts]
-                counts = np.array([len(w) for w in words])
-                flat = [w for ws in words for w in ws]
-                new = [w for w in dict.fromkeys(flat) if w not in known]
-                if len(known) + len(new) > CACHED:
+                runs = LetterRuns([t or "" for t in part.column(2).to_pylist()])
+                counts = np.where(runs.has_letter, runs.counts, 0)
+                hashes, first, inverse = np.unique(runs.hashes, return_index=True, return_inverse=True)
+                if len(known) + len(hashes) > CACHED:
                     known.clear()
-                    new = list(dict.fromkeys(flat))
-                first = len(known)
-                while first + len(new) > len(table):
+                at = [known.get(h, -1) for h in hashes.tolist()]
+                at = np.array(at, np.int64)
+                missing = np.flatnonzero(at < 0)
+                at[missing] = len(known) + np.arange(len(missing))
+                while len(known) + len(missing) > len(table):
                     table = np.concatenate([table, np.zeros_like(table)])
-                for _, group in by_length(new).items():
-                    for i in range(0, len(group), 4096):
-                        some = group[i : i + 4096]
-                        table[first + np.array(some)] = lattice.forward([new[j] for j in some], chances)[1]
-                known.update(zip(new, range(first, first + len(new)), strict=True))
-                logs = np.zeros((len(words), len(langs)))
-                if flat and langs:
-                    np.add.at(logs, np.repeat(np.arange(len(words)), counts), table[np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))])
+                new = runs.words(first[missing])
+                for some in grouped(new):
+                    table[at[missing[some]]] = lattice.forward([new[j] for j in some], chances)[2]
+                known.update(zip(hashes[missing].tolist(), at[missing].tolist(), strict=True))
+                word_logs = table[at][inverse]
+                logs = [np.bincount(runs.texts, weights=word_logs[:, i], minlength=len(part)) for i in range(len(langs))]
+                logs = np.stack(logs, axis=1) if langs else np.zeros((len(part), 0))
                 found, scores = [], []
                 for n, row in zip(counts.tolist(), logs, strict=True):
                     if not n or not langs:
@@ -245,11 +268,11 @@ def identify_languages(
     the language that sorts first. With ``carry`` a column ``row`` holds the input row. Null languages are not learnt from. Repeated rows are judged alike. An empty table gives no rows.
     """
     pieces = read_pieces(path)
-    kind = df.schema[id_col].dataType.simpleString()
-    known = bounded_batches(df).where(~held_out(F.col(id_col), parts, part)).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    rows, doc_id, text = bounded_batches(df), quoted(id_col), quoted(text_col)
+    known = rows.where(~held_out(doc_id, parts, part)).select(quoted(lang_col).alias("lang"), text.alias("text"))
     langs, chances = learn(known.where("lang IS NOT NULL AND text IS NOT NULL"), pieces)
-    columns = [F.struct(*df.columns).alias("row")] if carry else [F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")]
-    docs = bounded_batches(df).select(held_out(F.col(id_col), parts, part).alias("held_out"), *columns)
-    carried = f", row {docs.schema['row'].dataType.simpleString()}" if carry else ""
-    predict = _predict(pieces, langs, chances, (id_col, text_col) if carry else None)
-    return docs.mapInArrow(predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double{carried}")
+    columns = [row_struct(df)] if carry else [doc_id.alias("doc_id"), text.alias("text")]
+    docs = rows.select(held_out(doc_id, parts, part).alias("held_out"), *columns)
+    fields = [("doc_id", df.schema[id_col].dataType), ("held_out", T.BooleanType()), ("lang_pred", T.StringType()), ("score", T.DoubleType())]
+    schema = T.StructType([T.StructField(*f) for f in fields] + ([docs.schema["row"]] if carry else []))
+    return docs.mapInArrow(_predict(pieces, langs, chances, (id_col, text_col) if carry else None), schema)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.llm.rows import quoted
 from stratalake.llm.similar import FACTS, LONGS, set_facts, shingle_sets, similar_groups
 from stratalake.llm.wordhash import Words, bounded_batches, mix, salted, signed, slices
 from stratalake.sources.scratch import store
@@ -79,7 +80,7 @@ def minhash_groups(
     A null or empty text has no shingles, links with nothing and is its own component. Rows of one id are versions of one document; those with text share its
     component. Rows without id have none and are kept. An empty table gives no rows; other columns are not read.
     """
-    docs = bounded_batches(df).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    docs = bounded_batches(df).select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).alias("text"))
     profiles = store(docs.mapInArrow(_profiles(width, percent, subkeys, hashes), PROFILE), "profiles")
     keys = F.expr("flatten(transform(left_keys, x -> transform(right_keys, y -> xxhash64(x, y))))")
     groups = similar_groups(profiles, keys, F.size("left_keys") * F.size("right_keys"), docs, width, percent)

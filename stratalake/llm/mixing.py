@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.llm.rows import quoted, row_struct
 from stratalake.llm.wordhash import WORD
 from stratalake.sources.scratch import discard, store
 
@@ -33,16 +36,16 @@ def uniform(id_column: Column) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def described(df: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str) -> DataFrame:
+def described(df: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str, carry: Sequence[str] | None) -> DataFrame:
     """The rows as ``row`` with their tokens, margins and random number; a null margin counts as empty."""
-    text = F.col(text_col)
+    text = quoted(text_col)
     return df.select(
-        F.struct(*df.columns).alias("row"),
+        row_struct(df, carry),
         F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long").alias("n_tokens"),
-        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
-        F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
+        F.coalesce(quoted(source_col).cast("string"), F.lit("")).alias("source"),
+        F.coalesce(quoted(lang_col).cast("string"), F.lit("")).alias("lang"),
         topic_of(text).alias("topic"),
-        uniform(F.col(id_col)).alias("u"),
+        uniform(quoted(id_col)).alias("u"),
     )
 
 
@@ -102,31 +105,38 @@ def mix(
     temper: float = TEMPER,
     rounds: int = ROUNDS,
     size: float | None = None,
+    share: float | None = None,
+    carry: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``row, n_tokens, source, lang, topic, weight, probability, selected``: a sample that has the target mix of tokens.
+    """``row, n_tokens, source, lang, topic, weight, probability, selected, shortfall``: a sample that has the target mix of tokens.
 
     ``targets`` gives shares of tokens for values of ``source``, ``lang`` or ``topic`` (a value left out gets none); margins
     not given are tempered: the present shares to the power ``temper``. Iterative proportional fitting over the cells
-    (source, language, topic) finds a weight for each that meets all margins at once. A document's probability is its cell's weight over the
-    largest one, so the expected sample has exactly the fitted mix; it is chosen if a number made of its id's MD5 is below.
-    The cell of largest weight alone then sets how much is chosen. With ``size``, the expected tokens of the sample, the probability is
-    ``min(1, c * weight)`` with ``c`` such that all cells together give ``size``; one more column, ``shortfall``, has the share
-    of its cell's tokens in the mix that the cell lacks though all of it is chosen.
-
-    Tokens are words. A topic is the kind of text by :data:`TOPICS`. Only the cells (one number each) are fitted; documents are read twice
-    and neither moved nor gathered but for the join with their cells. Null margins count as an empty value, null texts have no tokens and are
-    chosen by their cell's probability. Repeated rows and ids are chosen alike. Without any tokens every row is chosen. An empty table gives no rows.
+    (source, language, topic) finds a weight for each that meets all margins at once. The sample is to have ``size`` expected tokens, or ``share`` of those there are:
+    a document's probability is ``min(1, c * weight)`` with ``c`` such that all cells together give that many, and it is chosen if a number made of its id's MD5 is
+    below. So a cell that cannot give its part is taken whole, ``shortfall`` being the share of its tokens in the mix that it lacks, and does not thin the
+    others. With neither, the probability is the weight over the largest one: the expected sample has exactly the fitted mix, and the cell of largest weight sets how
+    much is chosen.
+
+    Tokens are words. A topic is the kind of text by :data:`TOPICS`. Documents are read once: what is found of each is written with ``row``, the input columns named by ``carry`` (all by
+    default; leave out the text where only the verdicts are wanted), and then joined with its cell. Only the cells (one number each) are fitted. Null margins count as an
+    empty value, null texts have no tokens and are chosen by their cell's probability. Repeated rows and ids are chosen alike. Without any tokens
+    every row is chosen. An empty table gives no rows.
     """
-    rows = described(df, id_col, text_col, source_col, lang_col)
+    rows = store(described(df, id_col, text_col, source_col, lang_col, carry), "described")
     cells = store(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), "tokens")
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
     shares = {m: store(target_shares(cells, m, (targets or {}).get(m), temper), "shares") for m in MARGINS}
     fitted = rake(cells, shares, total, rounds) if total else store(cells.withColumn("f", F.lit(1.0)), "cells")
+    discard(cells, *shares.values())
+    if share is not None:
+        size = share * total
+    if size is None:
+        scale = 1.0 / (fitted.where("tokens > 0").agg(F.max("f")).first()[0] or 1.0)
+    else:
+        scale = calibrated(fitted, size) if total else 1.0
+    asked = F.when(F.col("f") > 0, F.col("f") * scale).otherwise(0.0)
+    shortfall = F.greatest(F.lit(0.0), 1 - 1 / F.greatest(asked, F.lit(1.0)))
+    cell = fitted.select(*MARGINS, F.col("f").alias("weight"), F.least(F.lit(1.0), asked).alias("probability"), shortfall.alias("shortfall"))
     chosen = (F.col("u") < F.col("probability")).alias("selected")
-    if size is not None:
-        asked = F.when(F.col("f") > 0, F.col("f") * (calibrated(fitted, size) if total else 1.0)).otherwise(0.0)
-        cell = fitted.select(*MARGINS, F.col("f").alias("weight"), F.least(F.lit(1.0), asked).alias("probability"), F.greatest(F.lit(0.0), 1 - 1 / F.greatest(asked, F.lit(1.0))).alias("shortfall"))
-        return rows.join(cell, list(MARGINS)).select("row", "n_tokens", *MARGINS, "weight", "probability", chosen, "shortfall")
-    largest = fitted.where("tokens > 0").agg(F.max("f")).first()[0] or 1.0
-    cell = fitted.select(*MARGINS, F.col("f").alias("weight"), F.least(F.lit(1.0), F.col("f") / F.lit(largest)).alias("probability"))
-    return rows.join(cell, list(MARGINS)).select("row", "n_tokens", *MARGINS, "weight", "probability", chosen)
+    return rows.join(cell, list(MARGINS)).select("row", "n_tokens", *MARGINS, "weight", "probability", chosen, "shortfall")

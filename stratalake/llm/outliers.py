@@ -35,8 +35,8 @@ def text_statistics(text: str) -> dict[str, Column]:
 def with_statistics(docs: DataFrame) -> DataFrame:
     """``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` of the column ``text``.
 
-    Repeated windows are found by sorting: each three-word window's hash gives way in its lowest bits to the
-    window's place, as many as the text's length needs, so that equal windows become neighbours of known place.
+    Repeated windows are found by sorting the 64-bit hashes of all three-word windows with their places, so that equal
+    windows become neighbours of known place.
     """
     split = docs.select(*[c for c in docs.columns if c != "text"], *[c.alias(n) for n, c in text_statistics("text").items()])
     counted = split.select(
@@ -47,16 +47,12 @@ def with_statistics(docs: DataFrame) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
     )
     pairs = F.expr("zip_with(words, slice(words, 2, size(words)), (a, b) -> xxhash64(a, b))")
-    hashed = counted.select("*", pairs.alias("pairs"), F.expr("cast(ceil(log2(n_words + 2)) as int)").alias("places"))
+    hashed = counted.select("*", pairs.alias("pairs"))
     triples = F.expr("slice(zip_with(pairs, slice(words, 3, size(words)), (p, c) -> xxhash64(p, c)), 1, cast(greatest(n_words - 2, 0) as int))")
     hashed = hashed.select("*", triples.alias("triples")).drop("pairs", "words")
-    keyed = F.expr("sort_array(transform(triples, (h, i) -> shiftleft(shiftright(h, places), places) | cast(i as bigint)))")
-    keyed = hashed.select("*", keyed.alias("keys")).drop("triples")
-    equal = F.expr(
-        "array_compact(zip_with(keys, slice(keys, 2, size(keys)), (a, b) -> "
-        "if(shiftright(a, places) = shiftright(b, places), array(a & (shiftleft(1L, places) - 1), b & (shiftleft(1L, places) - 1)), null)))"
-    )
-    found = keyed.select("*", F.flatten(equal).alias("at")).drop("keys", "places")
+    keyed = hashed.select("*", F.expr("sort_array(transform(triples, (h, i) -> struct(h, i)))").alias("keys")).drop("triples")
+    equal = F.expr("array_compact(zip_with(keys, slice(keys, 2, size(keys)), (a, b) -> if(a.h = b.h, array(a.i, b.i), null)))")
+    found = keyed.select("*", F.flatten(equal).alias("at")).drop("keys")
     covered = F.expr("cast(size(array_distinct(flatten(transform(at, p -> array(p, p + 1, p + 2))))) as bigint)")
     return found.withColumn("n_repeat_words", covered).drop("at")
 
@@ -108,7 +104,8 @@ def _factors(rows: DataFrame) -> DataFrame:
 def _start(rows: DataFrame) -> DataFrame:
     """A first estimate from quartiles of each coordinate: the medians, and a diagonal scatter."""
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("d"), F.expr(f"cast(floor({x} * {BINS}) as long)").alias("bin")) for i, x in enumerate(DIMENSIONS)]))
-    counts = rows.select("pool", pairs.alias("p")).groupBy("pool", "p.d", "p.bin").agg(F.count("*").alias("c"))
+    # Written, so that the partial counts of all tasks are added up by bin before a pool's bins come together.
+    counts = store(rows.select("pool", pairs.alias("p")).groupBy("pool", "p.d", "p.bin").agg(F.count("*").alias("c")), "bins")
     upto = Window.partitionBy("pool", "d").orderBy("bin")
     counts = counts.withColumns({"upto": F.sum("c").over(upto), "n": F.sum("c").over(Window.partitionBy("pool", "d"))})
     quartile = lambda q: F.min(F.expr(f"CASE WHEN upto >= {q} * n THEN (bin + 0.5) / {BINS} END"))
@@ -131,7 +128,7 @@ def _distances(rows: DataFrame, factors: DataFrame) -> DataFrame:
 def _nearest(rows: DataFrame, share: float, usual: float = 0.0) -> DataFrame:
     """The rows of each pool within the least distance (in steps of 1/64 of its logarithm) that holds ``share`` of them, or within ``usual``."""
     binned = rows.withColumn("bin", F.expr(f"cast(floor(ln(1 + d2) * {BINS}) as long)"))
-    counts = binned.groupBy("pool", "bin").agg(F.count("*").alias("c"))
+    counts = store(binned.groupBy("pool", "bin").agg(F.count("*").alias("c")), "bins")
     upto = Window.partitionBy("pool").orderBy("bin")
     counts = counts.withColumns({"upto": F.sum("c").over(upto), "n": F.sum("c").over(Window.partitionBy("pool"))})
     bounds = counts.where(f"upto >= {share} * n").groupBy("pool").agg(F.min("bin").alias("most"))

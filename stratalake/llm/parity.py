@@ -6,7 +6,11 @@ import numpy as np
 
 from stratalake.llm.wordhash import salted, signed
 
-LEAST_WORDS = 4
+#: 64-bit words of the narrowest sketch.
+LEAST_WORDS = 16
+#: Words of the sketch of fixed width, which is compared first.
+FIXED_WORDS = 4
+FIXED = [f"parity{i}" for i in range(FIXED_WORDS)]
 
 
 def parity_words(sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -25,10 +29,17 @@ def parity_sketches(texts: np.ndarray, grams: np.ndarray, sizes: np.ndarray, per
     return bounds.astype(np.int32), np.packbits(flips.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def parity_long(texts: np.ndarray, grams: np.ndarray, rows: int, salt: int = 6) -> np.ndarray:
-    """A sketch of 64 bits for each set, as Spark's long."""
-    flips = np.bincount(64 * texts + (salted(grams, salt) & np.uint64(63)).astype(np.int64), minlength=64 * rows) & 1
-    return signed(np.packbits(flips.astype(np.uint8), bitorder="little").view(np.uint64))
+def fixed_sketches(texts: np.ndarray, grams: np.ndarray, rows: int, salt: int = 6) -> list[np.ndarray]:
+    """Sketches of ``FIXED_WORDS`` words whatever the set's size, a column of Spark's longs for each word."""
+    bits = 64 * FIXED_WORDS
+    flips = np.bincount(bits * texts + (salted(grams, salt) & np.uint64(bits - 1)).astype(np.int64), minlength=bits * rows) & 1
+    words = np.packbits(flips.astype(np.uint8), bitorder="little").view(np.uint64).reshape(rows, FIXED_WORDS)
+    return [signed(np.ascontiguousarray(words[:, i])) for i in range(FIXED_WORDS)]
+
+
+def fixed_allow(a: str, b: str, most: str) -> str:
+    """SQL: the fixed sketches, their columns ending in ``a`` and ``b``, differ in at most ``most`` bits."""
+    return " + ".join(f"bit_count({c}{a} ^ {c}{b})" for c in FIXED) + f" <= {most}"
 
 
 def most_difference(a: str, b: str, percent: int) -> str:

@@ -218,8 +218,17 @@ def op8_nearest_neighbours(spark, folder):
     return ann.nearest(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
 
-def _mixing_sql(rounds: int = mixing.ROUNDS, temper: float = mixing.TEMPER) -> str:
-    topic = "CASE " + " ".join(f"WHEN regexp_matches(coalesce(text, ''), '{p}') THEN '{n}'" for n, p in mixing.TOPICS.items()) + " ELSE 'prose' END"
+#: Part of all tokens that the sample is to have.
+SAMPLE_SHARE = 0.5
+
+
+def _mixing_sql(rounds: int = mixing.ROUNDS, temper: float = mixing.TEMPER, part: float = SAMPLE_SHARE) -> str:
+    """Raking step by step; the scale is the greatest that any number of whole cells, in order of weight, asks of the others."""
+    topic = (
+        r"CASE WHEN regexp_matches(coalesce(text, ''), '\|[^|\n]*\|[^|\n]*\|') THEN 'listing' "
+        "WHEN regexp_matches(coalesce(text, ''), '(?i)licen[cs]e|copyright|all rights reserved') THEN 'notice' "
+        "WHEN regexp_matches(coalesce(text, ''), '[A-Za-z0-9]@[A-Za-z0-9]|https?://') THEN 'contact' ELSE 'prose' END"
+    )
     step, shares = "cells", []
     for m in mixing.MARGINS:
         shares.append(f"share_{m} AS (SELECT {m}, pow(t, {temper}) / sum(pow(t, {temper})) OVER () AS share FROM (SELECT {m}, sum(tokens) AS t FROM cells GROUP BY {m}))")
@@ -240,7 +249,12 @@ def _mixing_sql(rounds: int = mixing.ROUNDS, temper: float = mixing.TEMPER) -> s
     ), cells AS MATERIALIZED (
         SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens, 1.0::DOUBLE AS f, (SELECT sum(n_tokens) FROM rows)::DOUBLE AS total FROM rows GROUP BY ALL
     ), {", ".join(shares)}, {", ".join(steps)},
-    chance AS (SELECT source, lang, topic, f, least(1.0, f / (SELECT max(f) FROM {step} WHERE tokens > 0)) AS p FROM {step})
+    ordered AS (
+        SELECT total, coalesce(sum(tokens) OVER before, 0) AS taken, sum(tokens * f) OVER (ORDER BY f DESC, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+        FROM {step} WHERE tokens > 0 AND f > 0 WINDOW before AS (ORDER BY f DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    ), scale AS (
+        SELECT max(({part} * total - taken) / rest) AS c FROM ordered
+    ), chance AS (SELECT source, lang, topic, f, least(1.0, f * c) AS p FROM {step}, scale)
     SELECT doc_id, n_tokens, topic, round(f, 6) AS weight, round(p, 6) AS probability, u < p AS selected
     FROM rows JOIN chance USING (source, lang, topic)
     """
@@ -248,8 +262,8 @@ def _mixing_sql(rounds: int = mixing.ROUNDS, temper: float = mixing.TEMPER) -> s
 
 @query(_mixing_sql())
 def op2_mixing(spark, folder):
-    """Every document's weight and whether it is in a sample of tempered shares of sources, languages and topics."""
-    rows = mixing.mix(documents(spark, folder))
+    """Every document's weight and whether it is in a sample of half of all tokens, with tempered shares of sources, languages and topics."""
+    rows = mixing.mix(documents(spark, folder), share=SAMPLE_SHARE, carry=["doc_id"])
     return rows.select("row.doc_id", "n_tokens", "topic", F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), "selected")
 
 

@@ -7,21 +7,33 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
-from stratalake.llm.wordhash import Words, bounded_batches, mix, range_hashes, salted, signed, slices
-from stratalake.sources.scratch import store
+from stratalake.llm.rows import quoted, row_struct
+from stratalake.llm.wordhash import Words, bounded_batches, range_hashes, salted, signed, slices
+from stratalake.sources.scratch import discard, store
 
-#: Bytes of text looked at together, within which repeats are found before anything is shuffled.
-LOCAL_BYTES = 4 << 20
-#: Bytes kept of a window's hash; windows are only compared if their 64-bit seeds are equal too.
-HASH_BYTES = 5
-#: ``place`` holds a version mark, the seed's offset in the first window and that window's first word.
-_LEAD_BIT, _MARK_BIT = 36, 40
-_ALL = -1
+#: Words of the shortest windows, at most.
+SHORTEST = 5
+#: A place is a version of the document, told by some bits of its words' hash, and a word number.
+_MARK_BIT = 40
+_NUMBER = (1 << _MARK_BIT) - 1
+#: The word number that stands for all words.
+_ALL = _NUMBER
+_LONGS = T.ArrayType(T.LongType(), False)
+TEXTS = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "n", "one", "two")] + [T.StructField(c, _LONGS) for c in ("hashes", "places")])
+
+
+def window_lengths(length: int) -> list[int]:
+    """Lengths of the levels: each at most twice the one before, from ``SHORTEST`` words or fewer up to ``length``."""
+    if length < 1:
+        raise ValueError("a window has a word at least")
+    halvings = 0
+    while -(-length >> halvings) > SHORTEST:
+        halvings += 1
+    return [-(-length // (1 << k)) for k in range(halvings, -1, -1)]
 
 
 def _marks(hashes: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -31,119 +43,130 @@ def _marks(hashes: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
     return one, range_hashes(salted(hashes, 7), bounds[:-1], bounds[1:])
 
 
-def _version(mark: np.ndarray) -> np.ndarray:
-    return (mark & np.uint64(0x3FFFFF)).astype(np.int64)
+def _versions(one: np.ndarray) -> np.ndarray:
+    return (one & np.uint64(0x3FFFFF)).astype(np.int64) << _MARK_BIT
 
 
-def _sequences(batches):
-    for batch in batches:
-        for low, high in slices(batch.column(1)):
-            words = Words(batch.column(1).slice(low, high - low))
-            one, two = _marks(words.hashes(), words)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(low, high - low), pa.array(words.counts.astype(np.int64)), pa.array(signed(one)), pa.array(signed(two))],
-                names=["doc_id", "n", "one", "two"],
-            )
+def level_starts(words: Words, hashes: np.ndarray, lengths: list[int]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """First words of all windows of the last length, and of the shorter window that stands for each on every level.
 
+    Of the shortest windows in a full one the one with the least hash stands for it, so equal full windows have equal ones at the same
+    place; a longer one holds the shorter one in its middle, as far as the full window allows.
+    """
+    full, least = lengths[-1], lengths[0]
+    starts = np.arange(max(len(hashes) - full + 1, 0))
+    texts = words.texts()
+    starts = starts[texts[starts] == texts[starts + full - 1]] if len(starts) else starts
+    if not len(starts):
+        return starts, [starts for _ in lengths]
+    at = np.arange(len(hashes) - least + 1)
+    order = salted(range_hashes(hashes, at, at + least), 8)
+    offset = np.lib.stride_tricks.sliding_window_view(order, full - least + 1)[starts].argmin(axis=1)
+    levels, before = [starts + offset], least
+    for length in lengths[1:]:
+        offset = np.clip(offset - (length - before) // 2, 0, full - length)
+        levels.append(starts + offset)
+        before = length
+    return starts, levels
+
+
+def _places(words: Words, starts: np.ndarray, versions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The text of each window, and its place."""
+    texts = words.texts()[starts]
+    return texts, versions[texts] + starts - words.first[texts]
+
+
+def _lists(texts: np.ndarray, rows: int, *values: np.ndarray) -> list[pa.Array]:
+    """Values in order of text as a list for each of ``rows`` texts."""
+    bounds = pa.array(np.searchsorted(texts, np.arange(rows + 1)).astype(np.int32))
+    return [pa.ListArray.from_arrays(bounds, pa.array(v)) for v in values]
+
+
+def _shortest(lengths: list[int]):
+    """Of every text: the hashes of its word sequence, and of its shortest windows that stand for a full one."""
+
+    def shortest(batches):
+        for batch in batches:
+            for low, high in slices(batch.column(1)):
+                words = Words(batch.column(1).slice(low, high - low))
+                hashes = words.hashes()
+                one, two = _marks(hashes, words)
+                _, levels = level_starts(words, hashes, lengths)
+                starts = np.unique(levels[0])
+                texts, places = _places(words, starts, _versions(one))
+                found = _lists(texts, high - low, signed(range_hashes(hashes, starts, starts + lengths[0])), places)
+                facts = [pa.array(words.counts.astype(np.int64)), pa.array(signed(one)), pa.array(signed(two))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), *facts, *found], names=TEXTS.names)
 
-SEEDS = "seed long, doc_id long, place long, local int, windows binary"
+    return shortest
 
 
-def _seeds(length: int):
-    half = length // 2
-    span = length - half + 1  # half-length windows in a window
+def _longer(lengths: list[int], level: int):
+    """Hashes of the windows of a level in which the window of the level before is repeated; ``repeated`` are the places of those."""
 
-    def seeds(batches):
-        earliest = {}  # smallest id so far of each whole sequence in this partition
+    def longer(batches):
         for batch in batches:
-            for low, high in slices(batch.column(1), LOCAL_BYTES):
+            for low, high in slices(batch.column(1)):
                 part = batch.slice(low, high - low)
-                part = part.filter(part.column(0).is_valid())
-                part = part.take(pc.sort_indices(part, sort_keys=[("doc_id", "ascending")]))
-                ids = part.column(0).to_numpy()
                 words = Words(part.column(1))
                 hashes = words.hashes()
-                one, two = _marks(hashes, words)
-                alone = np.ones(len(ids), bool)
-                for i, (key, doc) in enumerate(zip(zip(one.tolist(), two.tolist(), strict=True), ids.tolist(), strict=True)):
-                    alone[i] = doc <= earliest.setdefault(key, doc)
-                    earliest[key] = min(doc, earliest[key])
-                texts = words.texts()
-                starts, whole = words.windows(hashes, length)
-                use = alone[texts[starts]]
-                starts, whole = starts[use], whole[use]
-                if not len(starts):
-                    continue
-                at = np.arange(len(hashes) - half + 1)
-                halves = range_hashes(hashes, at, at + half)
-                order = salted(halves, 8)
-                least = np.lib.stride_tricks.sliding_window_view(order, span)[starts].argmin(axis=1) + starts
-                owner = texts[starts]
-                first = np.ones(len(starts), bool)
-                first[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])
-                run = np.cumsum(first) - 1
-                heads = np.flatnonzero(first)
-                offset = np.arange(len(starts)) - heads[run]
-                position = starts - words.first[owner]
-
-                # Rows are in order of id, so a stable sort puts the earliest of equal windows first.
-                by_hash = np.argsort(whole, kind="stable")
-                same = np.zeros(len(starts), bool)
-                same[1:] = whole[by_hash[1:]] == whole[by_hash[:-1]]
-                origin = by_hash[np.maximum.accumulate(np.where(same, 0, np.arange(len(starts))))]
-                later = np.zeros(len(starts), bool)
-                later[by_hash] = same & ((ids[owner[by_hash]] != ids[owner[origin]]) | (position[by_hash] != position[origin]))
-                local = np.add.reduceat(later.astype(np.int64) << offset, heads)
-
-                sizes = np.diff(np.append(heads, len(starts)))
-                done = local == (1 << sizes) - 1
-                lead = (least - starts)[heads]
-                place = (_version(one[owner[heads]]) << _MARK_BIT) | (lead << _LEAD_BIT) | position[heads]
-                seed = halves[least[heads]]
-                lone = mix(signed(one[owner[heads]]).view(np.uint64) + ids[owner[heads]].astype(np.uint64) * np.uint64(31) + place.astype(np.uint64))
-                packed = whole.view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES][np.repeat(~done, sizes)]
-                bounds = np.concatenate([[0], np.cumsum(np.where(done, 0, sizes) * HASH_BYTES)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(signed(np.where(done, lone, seed))),
-                        pa.array(ids[owner[heads]]),
-                        pa.array(place),
-                        pa.array(local.astype(np.int32)),
-                        pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(packed))]),
-                    ],
-                    names=["seed", "doc_id", "place", "local", "windows"],
-                )
-
-    return seeds
-
-
-def _cut(length: int):
+                one, _ = _marks(hashes, words)
+                _, levels = level_starts(words, hashes, lengths)
+                texts, places = _places(words, levels[level - 1], _versions(one))
+                lists = part.column(2)
+                known = lists.flatten().to_numpy(zero_copy_only=False)
+                owner = np.repeat(np.arange(len(part)), lists.value_lengths().to_numpy(zero_copy_only=False))
+                # Places of different texts of a slice are kept apart by the text's number.
+                hit = np.isin(_pairs(texts, places), _pairs(owner, known))
+                starts = np.unique(levels[level][hit])
+                texts, places = _places(words, starts, _versions(one))
+                found = range_hashes(hashes, starts, starts + lengths[level])
+                ids = part.column(0).take(pa.array(texts))
+                yield pa.RecordBatch.from_arrays([pa.array(signed(found)), ids, pa.array(places)], names=["hash", "doc_id", "place"])
+
+    return longer
+
+
+def _pairs(texts: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return salted(places.astype(np.uint64), 13) ^ salted(texts.astype(np.uint64), 14)
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Rows ``hash, doc_id, place`` of a written table whose hash more than one of them has.
+
+    Hashes are counted with map-side combining and joined back, so one that a third of all documents hold can be split.
+    """
+    often = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("hash")
+    often = store(often, "often")
+    kept = store(rows.join(often, "hash"), "repeated")
+    discard(rows, often)
+    return kept
+
+
+def _cut(length: int, names: list[str]):
     def cut(batches):
         for batch in batches:
             for low, high in slices(batch.column(1)):
                 part = batch.slice(low, high - low)
                 words = Words(part.column(1))
                 one, _ = _marks(words.hashes(), words)
-                version, counts = _version(one), words.counts
+                versions, counts = _versions(one), words.counts
                 kept, digests, removed = [], [], []
-                rows = zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)
+                rows = zip(part.column(1), part.column(2), strict=True)
                 for i, (text, found) in enumerate(rows):
-                    raw = (text or "").encode()
+                    raw = (text.as_py() or "").encode()
                     gone = np.zeros(counts[i], bool)
-                    for span in found or ():
-                        place, windows = span["place"], span["windows"]
-                        if place >> _MARK_BIT != version[i]:
-                            continue
-                        if windows == _ALL:
+                    if found.is_valid:
+                        places = found.values.to_numpy(zero_copy_only=False)
+                        places = places[places >> _MARK_BIT << _MARK_BIT == versions[i]] & _NUMBER
+                        if (places == _ALL).any():
                             gone[:] = True
-                            break
-                        start = place & ((1 << _LEAD_BIT) - 1)
-                        if windows & windows + 1 == 0:  # the first few, without a gap
-                            gone[start : start + windows.bit_length() - 1 + length] = True
-                            continue
-                        for k in range(windows.bit_length()):
-                            if windows >> k & 1:
-                                gone[start + k : start + k + length] = True
+                        else:
+                            edge = np.zeros(counts[i] + 1, np.int64)
+                            places = np.unique(places)
+                            edge[places] += 1
+                            edge[places + length] -= 1
+                            gone = np.cumsum(edge[:-1]) > 0
                     left = raw.split()
                     if gone.any():
                         left = list(compress(left, (~gone).tolist()))
@@ -155,12 +178,11 @@ def _cut(length: int):
                             pieces.append(raw[at : begins[a]])
                             at = begins[b]
                         raw = b"".join([*pieces, raw[at:]])
-                    kept.append(None if text is None else raw.decode())
+                    kept.append(raw.decode() if text.is_valid else None)
                     digests.append(hashlib.sha256(b" ".join(left)).hexdigest())
                     removed.append(int(gone.sum()))
                 out = [part.column(0), pa.array(counts.astype(np.int64)), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.string())]
-                names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "row"]
-                yield pa.RecordBatch.from_arrays([*out, *part.columns[3:]], names=names[: len(out) + len(part.columns) - 3])
+                yield pa.RecordBatch.from_arrays([*out, *part.columns[3:]], names=names)
 
     return cut
 
@@ -173,44 +195,53 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     the text keeps its own white space.
 
     * A document whose whole word sequence is that of a smaller id goes as a whole; this costs one aggregation.
-    * Windows of half the length are looked at first. One of those in each full window stands for it: the one with the least
-      hash, which is the same wherever the window occurs. Only those that occur twice are extended to the full length, and only
-      full windows that occur twice are ranked. Both steps use one shuffle by the half window's hash; a row carries the hashes
-      of the full windows (64 + 40 bits decide equality).
-    * Repeats within a few MB of one partition are marked before the shuffle, so a passage in a third of all documents
-      sends as many rows as there are such stretches of input, and not one for each document.
+    * The others go through levels of doubled lengths (5, 10 and 20 words for 20; see :func:`window_lengths`). On the first level one of the shortest windows stands for
+      each full window, the one with the least hash, which is the same wherever the full window occurs. Windows that occur twice at one length are alone
+      extended to the next, until none are left or the full length is reached. What a level passes on are places; texts are read again for the documents that have some.
+    * Of equal full windows (64-bit hashes) the earliest is found with map-side combining and joined back.
 
     Null and empty texts have no words and stay. Rows without id take no part and stay whole. Equal rows of one id
     don't remove each other; different texts of one id are told apart by a hash of their words. Texts of fewer words than ``length``
-    have no windows. With ``carry`` a column ``row`` holds the other input columns. An empty table gives no rows.
+    have no windows. With ``carry`` a column ``row`` holds the other input columns, whatever their names. An empty table gives no rows.
     """
-    docs = bounded_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sequences = store(docs.mapInArrow(_sequences, "doc_id long, n long, one long, two long"), "sequences")
-    long = sequences.where(f"n >= {length} AND doc_id IS NOT NULL")
-    copies = long.groupBy("n", "one", "two").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first != last")
-    mark = F.shiftleft(F.expr("one & 4194303"), _MARK_BIT)
-    whole = long.join(store(copies, "copies"), ["n", "one", "two"]).where("doc_id != first").select("doc_id", mark.alias("place"), F.lit(_ALL).alias("windows"))
-
-    seeds = docs.mapInArrow(_seeds(length), SEEDS)
-    seen = seeds.withColumn("times", F.count("*").over(Window.partitionBy("seed"))).where("times > 1 OR local != 0")
-    hashes = F.expr(
-        f"CASE WHEN times > 1 AND octet_length(windows) > 0 THEN transform(sequence(0, octet_length(windows) div {HASH_BYTES} - 1), "
-        f"i -> substring(windows, i * {HASH_BYTES} + 1, {HASH_BYTES})) END"
-    )
-    each = seen.select("seed", "doc_id", "place", "local", F.posexplode_outer(hashes).alias("k", "window"))
-    start = F.expr(f"(place & {(1 << _LEAD_BIT) - 1}) + k")
-    lead = F.expr(f"((place >> {_LEAD_BIT}) & {(1 << _MARK_BIT - _LEAD_BIT) - 1}) - k")
-    each = each.withColumns({"start": start, "lead": lead})
-    equal = Window.partitionBy("seed", "window", "lead").orderBy("doc_id", "start")
-    ranked = each.withColumn("later", (F.rank().over(equal) > 1) & F.col("window").isNotNull())
-    bits = F.bit_or(F.expr("CASE WHEN later THEN shiftleft(1, k) ELSE 0 END"))
-    found = ranked.groupBy("seed", "doc_id", "place", "local").agg(bits.alias("bits"))
-    found = found.select("doc_id", "place", F.expr("local | bits").alias("windows")).where("windows != 0")
-    spans = found.union(whole).groupBy("doc_id").agg(F.collect_list(F.struct("place", "windows")).alias("found"))
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+    lengths = window_lengths(length)
+    docs = bounded_batches(df).select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).alias("text"))
+    texts = store(docs.mapInArrow(_shortest(lengths), TEXTS), "texts")
+    long = texts.where(f"n >= {length} AND doc_id IS NOT NULL")
+    kind = ["n", "one", "two"]
+    copies = store(long.groupBy(*kind).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first != last"), "copies")
+    version = F.shiftleft(F.expr("one & 4194303"), _MARK_BIT)
+    whole = store(long.join(copies, kind).where("doc_id != first").select("doc_id", version.bitwiseOR(F.lit(_ALL)).alias("place")), "whole")
+
+    later_copies = copies.select(*kind, F.col("first"))
+    alone = long.join(later_copies, kind, "left").where("first IS NULL OR doc_id = first")
+    rows = alone.select("doc_id", F.explode(F.arrays_zip("hashes", "places")).alias("w")).select(F.col("w.hashes").alias("hash"), "doc_id", F.col("w.places").alias("place"))
+    found = _repeated(store(rows, "shortest"))
+    discard(texts, copies)
+    for level in range(1, len(lengths)):
+        lists = found.groupBy("doc_id").agg(F.collect_list("place").alias("repeated"))  # a document's own windows
+        lists = store(lists, "lists")
+        discard(found)
+        if lists.isEmpty():
+            found = store(lists.select(F.lit(0).cast("long").alias("hash"), "doc_id", F.lit(0).cast("long").alias("place")), "none")
+            break
+        candidates = docs.join(lists, "doc_id").select("doc_id", "text", "repeated")
+        rows = store(candidates.mapInArrow(_longer(lengths, level), "hash long, doc_id long, place long"), "longer")
+        discard(lists)
+        found = _repeated(rows)
+
+    number = F.expr(f"place & {_NUMBER}")
+    first = found.groupBy("hash").agg(F.min(F.struct("doc_id", number.alias("number"))).alias("first"))
+    first = store(first.select("hash", F.col("first.doc_id").alias("first_doc"), F.col("first.number").alias("first_number")), "first")
+    later = found.join(first, "hash").where((F.col("doc_id") != F.col("first_doc")) | (number != F.col("first_number"))).select("doc_id", "place")
+    spans = store(later.union(whole).groupBy("doc_id").agg(F.collect_list("place").alias("found")), "spans")
+    discard(found, first, whole)
+
+    fields = [("doc_id", T.LongType()), ("n_words", T.LongType()), ("n_removed", T.LongType()), ("kept_sha256", T.StringType()), ("kept_text", T.StringType())]
+    schema = T.StructType([T.StructField(*f) for f in fields])
     row = []
     if carry:
-        others = [c for c in df.columns if c not in (id_col, text_col)]
-        docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.struct(*others, F.lit(0).alias("_")).alias("row"))
-        schema, row = f"{schema}, row {docs.schema['row'].dataType.simpleString()}", ["row"]
-    return docs.join(store(spans, "spans"), "doc_id", "left").select("doc_id", "text", "found", *row).mapInArrow(_cut(length), schema)
+        docs = df.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).alias("text"), row_struct(df, [c for c in df.columns if c not in (id_col, text_col)]))
+        schema, row = schema.add("row", docs.schema["row"].dataType), ["row"]
+    return docs.join(spans, "doc_id", "left").select("doc_id", "text", "found", *row).mapInArrow(_cut(length, schema.names), schema)
+

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.llm.rows import quoted
 from stratalake.llm.wordhash import Words, bounded_batches, salted, slices
 
 #: Words put together at a time when kept words are joined.
@@ -192,5 +193,5 @@ def find_runs(
     hashes. A null or empty text has no words and no runs. Rows without id are not rewritten. Repeated rows and ids each give a row. An empty
     table gives no rows; other columns are not read.
     """
-    docs = bounded_batches(df).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    docs = bounded_batches(df).select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).alias("text"))
     return docs.mapInArrow(_found(exponent, shortest, rewrite), SCHEMA)

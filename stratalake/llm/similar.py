@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.llm.components import connected_components
-from stratalake.llm.parity import most_difference, parity_long, parity_sketches, sizes_allow, sketches_allow
+from stratalake.llm.parity import FIXED, fixed_allow, fixed_sketches, most_difference, parity_sketches, sizes_allow, sketches_allow
 from stratalake.llm.wordhash import Words, range_hashes, salted, signed, slices
 from stratalake.sources.scratch import discard, store
 
 LONGS = T.ArrayType(T.LongType(), False)
-#: What is known of a document's set: its size, a 128-bit sum of its hashes, and two parity sketches.
-FACTS = [T.StructField(c, T.LongType()) for c in ("doc_id", "n", "fp1", "fp2", "parity")] + [T.StructField("sketch", LONGS)]
+#: What is known of a document's set: its size, a 128-bit sum of its hashes, and two parity sketches, of fixed width and as wide as the set needs.
+FACTS = [T.StructField(c, T.LongType()) for c in ("doc_id", "n", "fp1", "fp2", *FIXED)] + [T.StructField("sketch", LONGS)]
 KIND = ["n", "fp1", "fp2"]
 #: Bucket rows that one task makes.
 ROWS_PER_TASK = 1_000_000
@@ -55,7 +55,7 @@ def set_facts(ids: pa.Array, texts: np.ndarray, grams: np.ndarray, sizes: np.nda
         if doc is not None and n and (n, *key) not in seen:
             new[i] = True
             seen.add((n, *key))
-    columns = [ids, pa.array(sizes.astype(np.int64)), *[pa.array(p) for p in prints], pa.array(parity_long(texts, grams, rows))]
+    columns = [ids, pa.array(sizes.astype(np.int64)), *[pa.array(p) for p in (*prints, *fixed_sketches(texts, grams, rows))]]
     return [*columns, pa.ListArray.from_arrays(pa.array(bounds), pa.array(sketch))], new
 
 
@@ -143,19 +143,17 @@ def similar_groups(profiles: DataFrame, keys: Column, n_keys: Column, docs: Data
     discard(every, sizes)
     company = store(members.groupBy("rep").agg(F.sum("c").alias("weight")), "company")
     own = filled.join(company.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    facts = store(own.select(F.col("doc_id").alias("rep"), "n", "parity", "sketch").dropDuplicates(["rep", "n", "parity", "sketch"]), "facts")
-    marked = store(members.select("key", "rep").join(facts.select("rep", "n", "parity"), "rep").join(company, "rep"), "marked")
+    facts = store(own.select(F.col("doc_id").alias("rep"), "n", *FIXED, "sketch").dropDuplicates(["rep", "n", *FIXED]), "facts")
+    marked = store(members.select("key", "rep").join(facts.select("rep", "n", *FIXED), "rep").join(company, "rep"), "marked")
     discard(members, company)
-    best = marked.groupBy("key").agg(F.max(F.struct("weight", (-F.col("rep")).alias("hub"), "n", "parity")).alias("best"))
-    hubs = best.select("key", (-F.col("best.hub")).alias("hub"), F.col("best.weight").alias("hub_weight"), F.col("best.n").alias("hub_n"), F.col("best.parity").alias("hub_parity"))
-
-    def near(n_a: str, n_b: str, a: str, b: str) -> str:
-        return f"{sizes_allow(n_a, n_b, percent)} AND bit_count({a} ^ {b}) <= {most_difference(n_a, n_b, percent)}"
-
-    hubs = store(hubs, "hubs")
-    star = store(_star(marked, hubs, near("n", "hub_n", "parity", "hub_parity")), "star")
+    best = marked.groupBy("key").agg(F.max(F.struct("weight", (-F.col("rep")).alias("hub"), "n", *FIXED)).alias("best"))
+    own = {"hub": -F.col("best.hub"), "hub_weight": F.col("best.weight"), "n_hub": F.col("best.n")} | {f"{c}_hub": F.col(f"best.{c}") for c in FIXED}
+    hubs = store(best.select("key", *[c.alias(n) for n, c in own.items()]), "hubs")
+    most = lambda a, b: most_difference(f"n{a}", f"n{b}", percent)
+    near = lambda a, b: f"{sizes_allow(f'n{a}', f'n{b}', percent)} AND {fixed_allow(a, b, most(a, b))}"
+    alike = sketches_allow("sketch_a", "sketch_b", most("_a", "_b"))
+    star = store(_star(marked, hubs, near("", "_hub")), "star")
     left, right = (facts.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}")) for s in "ab")
-    alike = sketches_allow("sketch_a", "sketch_b", most_difference("n_a", "n_b", percent))
     likely = store(star.join(left, "a").join(right, "b").where(alike).select("a", "b").distinct(), "likely")
     links = _links(likely, docs, width, percent)
     # A document whose versions are in several classes ties these together.
@@ -173,9 +171,9 @@ def similar_groups(profiles: DataFrame, keys: Column, n_keys: Column, docs: Data
         discard(parts, split)
         parts = rest
     rest = store(parts.join(facts, "rep"), "rest")
-    left, right = (rest.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "g", "n", "parity", "sketch")]) for s in "ab")
+    left, right = (rest.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "g", "n", *FIXED, "sketch")]) for s in "ab")
     apart = "rep_a < rep_b" if count_links else "rep_a < rep_b AND g_a != g_b"
-    more = left.join(right, "key").where(f"{apart} AND {near('n_a', 'n_b', 'parity_a', 'parity_b')} AND {alike}")
+    more = left.join(right, "key").where(f"{apart} AND {near('_a', '_b')} AND {alike}")
     more = store(more.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct().join(star, ["a", "b"], "left_anti"), "more")
     discard(parts, rest, star, facts)
     links = links.union(_links(more, docs, width, percent))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -11,12 +12,14 @@ from pyspark.sql import functions as F
 
 from stratalake.llm.language import held_out
 from stratalake.llm.wordhash import bounded_batches, slices
-from stratalake.sources.scratch import store
+from stratalake.sources.scratch import discard, store
 
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Most labelled rows and scored tokens the model is made from and of.
+#: Most labelled rows the model is made from.
 MAX_LABELLED = 20_000
-MAX_WORDS = 50_000
+#: Significant tokens that a model may have; more are an error, since every task holds them. A token needs some ten different
+#: neighbourhoods to be significant, so texts of ordinary length have far fewer.
+MAX_TOKENS = 1_000_000
 #: A word's tokens are itself and its beginnings of these lengths (with a hyphen), so that inflected words share one.
 STEMS = range(4, 9)
 CACHED = 300_000
@@ -118,11 +121,11 @@ def _contexts(batches):
 
 
 def _significant(counts: DataFrame, share: float) -> DataFrame:
-    """``token, odds`` of those used significantly more in toxic contexts, at most ``MAX_WORDS``."""
+    """``token, odds`` of all those used significantly more in toxic contexts."""
     odds = F.log((F.col("t") + PRIOR * share) / (F.col("c") + PRIOR * (1 - share))) - float(np.log(share / (1 - share)))
     spread = F.sqrt(1 / (F.col("t") + PRIOR * share) + 1 / (F.col("c") + PRIOR * (1 - share)))
     best = counts.select("token", odds.alias("odds"), (odds / spread).alias("z")).where(f"z >= {LEAST_Z} AND odds > {2 * DRIFT}")
-    return store(best.orderBy(F.desc("z"), "token").limit(MAX_WORDS).select("token", "odds"), "tokens")
+    return store(best.select("token", "odds"), "tokens")
 
 
 def token_gains(labelled: DataFrame) -> dict[str, float]:
@@ -145,17 +148,18 @@ def token_gains(labelled: DataFrame) -> dict[str, float]:
     found = _significant(tokens.groupBy("token").agg(*tally), share)
     for _ in range(2):
         rank = F.when(F.col("token") == F.col("word"), 1 << 20).otherwise(F.length("token"))
-        owned = tokens.join(F.broadcast(found), "token").groupBy("word", "t", "c").agg(F.max_by("token", rank).alias("token"))  # at most MAX_WORDS tokens
+        owned = tokens.join(found, "token").groupBy("word", "t", "c").agg(F.max_by("token", rank).alias("token"))
         found = _significant(owned.groupBy("token").agg(*tally), share)
+    if found.count() > MAX_TOKENS:
+        raise ValueError(f"more than {MAX_TOKENS} significant tokens")
     return {r["token"]: r["odds"] - DRIFT for r in found.collect()}
 
 
-def decay(gains: np.ndarray, words: float) -> float:
+def decay(s: np.ndarray, times: np.ndarray, words: float) -> float:
     """The rate at which chances of high segments fall in clean text: the positive root of E[exp(rate * score)] = 1.
 
-    ``gains`` are those met in ``words`` words of clean text.
+    The different gains ``s`` are met ``times`` times each in ``words`` words of clean text.
     """
-    s, times = np.unique(gains, return_counts=True)
     p = times / max(words, 1.0)
     p = p * min(1.0, 0.5 / max(p.sum(), 1e-300))
     rest = 1 - p.sum()
@@ -185,39 +189,61 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def _best(model: Model):
+    """Of each labelled text its words and best segment; of the clean ones of a batch how often each gain is met."""
+
     def best(batches):
         for batch in batches:
-            rows = [model.hits(t) for t in batch.column(0).to_pylist()]
-            scores = [[s for _, _, s in maximal_segments(places, gains, DRIFT)] for _, places, gains in rows]
-            kind = pa.list_(pa.float64())
-            out = [pa.array([n for n, *_ in rows], pa.int64()), pa.array(scores, kind), pa.array([g for *_, g in rows], kind), batch.column(1)]
-            yield pa.RecordBatch.from_arrays(out, names=["n", "scores", "gains", "toxic"])
+            met = Counter()
+            rows = []
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                n, places, gains = model.hits(text)
+                rows.append((None, n, max((s for _, _, s in maximal_segments(places, gains, DRIFT)), default=0.0), toxic))
+                if not toxic:
+                    met.update(gains)
+            rows += [(gain, times, None, None) for gain, times in met.items()]
+            kinds = [pa.float64(), pa.int64(), pa.float64(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds], names=["gain", "n", "top", "toxic"])
 
     return best
 
 
+def _surprises(model: Model):
+    def surprises(batches):
+        for batch in batches:
+            found = [(*model.segments(text), toxic) for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            found = [(model.surprise(n, segments), toxic) for n, segments, toxic in found if n]
+            yield pa.RecordBatch.from_pydict({"x": pa.array([x for x, _ in found], pa.float64()), "toxic": pa.array([t for _, t in found], pa.int32())})
+
+    return surprises
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from ``doc_id, text`` and ``doc_id, toxic``, of at most ``MAX_LABELLED`` labelled rows chosen by a hash of the id."""
     one = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     sample = store(one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED), "sample")
     labelled = docs.join(F.broadcast(sample), "doc_id").select("text", "toxic")  # at most MAX_LABELLED rows of two numbers
     model = Model(token_gains(labelled))
-    rows = labelled.mapInArrow(_best(model), "n long, scores array<double>, gains array<double>, toxic int")
-    rows = rows.where("n > 0").orderBy(F.xxhash64("n", "scores", "toxic")).limit(MAX_LABELLED).collect()
+    found = store(labelled.mapInArrow(_best(model), "gain double, n long, top double, toxic int"), "best")
+    # Ids may repeat, so the rows are bounded once more: numbers of MAX_LABELLED rows reach the driver.
+    rows = found.where("gain IS NULL AND n > 0").select("n", "top", "toxic").orderBy(F.xxhash64("n", "top", "toxic"), "n", "top", "toxic").limit(MAX_LABELLED).collect()
     if not rows:
         model.weights = (-30.0, 0.0)
         return model
-    n, toxic = (np.array([r[k] for r in rows], float) for k in ("n", "toxic"))
+    n, top, toxic = (np.array([r[k] for r in rows], float) for k in ("n", "top", "toxic"))
     if toxic.min() == toxic.max():
         model.weights = (30.0 if toxic.max() else -30.0, 0.0)
         return model
-    top = np.array([max(r["scores"], default=0.0) for r in rows])
-    met = np.array([g for r in rows if not r["toxic"] for g in r["gains"]])
-    model.rate = decay(np.append(met, max(model.gains.values())), float(n[toxic == 0].sum())) if model.gains else 1.0
+    met = {r["gain"]: r["times"] for r in found.where("gain IS NOT NULL").groupBy("gain").agg(F.sum("n").alias("times")).collect()}  # a number a token
+    if model.gains:
+        highest = max(model.gains.values())
+        met[highest] = met.get(highest, 0) + 1
+        values = sorted(met)
+        model.rate = decay(np.array(values), np.array([met[v] for v in values], float), float(n[toxic == 0].sum()))
     # Given the rate, n * exp(-rate * best) of clean texts is exponential with mean 1 / size.
-    model.size = float(1 / np.mean((n * np.exp(-model.rate * top))[toxic == 0]))
-    x = np.log1p([model.surprise(int(r["n"]), [(0, 0, s) for s in r["scores"]]) for r in rows])
-    model.weights = logistic(x, toxic)
+    model.size = float(1 / np.mean(np.sort((n * np.exp(-model.rate * top))[toxic == 0])))
+    scored = labelled.mapInArrow(_surprises(model), "x double, toxic int").orderBy(F.xxhash64("x", "toxic"), "x", "toxic").limit(MAX_LABELLED).collect()
+    model.weights = logistic(np.log1p([r["x"] for r in scored]), np.array([r["toxic"] for r in scored], float))
+    discard(found)
     return model
 
 
@@ -243,7 +269,7 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """``doc_id, held_out, score, predicted, segments``: how likely each text is toxic, and its toxic passages.
 
     Log-odds of words and of their beginnings (:data:`STEMS`) between toxic and clean labelled texts, with a Dirichlet prior, are learnt from labels whose
-    ids are not held out (at most ``MAX_LABELLED``; at most ``MAX_WORDS`` tokens). A linear-time scan finds every maximal segment of
+    ids are not held out (at most ``MAX_LABELLED``). A linear-time scan finds every maximal segment of
     each whole text, as first and last word (letter runs) and score. The chance of so high a segment in clean text of that
     length follows from an extreme-value law fitted to clean texts; a logistic curve over the logs makes the score. No other column is read.
 

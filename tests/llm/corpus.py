@@ -15,6 +15,7 @@ SCHEMA = T.StructType(
     ]
 )
 EXTRA = "n sig rep a b c row ids decoded place seed windows found mark piece tokens u weight topic score pool bin x1 m_0 held_out words body keys part vector q v f s".split()
+EXTRA = list(dict.fromkeys([*EXTRA, *["a b", "x-y", "a.b", "_", "found", "hash", "place", "nothing", "hashes", "row.a", "struct", "back`quote", "digest", "flags", "mask"]]))
 VOCABULARY = {
     "en": "the of and to in is that house water green walking nothing under stone river light".split(),
     "de": "der die und in den von zu das haus wasser grün gehen nichts unter stein fluß licht".split(),
@@ -56,7 +57,7 @@ def corpus(seed=5, n=90):
 
 def frame(spark, rows, extra=True):
     out = spark.createDataFrame([(i, t, lang, src, None if t is None else len(t)) for i, t, lang, src in rows], SCHEMA)
-    return out.withColumns({c: F.lit(c) for c in EXTRA}) if extra else out
+    return out.select("*", *[F.lit(c).alias(c) for c in EXTRA]) if extra else out
 
 
 def result(df, *columns):

@@ -3,12 +3,14 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus import corpus, frame, result
+from pyspark.sql import functions as F
 
 from stratalake.llm import jaccard, repeats
 from stratalake.llm.components import connected_components
-from stratalake.llm.wordhash import salted
+from stratalake.llm.wordhash import Words, salted
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -156,24 +158,65 @@ def plain_without_repeats(rows, length):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("length", [20, 6, 3])
+@pytest.mark.parametrize("length", [20, 31, 6, 3, 1])
 def test_repeats_are_those_of_all_windows(spark, length):
     rows = corpus()
     got = repeats.without_repeats(frame(spark, rows).repartition(5), length=length)
     assert result(got, "doc_id", "n_words", "n_removed", "kept_sha256") == plain_without_repeats(rows, length)
 
 
-def test_repeats_across_slices_of_a_partition(spark, monkeypatch):
-    monkeypatch.setattr(repeats, "LOCAL_BYTES", 500)
+def test_levels_double_up_to_the_length():
+    assert [repeats.window_lengths(n) for n in (1, 5, 6, 20, 31, 64, 200)] == [[1], [5], [3, 6], [5, 10, 20], [4, 8, 16, 31], [4, 8, 16, 32, 64], [4, 7, 13, 25, 50, 100, 200]]
+    for n in range(1, 300):
+        lengths = repeats.window_lengths(n)
+        assert lengths[-1] == n and lengths[0] <= repeats.SHORTEST and all(a < b <= 2 * a for a, b in zip(lengths, lengths[1:]))
+    with pytest.raises(ValueError):
+        repeats.window_lengths(0)
+
+
+def test_shorter_windows_lie_in_each_other():
+    words = Words(pa.array([" ".join(f"w{i % 37}" for i in range(400)), "", "one two", " ".join(f"v{i}" for i in range(90))]))
+    for n in (1, 6, 20, 31, 64):
+        lengths = repeats.window_lengths(n)
+        starts, levels = repeats.level_starts(words, words.hashes(), lengths)
+        assert len(starts) == (400 - n + 1) + (2 - n + 1 if n < 3 else 0) + (90 - n + 1)
+        assert (levels[-1] == starts).all()
+        for (a, x), (b, y) in zip(zip(lengths, levels), list(zip(lengths, levels))[1:]):
+            assert ((y <= x) & (x + a <= y + b)).all()
+
+
+@pytest.mark.parametrize("length", [30, 31, 32, 64, 80, 200])
+def test_long_windows_go_from_every_later_document(spark, length):
+    """Six documents share a passage, each behind words of its own."""
+    passage = " ".join(f"p{i}" for i in range(210))
+    rows = [(i, f"own{i} " * (3 + i) + passage + f" end{i}" * 4, "en", "s") for i in range(6)]
+    got = repeats.without_repeats(frame(spark, rows), length=length)
+    assert result(got, "doc_id", "n_words", "n_removed", "kept_sha256") == plain_without_repeats(rows, length)
+    assert [r[0] for r in result(got, "n_removed")] == [0, *[210] * 5] or length > 30
+
+
+def test_no_candidates_survive_a_level(spark):
+    """Windows of five words are repeated, but none of ten."""
+    common = " ".join(f"c{i}" for i in range(6))
+    rows = [(i, " ".join(f"a{i}x{j}" for j in range(12)) + f" {common} " + " ".join(f"b{i}x{j}" for j in range(12)), "en", "s") for i in range(8)]
+    got = repeats.without_repeats(frame(spark, rows))
+    assert result(got, "doc_id", "n_words", "n_removed", "kept_sha256") == plain_without_repeats(rows, 20)
+
+
+def test_repeats_across_slices_and_partitions(spark):
     rows = corpus(seed=9, n=60)
-    got = repeats.without_repeats(frame(spark, rows).coalesce(2), length=8)
-    assert result(got, "doc_id", "n_words", "n_removed", "kept_sha256") == plain_without_repeats(rows, 8)
+    for partitions in (1, 6):
+        got = repeats.without_repeats(frame(spark, rows).repartition(partitions), length=8)
+        assert result(got, "doc_id", "n_words", "n_removed", "kept_sha256") == plain_without_repeats(rows, 8)
 
 
 def test_kept_text_has_the_kept_words_and_its_own_space(spark):
     repeated = " ".join(f"r{i}" for i in range(25))
     rows = [(1, f"start\n{repeated}\nend", "en", "s"), (2, f"other\tbegin {repeated}  and\nthen", "en", "s"), (3, repeated, "en", "s")]
     got = repeats.without_repeats(frame(spark, rows), carry=True)
+    assert got.schema["row"].dataType.names == [c for c in frame(spark, []).columns if c not in ("doc_id", "text")]
+    assert result(got.select(F.col("row").getField("a.b").alias("x"), F.col("row").getField("back`quote").alias("y")).distinct(), "x", "y") == [("a.b", "back`quote")]
+    assert result(repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string, lang string, s string").select("doc_id", "text"), carry=True), "doc_id") == [(1,), (2,), (3,)]
     assert result(got, "doc_id", "kept_text", "row.lang") == [(1, f"start\n{repeated}\nend", "en"), (2, "other\tbegin and\nthen", "en"), (3, "", "en")]
 
 

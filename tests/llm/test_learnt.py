@@ -1,5 +1,6 @@
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -9,6 +10,7 @@ from corpus import corpus, frame, result
 from pyspark.sql import functions as F
 
 from stratalake.llm import ann, language, toxicity
+from stratalake.llm.letters import LetterRuns
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -37,17 +39,49 @@ def test_forward_pass_sums_all_segmentations():
             for x in cut:
                 if x in pieces:
                     counts[pieces.index(x)] += p
-        assert lattice.forward([word, word], chances)[1][0] == pytest.approx(np.log(expected))
+        assert lattice.forward([word, word], chances)[2][0] == pytest.approx(np.log(expected))
         assert lattice.expected([word], np.array([[2.0, 3.0]]), chances) == pytest.approx(counts / expected * [2, 3])
 
 
 def test_long_words_do_not_underflow():
     lattice = language.Lattice(["a", "aa"])
     chances = np.array([[1e-5], [1e-6], [1e-8]])
-    short, long = (lattice.forward(["a" * n], chances)[1][0, 0] for n in (100, 2000))
+    short, long = (lattice.forward(["a" * n], chances)[2][0, 0] for n in (100, 2000))
     assert math.isfinite(long) and long == pytest.approx(20 * short, rel=0.05)
 
 
+def test_long_words_are_learnt_whole(monkeypatch):
+    """Scaled passes give what unscaled ones give, and the steps made again what kept ones give; nothing is cut."""
+    rng = random.Random(3)
+    pieces = sorted({language.START, language.START + "a", "a", "b", "ab", "abb", "ba"})
+    chances = np.array([[rng.random() / 3, rng.random() / 3] for _ in pieces] + [[1e-3, 1e-3]])
+    lattice = language.Lattice(pieces)
+    words = ["".join(rng.choice("ab") for _ in range(150)) for _ in range(3)]
+    counts = np.array([[1.0, 2.0], [3.0, 0.0], [0.5, 0.5]])
+    scaled = lattice.expected(words, counts, chances)
+    monkeypatch.setattr(language, "UNSCALED", 10_000)
+    plain = lattice.expected(words, counts, chances)
+    monkeypatch.setattr(language, "KEPT_STEPS", 10_000)
+    assert scaled == pytest.approx(plain) and lattice.expected(words, counts, chances) == pytest.approx(plain)
+    monkeypatch.undo()
+    lengths = np.array([len(p) for p in pieces])
+    assert (plain * lengths[:, None]).sum(axis=0) == pytest.approx(counts.sum(axis=0) * 151)  # every letter and start is in a piece
+    alone = lattice.expected(["a" * 3000], np.array([[1.0, 1.0]]), chances)
+    assert np.isfinite(alone).all() and alone[pieces.index("a")] == pytest.approx([2999, 2999], abs=1.01)
+
+
+def test_letter_runs_are_those_of_the_pattern():
+    pattern = re.compile(r"[^\W\d_]+")
+    texts = ["Hello wörld 12ab_c İX", "", "²½ 5", "a" * 300 + "\n\nZ", "été Ⅻ ₂ 漢字かな 😀x", "no_under score"]
+    runs = LetterRuns(texts)
+    words = runs.words(np.arange(len(runs.starts)))
+    assert [[w for w, t in zip(words, runs.texts) if t == i] for i in range(len(texts))] == [pattern.findall(t.lower()) for t in texts]
+    assert runs.counts.tolist() == [len(pattern.findall(t.lower())) for t in texts]
+    assert runs.has_letter.tolist() == [any(map(str.isalpha, t)) for t in texts]
+    assert len(set(runs.hashes.tolist())) == len(set(words))
+    assert LetterRuns([]).counts.tolist() == []
+
+
 def test_languages_of_a_table(spark):
     rows = corpus(seed=4, n=120)
     got = {}
@@ -113,7 +147,7 @@ def test_segments_are_all_maximal_ones():
 
 
 def test_decay_solves_its_equation():
-    rate = toxicity.decay(np.array([2.0] * 3 + [0.5] * 40), 10_000.0)
+    rate = toxicity.decay(np.array([2.0, 0.5]), np.array([3.0, 40.0]), 10_000.0)
     p = np.array([3, 40]) / 10_000
     assert (p * np.exp(rate * np.array([2.0, 0.5]))).sum() + (1 - p.sum()) * math.exp(-rate * toxicity.DRIFT) == pytest.approx(1)
 

@@ -13,8 +13,6 @@ from pyspark.sql import types as T
 from stratalake.functions.text import blank, decimal_comma, recode
 from stratalake.sources.literal import literal_dim
 
-NUMERIC_TYPES = (T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-
 
 def _require(df: DataFrame, columns: Sequence[str]) -> None:
     unknown = [c for c in columns if c not in df.columns]
@@ -76,26 +74,27 @@ def fill_numeric(df: DataFrame, value: float = 0) -> DataFrame:
     return df.fillna(value)
 
 
+def _of_kind(df: DataFrame, columns: Sequence[str] | None, kind: type[T.DataType]) -> tuple[list[str], list[str]]:
+    """(wanted columns of a kind, wanted ones of other kinds); all of the kind where none are named. An unknown name raises."""
+    if columns is not None:
+        _require(df, columns)
+    wanted = df.columns if columns is None else [c for c in df.columns if c in set(columns)]
+    fitting = [c for c in wanted if isinstance(df.schema[c].dataType, kind)]
+    return fitting, [] if columns is None else [c for c in wanted if c not in fitting]
+
+
 def impute_numeric(df: DataFrame, value: float = 999.0, columns: Sequence[str] | None = None) -> DataFrame:
-    """Replace NULL in numeric columns with a constant.
+    """Replace NULL in columns of any numeric type with a constant.
 
     Without ``columns`` every numeric column is imputed. A listed column that is
-    not numeric is skipped with a warning; a listed name that does not exist raises.
+    not numeric is skipped with a warning; a listed name that does not exist raises, and so does a constant that is no number.
     """
-    if not isinstance(df, DataFrame):
-        raise TypeError("df must be a Spark DataFrame")
-    if isinstance(value, bool) or not isinstance(value, (int, float)):
-        raise TypeError("value must be an int or a float")
-    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES)}
-    if columns is None:
-        chosen = numeric
-    else:
-        _require(df, columns)
-        chosen = numeric & set(columns)
-        skipped = sorted(set(columns) - chosen)
-        if skipped:
-            warnings.warn(f"not numeric, left as they are: {skipped}", stacklevel=2)
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(value)) for c in df.columns if c in chosen})
+    if type(value) not in (int, float):
+        raise TypeError(f"no number to impute: {value!r}")
+    numbers, others = _of_kind(df, columns, T.NumericType)
+    if others:
+        warnings.warn(f"not numeric, left as they are: {sorted(others)}", stacklevel=2)
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit(value)) for c in numbers})
 
 
 def impute_string(df: DataFrame, value: str = "Desconocido", columns: Sequence[str] | None = None) -> DataFrame:
@@ -104,10 +103,8 @@ def impute_string(df: DataFrame, value: str = "Desconocido", columns: Sequence[s
     Without ``columns`` every string column is imputed. Listed columns of other
     types are cast to string first.
     """
-    if columns is None:
-        columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    _require(df, columns)
-    as_text = {c: F.col(c).cast("string") for c in columns}
+    texts, others = _of_kind(df, columns, T.StringType)
+    as_text = {c: F.col(f"`{c}`").cast("string") for c in [*texts, *others]}
     return df.withColumns({c: F.when(blank(t), F.lit(value)).otherwise(t) for c, t in as_text.items()})
 
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalake.functions.nested import first_matching, parse_json, parse_json_renamed
 from stratalake.operators.clean import impute_numeric, impute_string
@@ -62,20 +63,13 @@ def period_columns(day: str, picks: Mapping[str, tuple[str, str]], period: str =
     ]
 
 
-def flatten_municipal_forecast(
-    df: DataFrame, impute: bool = True, number: int = -9999, text: str = "Desconocido"
-) -> DataFrame:
-    """One row per municipality, download and forecast day, with whole-day values.
-
-    Missing numbers and texts take the given constants unless ``impute`` is off.
-    """
-    days = explode_documents(df, "raw_aemet_data_json_str", MUNICIPAL_SCHEMA, "prediccion.dia")
+def _municipal_rows(days: DataFrame, *more: Column) -> DataFrame:
     bounds = [
         F.col(f"day.{source}.{end}").alias(f"{out}{end.capitalize()}")
         for out, source in RANGE_PICKS.items()
         for end in ("maxima", "minima")
     ]
-    flat = days.select(
+    return days.select(
         F.col("municipio_codigo_aemet").alias("municipioCodigo"),
         F.col("nombre_municipio_ine").alias("nombreMunicipio"),
         F.col("fecha_descarga_utc").alias("fechaDescargaUTC"),
@@ -83,10 +77,63 @@ def flatten_municipal_forecast(
         *period_columns("day", PERIOD_PICKS),
         *bounds,
         F.col("day.uvMax").alias("uv_max"),
+        *more,
     )
+
+
+def flatten_municipal_forecast(
+    df: DataFrame, impute: bool = True, number: int = -9999, text: str = "Desconocido"
+) -> DataFrame:
+    """One row per municipality, download and forecast day, with whole-day values.
+
+    Missing numbers and texts take the given constants unless ``impute`` is off.
+    """
+    flat = _municipal_rows(explode_documents(df, "raw_aemet_data_json_str", MUNICIPAL_SCHEMA, "prediccion.dia"))
     return impute_string(impute_numeric(flat, number), text) if impute else flat
 
 
+def explode_variant(df: DataFrame, text: str, items_path: str, out: str = "day") -> DataFrame:
+    """Parse a JSON column to VARIANT and give one row per element of the array at ``items_path``, as a VARIANT.
+
+    The document is parsed once, whatever is taken from it afterwards, and its layout may differ from row to row. A row whose document is malformed, missing or
+    without elements stays once, with NULL in ``out``.
+    """
+    items = F.try_variant_get(F.try_parse_json(text), items_path, "variant")
+    parsed = df.withColumn("_items", items)
+    each = df.sparkSession.tvf.variant_explode_outer(F.col("_items").outer())
+    return parsed.lateralJoin(each).select(*[F.col(f"`{c}`") for c in df.columns if c != out], F.col("value").alias(out))
+
+
+def variant_fields(value: str, fields: T.StructType) -> Column:
+    """The named fields of a VARIANT as a struct of their types; one that is missing or of another kind is NULL."""
+    typed = [F.try_variant_get(value, f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in fields]
+    return F.when(F.col(value).isNotNull(), F.struct(*typed))
+
+
+def unknown_fields(value: str, fields: T.StructType) -> Column:
+    """The fields of a VARIANT object that ``fields`` does not name, as JSON; NULL without such."""
+    every = F.try_variant_get(value, "$", "map<string,variant>")
+    rest = F.map_filter(every, lambda name, _: ~name.isin(fields.names))
+    return F.when(F.size(F.map_keys(rest)) > 0, F.to_json(rest))
+
+
+def observed_layout(df: DataFrame, text: str) -> DataFrame:
+    """One row with the layout that all documents of a JSON column fit together, as a schema in SQL."""
+    return df.agg(F.schema_of_variant_agg(F.try_parse_json(text)).alias("layout"))
+
+
+def flatten_municipal_variant(df: DataFrame, impute: bool = True, number: int = -9999, text: str = "Desconocido") -> DataFrame:
+    """What :func:`flatten_municipal_forecast` gives, by way of VARIANT, and ``unknown``: the day's further fields as JSON, NULL without such."""
+    fields = T._parse_datatype_string(MUNICIPAL_SCHEMA).elementType["prediccion"].dataType["dia"].dataType.elementType
+    days = explode_variant(df, "raw_aemet_data_json_str", "$[0].prediccion.dia")
+    days = days.withColumns({"day": variant_fields("day", fields), "unknown": unknown_fields("day", fields)})
+    flat = _municipal_rows(days, F.col("unknown"))
+    if not impute:
+        return flat
+    texts = [c for c, kind in flat.dtypes if kind == "string" and c != "unknown"]
+    return impute_string(impute_numeric(flat, number), text, texts)
+
+
 # ---- beach forecast -------------------------------------------------------
 
 # The part of the document layout that is read, whose keys partly

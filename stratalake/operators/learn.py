@@ -15,7 +15,9 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.operators.labels import stratified_folds
 from stratalake.sources.literal import literal_dim
+from stratalake.sources.scratch import store
 
 # The tree settings to search, and the best point found.
 FULL_GRID = {
@@ -84,19 +86,26 @@ def grid_search(
     parallelism: int = 4,
     label: str = "label",
     weight: str | None = "weight",
+    key: str | Sequence[str] | None = None,
     **settings,
 ) -> CrossValidatorModel:
-    """Cross-validated search for the highest ROC AUC."""
+    """Cross-validated search for the highest ROC AUC.
+
+    Folds are stratified and repeatable (see :func:`stratified_folds`): every fold holds each class in its share, so each has an AUC as soon as a class
+    has as many rows as there are folds. Rows of one ``key`` stay together. Rows without label take no part.
+    """
     pipeline = classifier_pipeline(features, label=label, weight=weight, **settings)
+    dealt = stratified_folds(df.filter(F.col(label).isNotNull()), label, key, folds, out="_fold")
     search = CrossValidator(
         estimator=pipeline,
         estimatorParamMaps=param_grid(pipeline, grid),
         evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"),
         numFolds=folds,
+        foldCol="_fold",
         parallelism=parallelism,
-        seed=SEED,
     )
-    return search.fit(as_numbers(df, features))
+    # Written once: every model reads its folds, and none deals them again.
+    return search.fit(store(as_numbers(dealt, features), "folds"))
 
 
 def grid_results(model: CrossValidatorModel, spark) -> DataFrame:

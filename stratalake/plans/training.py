@@ -82,7 +82,7 @@ def train_and_log(
     if grid is None:
         model = train(fit_on, features, **settings)
     else:
-        search = grid_search(fit_on, features, grid, folds, parallelism, **settings)
+        search = grid_search(fit_on, features, grid, folds, parallelism, key=key, **settings)
         best = max(zip(search.avgMetrics, search.getEstimatorParamMaps(), strict=True), key=lambda point: point[0])
         settings = settings | {param.name: value for param, value in best[1].items()}
         model = search.bestModel

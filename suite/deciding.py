@@ -204,13 +204,25 @@ def ml_train_score(t: Tables):
     )
 
 
+@query("""
+WITH f AS (SELECT doc_id, quality, toxic, floor((row_number() OVER (PARTITION BY quality ORDER BY md5(doc_id::VARCHAR)) - 1) * 10 / count(*) OVER (PARTITION BY quality))::INT AS fold FROM labels)
+SELECT *, count(*) OVER (PARTITION BY quality, fold) AS n_in_fold, count(*) OVER (PARTITION BY quality) AS n_in_class FROM f
+""")
+def cv_folds_stratified(t: Tables):
+    """Ten exact folds of each class, with how many rows the fold and the class hold."""
+    folds = store(labels.stratified_folds(t.labels, "quality", "doc_id", 10), "folds")
+    counts = folds.groupBy("quality", "fold").agg(F.count(F.lit(1)).alias("n_in_fold"))
+    classes = folds.groupBy("quality").agg(F.count(F.lit(1)).alias("n_in_class"))
+    return folds.join(counts.join(classes, "quality"), ["quality", "fold"]).select("doc_id", "quality", "toxic", "fold", "n_in_fold", "n_in_class")
+
+
 @query("""
 SELECT * FROM (VALUES (0, '{"maxDepth": 2, "stepSize": 0.1}', true), (1, '{"maxDepth": 3, "stepSize": 0.1}', true)) g(point, settings, is_share)
 """)
 def ml_grid_search(t: Tables):
     rows = store(_training_set(t), "training_set").filter(~F.col("is_test"))
     grid = {"maxDepth": [2, 3], "stepSize": [0.1]}
-    search = learn.grid_search(rows, FEATURES, grid, folds=2, parallelism=2, maxIter=3)
+    search = learn.grid_search(rows, FEATURES, grid, folds=2, parallelism=2, key=MONTHLY_KEYS, maxIter=3)
     return learn.grid_results(search, t.spark).select("point", "settings", F.col("mean_auc").between(0.5, 1).alias("is_share"))
 
 

@@ -4,10 +4,10 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import clock
 from stratalake.functions.nested import first_matching
-from stratalake.operators import aggregate, forecast, joins, reshape
+from stratalake.operators import aggregate, forecast, intervals, joins, reshape
 from stratalake.plans.panel import build_feature_panel
 from stratalake.sources.scratch import store
-from suite.registry import Tables, dated, money, query, rounded
+from suite.registry import ORACLES, Tables, dated, money, query, rounded
 
 # ---- set operations and reshaping -----------------------------------------
 
@@ -155,6 +155,38 @@ def array_filter_first(t: Tables):
     return rows.select("l_orderkey", "l_linenumber", first_matching(F.col("items"), "code", "R", "value").alias("picked"))
 
 
+@query("""
+WITH requested AS (
+  SELECT DISTINCT (o_custkey % 100)::INT AS place, CAST(o_orderdate AS DATE) AS asked_from, CAST(o_orderdate AS DATE) + (o_orderkey % 90)::INT AS asked_to FROM orders),
+loaded AS (
+  SELECT CASE WHEN user_id % 5 = 0 THEN 0 ELSE (user_id % 100)::INT END AS place,
+         DATE '1995-01-01' + (event_id * 7919 % 2400)::INT AS a, DATE '1995-01-01' + (event_id * 7919 % 2400 + event_id % 15)::INT AS b FROM events),
+covered AS (SELECT DISTINCT place, unnest(generate_series(a, b, INTERVAL 1 DAY))::DATE AS day FROM loaded),
+days AS (SELECT *, unnest(generate_series(asked_from, asked_to, INTERVAL 1 DAY))::DATE AS day FROM requested),
+open AS (
+  SELECT *, day - row_number() OVER (PARTITION BY place, asked_from, asked_to ORDER BY day)::INT AS stretch
+  FROM days d WHERE NOT EXISTS (SELECT 1 FROM covered c WHERE c.place = d.place AND c.day = d.day))
+SELECT place, asked_from, asked_to, min(day) AS interval_start, max(day) AS interval_end FROM open GROUP BY place, asked_from, asked_to, stretch
+""")
+def join_pending_intervals(t: Tables):
+    """The days of each order's interval that no event's interval of the same place covers; a fifth of the events are of one place."""
+    day, key = F.col("o_orderdate").cast("date"), F.col("o_orderkey")
+    asked = {"asked_from": day, "asked_to": F.date_add(day, (key % 90).cast("int"))}
+    requested = t.orders.select(
+        (F.col("o_custkey") % 100).cast("int").alias("place"),
+        *[c.alias(n) for n, c in asked.items()],
+        *[c.alias(n) for n, c in zip(("interval_start", "interval_end"), asked.values(), strict=True)],
+    )
+    user, n = F.col("user_id"), F.col("event_id")
+    first = (n * 7919 % 2400).cast("int")
+    loaded = t.events.select(
+        F.when(user % 5 == 0, 0).otherwise(user % 100).cast("int").alias("place"),
+        F.date_add(F.lit("1995-01-01").cast("date"), first).alias("interval_start"),
+        F.date_add(F.lit("1995-01-01").cast("date"), first + (n % 15).cast("int")).alias("interval_end"),
+    )
+    return intervals.pending_intervals(requested, loaded, ["place"])
+
+
 def _days_of_order():
     """0 to 3 day numbers per order."""
     n = (F.col("o_orderkey") % 4).cast("int")
@@ -188,7 +220,12 @@ SELECT CAST(o_orderkey AS VARCHAR) AS "municipioCodigo", o_orderpriority AS "nom
 FROM days
 """)
 def json_flatten_forecast(t: Tables):
-    """Forecast documents in the published layout, one per order, some malformed, missing or without days."""
+    """Forecast documents in the published layout, flattened by a declared schema."""
+    return forecast.flatten_municipal_forecast(_municipal_documents(t))
+
+
+def _municipal_documents(t: Tables, *more):
+    """Forecast documents in the published layout, one per order, some malformed, missing or without days; ``more`` fields of each day."""
 
     def entry(period, **fields):
         return F.struct(*[v.alias(k) for k, v in fields.items()], period.alias("periodo"))
@@ -205,6 +242,7 @@ def json_flatten_forecast(t: Tables):
             F.struct((d + 21).alias("maxima")).alias("sensTermica"),
             F.when(d != 2, d).alias("uvMax"),
             F.date_format(F.date_add(F.col("o_orderdate").cast("date"), d), "yyyy-MM-dd").alias("fecha"),
+            *[field(d) for field in more],
         )
 
     days = F.struct(F.transform(_days_of_order(), day).alias("dia"))
@@ -215,7 +253,17 @@ def json_flatten_forecast(t: Tables):
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("fecha_descarga_utc"),
         _with_bad_documents(doc).alias("raw_aemet_data_json_str"),
     )
-    return forecast.flatten_municipal_forecast(raw)
+    return raw
+
+
+@query(
+    ORACLES["json_flatten_forecast"].replace(
+        "SELECT CAST(o_orderkey AS VARCHAR)", """SELECT CASE WHEN d IS NOT NULL THEN '{"extra":' || (d + 100) || '}' END AS unknown, CAST(o_orderkey AS VARCHAR)"""
+    )
+)
+def json_variant_flatten(t: Tables):
+    """The same documents by one parse to VARIANT; a field that no schema names is kept."""
+    return forecast.flatten_municipal_variant(_municipal_documents(t, lambda d: (d + 100).alias("extra")))
 
 
 @query("""

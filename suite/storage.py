@@ -7,7 +7,7 @@ from stratalake.functions.nested import document, parse_json
 from stratalake.functions.text import row_id
 from stratalake.operators import clean
 from stratalake.plans.reload import reload_pending
-from stratalake.sources import readers, writers
+from stratalake.sources import batches, readers, writers, xlsx
 from stratalake.sources.literal import literal_dim
 from stratalake.sources.scratch import scratch_dir
 from stratalake.streaming.incremental import append_sink, ingest_new_files
@@ -38,6 +38,33 @@ def src_csv_locale(t: Tables):
     )
 
 
+@query("""
+SELECT o_orderkey AS key, o_totalprice AS price, o_orderpriority AS priority, CAST(o_orderdate AS DATE) AS day,
+       CAST(CAST(o_orderdate AS DATE) + (o_orderkey % 86400) * INTERVAL 1 SECOND AS VARCHAR) AS moment,
+       CASE WHEN o_orderkey % 7 > 0 THEN o_orderkey % 2 = 0 END AS even, CASE WHEN o_orderkey % 5 > 0 THEN o_custkey / 4 END AS quarter,
+       CASE WHEN o_orderkey % 3 > 0 THEN ' <' || o_orderpriority || '>' || chr(9) || '& _x0041_ é ' END AS note, o_orderstatus AS _sheet
+FROM orders
+""")
+def src_xlsx_parse(t: Tables):
+    """All orders written to workbooks inside the tasks, one sheet for each status, and read back with types from their cells."""
+    path = f"{scratch_dir(t.spark)}/workbooks"
+    key = F.col("o_orderkey")
+    rows = t.orders.select(
+        key.alias("key"),
+        F.col("o_totalprice").alias("price"),
+        F.col("o_orderpriority").alias("priority"),
+        F.col("o_orderdate").cast("date").alias("day"),
+        F.timestamp_add("SECOND", (key % 86400).cast("int"), F.col("o_orderdate").cast("date").cast("timestamp_ntz")).alias("moment"),
+        F.when(key % 7 > 0, key % 2 == 0).alias("even"),
+        F.when(key % 5 > 0, F.col("o_custkey") / 4).alias("quarter"),
+        F.when(key % 3 > 0, F.concat(F.lit(" <"), "o_orderpriority", F.lit(">\t& _x0041_ é "))).alias("note"),
+        "o_orderstatus",
+    )
+    xlsx.write_xlsx(rows, path, sheetBy="o_orderstatus", rowsPerFile=20_000)
+    read = xlsx.read_xlsx(t.spark, path, sheets="*")
+    return read.withColumn("moment", F.date_format("moment", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query("SELECT page_id, url, length(html)::INT AS n_chars, md5(html) AS digest FROM pages")
 def src_binary_parse(t: Tables):
     path = f"{scratch_dir(t.spark)}/pages"
@@ -340,3 +367,17 @@ def upsert_table_partitioned(t: Tables):
     if writers.partition_columns(t.spark, f"{db}.orders_by_year") != ["year"]:
         raise ValueError("the table lost its partitions")
     return t.spark.table(f"{db}.orders_by_year")
+
+
+@query("""
+SELECT *, floor((row_number() OVER (PARTITION BY year ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1) / 5000)::INT AS batch, 0 AS added_by_rerun
+FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, year(l_shipdate)::INT AS year FROM lineitem)
+""")
+def exact_batches(t: Tables):
+    """Batches of exactly 5,000 rows of each year, loaded twice; the second time adds no batch."""
+    path = f"{scratch_dir(t.spark)}/batches"
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    rows = t.lineitem.select(*order, F.year("l_shipdate").alias("year"))
+    batches.load_batches(rows, ["year"], order, 5000, path)
+    again = batches.load_batches(rows.repartition(7), ["year"], order, 5000, path)
+    return batches.read_batches(t.spark, path).withColumn("added_by_rerun", again.agg(F.count(F.lit(1)).cast("int")).scalar())

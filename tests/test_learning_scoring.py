@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 
@@ -6,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from stratalake.operators import evaluate, labels, ordered, score
+from stratalake.operators import evaluate, labels, learn, ordered, score
 from stratalake.plans.recommend import recommend_batch
 from stratalake.plans.training import bad_month_conditions
 
@@ -175,6 +176,49 @@ def test_split_keeps_rows_of_one_key_together(spark):
     assert sides.filter("n > 1").count() == 0
 
 
+@pytest.mark.parametrize(("n", "folds"), [(3, 2), (7, 5), (400, 10), (1000, 3)])
+def test_folds_are_exact_within_each_class(spark, n, folds):
+    df = spark.createDataFrame([(i, i % 3 if i % 11 else None) for i in range(n)], "id long, y int")
+    got = labels.stratified_folds(df, "y", "id", folds).collect()
+    assert len(got) == n and all((r["fold"] is None) == (r["y"] is None) for r in got)
+    for y in range(3):
+        own = sorted((hashlib.md5(str(r["id"]).encode()).hexdigest(), r["fold"]) for r in got if r["y"] == y)
+        assert [f for _, f in own] == [r * folds // len(own) for r in range(len(own))]
+
+
+def test_folds_refine_crowded_slices_and_keep_keys_together(spark, monkeypatch, rows):
+    df = spark.createDataFrame([(i, i % 2) for i in range(2000)], "id long, y int")
+    fine = rows(labels.stratified_folds(df, "y", "id", 7))
+    monkeypatch.setattr(labels, "_SLICE", 1)
+    assert rows(labels.stratified_folds(df.repartition(9), "y", "id", 7)) == fine
+    monkeypatch.undo()
+    same = spark.createDataFrame([(i % 40, 0) for i in range(1200)] + [(None, i) for i in range(0)], "id long, y int")
+    assert labels.stratified_folds(same, "y", "id", 4).groupBy("id").agg(F.countDistinct("fold").alias("n")).filter("n > 1").count() == 0
+    whole = spark.createDataFrame([(None if i < 900 else i, i, 0) for i in range(1000)], "id long, v long, y int")
+    for key in ("id", None):
+        assert rows(labels.stratified_folds(whole, "y", key, 5).groupBy("fold").count()) == [(f, 200) for f in range(5)]
+    assert rows(labels.stratified_folds(df.limit(0), "y", "id")) == []
+    with pytest.raises(ValueError):
+        labels.stratified_folds(df, "y", "id", 1)
+
+
+def test_search_uses_the_stratified_folds(spark):
+    """The mean AUC of each point is that of models fitted by hand on all folds but one."""
+    rng = random.Random(8)
+    data = [(i, float(i % 7), rng.random(), int(i % 7 + 3 * rng.random() > 5)) for i in range(300)]
+    df = spark.createDataFrame(data, "id long, a double, b double, label int").withColumn("weight", F.lit(1.0)).coalesce(1)
+    grid = {"maxDepth": [1, 3]}
+    found = learn.grid_search(df, ["a", "b"], grid, folds=3, parallelism=2, key="id", maxIter=2)
+    dealt = labels.stratified_folds(df, "label", "id", 3).coalesce(1).cache()
+    for point, depth in enumerate(grid["maxDepth"]):
+        aucs = []
+        for f in range(3):
+            model = learn.train(dealt.filter(F.col("fold") != f), ["a", "b"], maxDepth=depth, maxIter=2)
+            scored = learn.score_with(model, dealt.filter(F.col("fold") == f), ["a", "b"])
+            aucs.append(evaluate.eval_auc(scored, "label", "probability").first()["auc"])
+        assert abs(found.avgMetrics[point] - sum(aucs) / 3) < 0.02
+
+
 def test_sampled_split_takes_part_of_each_class(spark):
     df = spark.range(2000).withColumn("y", F.col("id") % 2)
     share = labels.split_sampled(df, "y", [0, 1], 0.2).count() / 2000

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import islice
 
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 
 from stratalake.functions.text import locale_decimal
 from stratalake.operators.reshape import union_all
+from stratalake.sources.scratch import _files
 
 
 RECORDS_AT_ONCE = 10_000
@@ -28,17 +30,32 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+#: First lines read at a time.
+_OPENED_AT_ONCE = 32
+
+
+def _first_line(spark: SparkSession, path: str, encoding: str) -> str | None:
+    """The first line of a file, from as many of its bytes as a reader buffers."""
+    jvm, (fs, at) = spark._jvm, _files(spark, path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(at)
+    stream = fs.open(at)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, encoding))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
 def _layouts(spark: SparkSession, paths: str | list[str], sep: str, encoding: str) -> dict[tuple[str, ...], list[str]]:
-    """Files by the column names in their first line."""
-    lines = spark.read.csv(paths, schema="line string", sep="\u0001", quote="", encoding=encoding)
-    lines = lines.select(
-        "line", "_metadata.file_path", F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("i")
-    )
-    first = lines.filter("start = 0").groupBy("file_path").agg(F.min_by("line", "i").alias("line"))
+    """Files by the column names in their first line. Files are listed by Spark and only their beginnings are read."""
+    files = [row["path"] for row in spark.read.format("binaryFile").load(paths).select("path").orderBy("path").collect()]  # as Spark's own file list
+    with ThreadPoolExecutor(_OPENED_AT_ONCE) as pool:
+        lines = list(pool.map(lambda path: _first_line(spark, path, encoding), files))
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for row in first.orderBy("file_path").collect():  # one short row per file, as Spark's own file list has
-        names = tuple(n.strip().strip('"') for n in row["line"].split(sep))
-        layouts.setdefault(names, []).append(row["file_path"])
+    for path, line in zip(files, lines, strict=True):
+        if line:
+            names = tuple(n.strip().strip('"') for n in line.lstrip("\ufeff").split(sep))
+            layouts.setdefault(names, []).append(path)
     return layouts
 
 

@@ -98,7 +98,10 @@ def cell_value(value, kind: T.DataType):
     elif isinstance(kind, T.DateType):
         if isinstance(value, datetime.datetime):
             return value.date()
-        return value if isinstance(value, datetime.date) else datetime.date.fromisoformat(value)
+        if isinstance(value, datetime.date):
+            return value
+        if isinstance(value, str):
+            return datetime.date.fromisoformat(value)
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         if isinstance(value, str):
             value = datetime.datetime.fromisoformat(value)

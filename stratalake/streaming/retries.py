@@ -45,7 +45,7 @@ class Attempts(StatefulProcessor):
         attempts = min(attempts + len(before), self.limit)
         status = GAVE_UP if attempts >= self.limit else PENDING if success is None else LOADED
         self.state.update((attempts, status))
-        yield pd.DataFrame({"key": [key[0]], "attempts": pd.array([attempts], "int32"), "status": [status]})
+        yield pd.DataFrame({"known": [bool(key[0])], "text": [key[1]], "attempts": pd.array([attempts], "int32"), "status": [status]})
 
     def close(self) -> None:
         pass
@@ -63,9 +63,12 @@ def track_attempts(spark: SparkSession, source: str, schema: T.StructType, limit
     spark.conf.set(setting, STATE_STORE)
     try:
         results = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files_per_batch).load(source)
-        kept = results.where("ok IS NOT NULL AND seq IS NOT NULL").select("key", "seq", "ok")
-        out = T.StructType([T.StructField("key", schema["key"].dataType), *T._parse_datatype_string(STATE).fields])
-        changes = kept.groupBy("key").transformWithStateInPandas(Attempts(limit), out, "Update", "None")
+        # Grouped by the key's text and whether there is one: with a NULL among the grouping keys, groups of its task get lost.
+        known, text = F.col("key").isNotNull().alias("known"), F.coalesce(F.col("key").cast("string"), F.lit("")).alias("text")
+        kept = results.where("ok IS NOT NULL AND seq IS NOT NULL").select(known, text, "seq", "ok")
+        out = T._parse_datatype_string(f"known boolean, text string, {STATE}")
+        changes = kept.groupBy("known", "text").transformWithStateInPandas(Attempts(limit), out, "Update", "None")
+        changes = changes.select(F.when(F.col("known"), F.col("text").cast(schema["key"].dataType)).alias("key"), "attempts", "status")
         query = changes.writeStream.foreachBatch(append_sink(f"{path}/changes")).outputMode("update")
         query.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     finally:

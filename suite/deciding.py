@@ -246,6 +246,30 @@ def ml_save_load_score(t: Tables):
     return log.select("run_id", "kind", "name", value.alias("value"), F.lit(same).alias("loaded_as_fitted"))
 
 
+@query("""
+WITH rows AS (SELECT o_orderkey, month(o_orderdate) >= 5 AND month(o_orderdate) < 9 AS label,
+    row_number() OVER (PARTITION BY month(o_orderdate) >= 5 AND month(o_orderdate) < 9 ORDER BY md5(o_orderkey::VARCHAR)) AS r,
+    count(*) OVER (PARTITION BY month(o_orderdate) >= 5 AND month(o_orderdate) < 9) AS n FROM orders),
+test AS (SELECT * FROM rows WHERE r <= floor(0.2 * n + 0.5)),
+counts AS (SELECT count(*) FILTER (label) AS tp, count(*) FILTER (NOT label) AS tn FROM test)
+SELECT 'run-2' AS run_id, kind, name, value FROM (
+    SELECT 'metric' AS kind, unnest(['tp', 'fp', 'fn', 'tn', 'accuracy', 'precision', 'recall', 'f1']) AS name,
+        unnest([tp::DOUBLE, 0, 0, tn, 1, 1, 1, 1])::DOUBLE AS value FROM counts
+    UNION ALL VALUES ('param', 'maxDepth', 3), ('param', 'maxIter', 5))
+""")
+def ml_logged_metrics(t: Tables):
+    """A run's log with its values: the label follows from the month, so that trees of depth 3 find it and SQL knows every count."""
+    month = F.month("o_orderdate")
+    rows = t.orders.select("o_orderkey", month.cast("double").alias("month"), (F.col("o_custkey") % 7).alias("noise"), month.between(5, 8).cast("int").alias("label"))
+    marked = store(labels.split_stratified(rows, "label", "o_orderkey", 0.2), "marked")
+    settings = {"maxIter": 5, "maxDepth": 3}
+    root = scratch_dir(t.spark)
+    learn.save_model(learn.train(marked.filter("NOT is_test"), ["month", "noise"], weight=None, **settings), f"{root}/model")
+    scored = learn.score_with(learn.load_model(f"{root}/model"), marked.filter("is_test"), ["month", "noise"])
+    log = learn.log_run(evaluate.eval_confusion(scored, "label", "prediction"), "run-2", settings, f"{root}/runs")
+    return log.withColumn("value", F.round(F.col("value").cast("double"), 9))
+
+
 # ---- batch scoring --------------------------------------------------------
 
 @query("""

@@ -326,16 +326,16 @@ def src_csv_reordered(t: Tables):
 
 
 @query("""
-SELECT CASE WHEN n_nationkey % 5 = 0 THEN 'broken' ELSE 'row' END AS kind, count(*) AS n, CAST(sum(CASE WHEN n_nationkey % 5 = 0 THEN 0 ELSE n_nationkey END) AS BIGINT) AS keys
-FROM nation GROUP BY 1
+SELECT CASE WHEN s_suppkey % 5 = 0 THEN 'broken' ELSE 'row' END AS kind, count(*) AS n, CAST(sum(CASE WHEN s_suppkey % 5 = 0 THEN 0 ELSE s_suppkey END) AS BIGINT) AS keys
+FROM supplier GROUP BY 1
 """)
 def src_json_envelope_multiline(t: Tables):
     """One document a file over several lines, a fifth of them cut off; those are counted in the reject frame."""
     path = f"{scratch_dir(t.spark)}/envelopes"
-    row = F.concat(F.lit('{"metadata": {},\n "data": [\n  {"key": "'), F.col("n_nationkey").cast("string"))
+    row = F.concat(F.lit('{"metadata": {},\n "data": [\n  {"key": "'), F.col("s_suppkey").cast("string"))
     whole = F.concat(row, F.lit('"}\n ]\n}'))
-    lines = F.when(F.col("n_nationkey") % 5 == 0, row).otherwise(whole).alias("value")
-    t.nation.repartition(25, "n_nationkey").select(lines).write.option("maxRecordsPerFile", 1).text(path)
+    lines = F.when(F.col("s_suppkey") % 5 == 0, row).otherwise(whole).alias("value")
+    t.supplier.select(lines).write.option("maxRecordsPerFile", 1).text(path)
     schema = T.StructType([T.StructField("key", T.StringType())])
     rows, broken = readers.read_envelope_rejects(t.spark, path, schema)
     rows = rows.select(F.lit("row").alias("kind"), F.col("key").cast("long").alias("k"))

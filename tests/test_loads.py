@@ -94,12 +94,12 @@ def test_xlsx_of_no_rows_and_bad_options(spark, tmp_path):
     ("value", "kind", "expected"),
     [(True, "string", "true"), (3.0, "int", 3), ("7", "long", 7), (MOMENT(2024, 1, 2, 3), "date", DAY(2024, 1, 2)), (DAY(2024, 1, 2), "timestamp_ntz", MOMENT(2024, 1, 2)), ("2024-01-02", "date", DAY(2024, 1, 2)), (2, "double", 2.0)],
 )
-def test_cells_take_the_column_kind(value, kind, expected):
+def test_cells_take_the_column_kind(spark, value, kind, expected):
     assert xlsx.cell_value(value, T._parse_datatype_string(kind)) == expected
 
 
 @pytest.mark.parametrize(("value", "kind"), [(3.5, "int"), (True, "int"), ("x", "double"), (1, "boolean"), (1, "date"), ("x", "decimal(5,1)")])
-def test_cells_of_another_kind_are_refused(value, kind):
+def test_cells_of_another_kind_are_refused(spark, value, kind):
     with pytest.raises(ValueError):
         xlsx.cell_value(value, T._parse_datatype_string(kind))
 

@@ -40,88 +40,106 @@ def read_pieces(path: str) -> list[str]:
     return sorted({p for p in pieces if (body := p.removeprefix(START)) == body.lower() and (not body or LETTERS.fullmatch(body))})
 
 
-def _grid(words: list[str]) -> np.ndarray:
-    """Code points of words of one length, a row each."""
-    return np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), -1).astype(np.uint64)
+def _grid(words: list[str] | np.ndarray) -> np.ndarray:
+    """Code points of words of one length, a row each; what is a grid already stays."""
+    if isinstance(words, np.ndarray):
+        return words
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1)
 
 
 class Lattice:
-    """All segmentations of words into pieces. Index ``size`` is a character that is no piece."""
+    """All segmentations of words into pieces. Index ``size`` is a character that is no piece.
+
+    Words are given as text or as rows of code points, all of one length.
+    """
 
     def __init__(self, pieces: list[str]):
         self.size, self.longest = len(pieces), max(map(len, pieces), default=1)
         keys = np.array([self._keys(_grid([p]))(0, len(p))[0] for p in pieces], np.uint64)
         self.order = np.argsort(keys)
         self.keys = np.append(keys[self.order], np.uint64(0xFFFFFFFFFFFFFFFF))
-        self.likely = np.zeros(1 << 20, bool)  # by the first bits of a key, so that few others are searched for
+        # By the first bits of a hash, so that few others are searched for: the pieces, and their beginnings.
+        self.likely, self.begins = np.zeros(1 << 20, bool), np.zeros(1 << 20, bool)
         self.likely[keys >> np.uint64(44)] = True
+        begins = list({p[:k] for p in pieces for k in range(1, len(p))})
+        for some in grouped(begins):
+            own = _grid([begins[i] for i in some])
+            self.begins[self._keys(own)(0, own.shape[1]) >> np.uint64(44)] = True
 
     @staticmethod
     def _keys(codes: np.ndarray):
-        """A function of two places: the hash of what stands between them in each word."""
+        """A function of two places and some words: the hash of what stands between the places in each."""
         n = codes.shape[1]
         powers, inverse = (np.multiply.accumulate(np.append(np.uint64(1), np.full(n, b, np.uint64))) for b in (_BASE, _INVERSE))
         sums = np.zeros((n + 1, len(codes)), np.uint64)
         np.cumsum((mix(codes) * powers[:n]).T, axis=0, out=sums[1:])
-        return lambda start, end: mix((sums[end] - sums[start]) * inverse[start] + np.uint64(end - start))
-
-    def steps(self, words: list[str], backward: bool = False):
-        """(start, end, words, piece index by word) of every possible step through words of one length, ends ascending or descending."""
-        codes = _grid([START + w for w in words])
-        keys = self._keys(codes)
-        ends = range(1, codes.shape[1] + 1)
-        for end in reversed(ends) if backward else ends:
-            for start in range(max(0, end - self.longest), end):
-                key = keys(start, end)
-                rows = np.flatnonzero(self.likely[key >> np.uint64(44)])
+        return lambda start, end, rows=slice(None): mix((sums[end, rows] - sums[start, rows]) * inverse[start] + np.uint64(end - start))
+
+    def steps(self, words: list[str] | np.ndarray, backward: bool = False):
+        """(start, end, words, piece index by word) of every possible step through words of one length, starts ascending or descending.
+
+        A start's words are followed only as long as what stands behind it begins a piece.
+        """
+        codes = _grid(words)
+        codes = np.concatenate([np.full((len(codes), 1), ord(START), np.uint32), codes], axis=1)
+        keys, n = self._keys(codes), codes.shape[1]
+        for start in reversed(range(n)) if backward else range(n):
+            alive = np.arange(len(codes))
+            for end in range(start + 1, min(n, start + self.longest) + 1):
+                key = keys(start, end, alive)
+                first = key >> np.uint64(44)
+                rows = np.flatnonzero(self.likely[first])
                 at = np.searchsorted(self.keys[:-1], key[rows])
                 hit = self.keys[at] == key[rows]
-                rows, piece = rows[hit], self.order[at[hit]]
+                rows, piece = alive[rows[hit]], self.order[at[hit]]
                 if end - start == 1:
-                    every = np.full(len(words), self.size)
+                    every = np.full(len(codes), self.size)
                     every[rows] = piece
                     yield start, end, slice(None), every
                 elif len(rows):
                     yield start, end, rows, piece
+                alive = alive[self.begins[first]]
+                if not len(alive):
+                    break
 
-    def forward(self, words: list[str], chances: np.ndarray, steps=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def forward(self, words: list[str] | np.ndarray, chances: np.ndarray, steps=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Scaled chances of the words' beginnings by length, word and language, the logs of what they were divided by, and the log of the whole words' chances."""
-        n, k = len(words[0]) + 1, chances.shape[1]
+        n, k = _grid(words).shape[1] + 1, chances.shape[1]
         alpha, logs = np.zeros((n + 1, len(words), k)), np.zeros((n + 1, len(words), k))
         alpha[0] = 1
         scaled, log = 0, np.zeros((len(words), k))
         for start, end, rows, piece in self.steps(words) if steps is None else steps:
-            if end - scaled > UNSCALED:  # before numbers get too small
-                low = max(0, end - self.longest)
-                top = np.maximum(alpha[low:end].max(axis=0), 1e-300)
-                logs[scaled:end] = log
-                alpha[low:end] /= top
-                log = log + np.log(top)
-                logs[low:end] = log
-                scaled = end
+            if start - scaled > UNSCALED:  # before numbers get too small
+                high = start + self.longest + 1  # what is behind the start has been begun
+                top = np.maximum(alpha[start:high].max(axis=0), 1e-300)
+                logs[scaled:start] = log
+                alpha[start:high] /= top
+                log, scaled = log + np.log(top), start
             alpha[end, rows] += alpha[start, rows] * chances[piece]
         logs[scaled:] = log
         return alpha, logs, log + np.log(np.maximum(alpha[n], 1e-300))
 
-    def expected(self, words: list[str], counts: np.ndarray, chances: np.ndarray) -> np.ndarray:
+    def expected(self, words: list[str] | np.ndarray, counts: np.ndarray, chances: np.ndarray) -> np.ndarray:
         """How often each piece is expected in the words, each taken ``counts`` times by language."""
-        n, k = len(words[0]) + 1, counts.shape[1]
+        n, k = _grid(words).shape[1] + 1, counts.shape[1]
         steps = list(self.steps(words)) if n <= KEPT_STEPS else None
         alpha, logs, whole = self.forward(words, chances, steps)
         beta, log, scaled = np.zeros_like(alpha), np.zeros((len(words), k)), n
         beta[n] = 1
-        out = np.zeros((self.size + 1, k))
-        for start, end, rows, piece in self.steps(words, backward=True) if steps is None else sorted(steps, key=lambda s: -s[1]):
-            if scaled - end > UNSCALED:
-                low = max(0, end - self.longest)  # what is before the end has been begun
-                top = np.maximum(beta[low : end + 1].max(axis=0), 1e-300)
-                beta[low : end + 1] /= top
-                log, scaled = log + np.log(top), end
+        out = np.zeros((self.size + 1) * k)
+        weight = at = None
+        for start, end, rows, piece in self.steps(words, backward=True) if steps is None else sorted(steps, key=lambda s: -s[0]):
+            if scaled - start > UNSCALED:
+                high = start + self.longest + 1
+                top = np.maximum(beta[start + 1 : high].max(axis=0), 1e-300)
+                beta[start + 1 : high] /= top
+                log, scaled = log + np.log(top), start
+            if at != start:
+                at, weight = start, alpha[start] * counts * np.exp(np.minimum(logs[start] + log - whole, 700))
             after = beta[end, rows] * chances[piece]
-            weight = (counts * np.exp(np.minimum(logs[start] + log - whole, 700)))[rows]
-            np.add.at(out, piece, alpha[start, rows] * after * weight)
+            np.add.at(out, (piece[:, None] * k + np.arange(k)).ravel(), (after * weight[rows]).ravel())
             beta[start, rows] += after
-        return out[: self.size]
+        return out.reshape(-1, k)[: self.size]
 
 
 def grouped(words: list[str]) -> list[list[int]]:
@@ -226,9 +244,8 @@ def _predict(pieces: list[str], langs: list[str], chances: np.ndarray, names: tu
                 at[missing] = len(known) + np.arange(len(missing))
                 while len(known) + len(missing) > len(table):
                     table = np.concatenate([table, np.zeros_like(table)])
-                new = runs.words(first[missing])
-                for some in grouped(new):
-                    table[at[missing[some]]] = lattice.forward([new[j] for j in some], chances)[2]
+                for some, codes in runs.grids(first[missing], LATTICE_CELLS):
+                    table[at[missing[some]]] = lattice.forward(codes, chances)[2]
                 known.update(zip(hashes[missing].tolist(), at[missing].tolist(), strict=True))
                 word_logs = table[at][inverse]
                 logs = [np.bincount(runs.texts, weights=word_logs[:, i], minlength=len(part)) for i in range(len(langs))]

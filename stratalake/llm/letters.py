@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -42,3 +43,15 @@ class LetterRuns:
     def words(self, which: np.ndarray) -> list[str]:
         """The runs of these numbers as text."""
         return [self.codes[a:b].tobytes().decode("utf-32-le", "surrogatepass") for a, b in zip(self.starts[which].tolist(), self.ends[which].tolist(), strict=True)]
+
+    def grids(self, which: np.ndarray, cells: int, most: int = 4096) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Those runs by length: their places in ``which``, and their code points, a row each; about ``cells`` points at a time."""
+        starts, sizes = self.starts[which], (self.ends - self.starts)[which]
+        order = np.argsort(sizes, kind="stable")
+        edges = np.flatnonzero(np.diff(sizes[order], prepend=-1, append=-1))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            size = int(sizes[order[a]])
+            step = max(1, min(most, cells // (size + 2)))
+            for low in range(a, b, step):
+                some = order[low : min(low + step, b)]
+                yield some, self.codes[starts[some, None] + np.arange(size)]

@@ -22,6 +22,8 @@ TRANSFORMS = {
 }
 DIMENSIONS = list(TRANSFORMS)
 BINS = 64
+#: The 99.9 % point of chi-square with 5 degrees of freedom. Each statistic alone can lead beyond it: the tamest, repeated words, up to 23.
+CUT = 20.515
 
 
 def text_statistics(text: str) -> dict[str, Column]:
@@ -154,7 +156,7 @@ def quality_verdicts(
     share: float = 0.75,
     rounds: int = 4,
     usual: float = 12.83,
-    cut: float = 50.0,
+    cut: float = CUT,
 ) -> DataFrame:
     """Text statistics, fixed rules and outliers by the minimum covariance determinant.
 
@@ -164,7 +166,7 @@ def quality_verdicts(
     Of those that pass, the statistics are transformed (``TRANSFORMS``), and mean and covariance of each language and source
     are estimated robustly: from the quartiles of each coordinate, ``rounds`` concentration steps keep the ``share`` of rows with the
     least Mahalanobis distance and estimate anew, which never raises the determinant; a last step uses all rows within ``usual``
-    (the 97.5 % point of chi-square with 5 degrees of freedom). Texts beyond ``cut`` (a chance of about one in a billion) are not kept.
+    (the 97.5 % point of chi-square with 5 degrees of freedom). Texts beyond ``cut`` (normal ones with a chance of one in a thousand) are not kept.
     Sources of fewer than ``least`` passing rows are pooled by language, and those languages' rows in one rest.
 
     A round is one aggregation with map-side combining and one of binned distances; a source with a third of all rows is

@@ -111,7 +111,7 @@ def op9_substring_dedup(spark, folder):
     return repeats.without_repeats(documents(spark, folder)).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-def _quality_sql(least: int = 200, share: float = 0.75, rounds: int = 4, usual: float = 12.83, cut: float = 50.0) -> str:
+def _quality_sql(least: int = 200, share: float = 0.75, rounds: int = 4, usual: float = 12.83, cut: float = 20.515) -> str:
     """The same estimates round by round; the formulas come from the module, the scans, bins and joins are spelled out here."""
     xs = outliers.DIMENSIONS
     columns = ", ".join(outliers.factor_columns())

@@ -20,7 +20,7 @@ LONGS = T.ArrayType(T.LongType(), False)
 FACTS = [T.StructField(c, T.LongType()) for c in ("doc_id", "n", "fp1", "fp2", *FIXED)] + [T.StructField("sketch", LONGS)]
 KIND = ["n", "fp1", "fp2"]
 #: Bucket rows that one task makes.
-ROWS_PER_TASK = 1_000_000
+ROWS_PER_TASK = 2_000_000
 #: Hubs a set is compared with before what is left is compared across components.
 HUBS = 2
 
@@ -95,9 +95,10 @@ def _links(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
 
 
 def _spread(table: DataFrame, made: Column) -> DataFrame:
-    """The rows of a stored table dealt out evenly, a task for every ``ROWS_PER_TASK`` rows that ``made`` says they will become."""
+    """A stored table, dealt out evenly over more tasks where its files give tasks that would make more than ``ROWS_PER_TASK`` rows each of what ``made`` says."""
     rows = table.agg(F.sum(made.cast("long"))).first()[0] or 0
-    return table.repartition(max(1, ceil(rows / ROWS_PER_TASK)))
+    tasks = ceil(rows / ROWS_PER_TASK)
+    return table.repartition(tasks) if tasks > table.rdd.getNumPartitions() else table
 
 
 def _star(marked: DataFrame, hubs: DataFrame, near: str) -> DataFrame:
@@ -132,8 +133,7 @@ def similar_groups(profiles: DataFrame, keys: Column, n_keys: Column, docs: Data
     rep_of = store(placed.select("doc_id", "rep").distinct(), "rep_of")
 
     rows = _spread(wide, n_keys).select("doc_id", F.explode(keys).alias("key"))
-    heads = rows.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key")
-    heads = store(heads, "heads")
+    heads = store(rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "heads")
     found = store(rows.join(heads, "key"), "found")
     discard(wide, heads)
     every = store(found.join(rep_of, "doc_id").select("key", "rep").distinct(), "every")

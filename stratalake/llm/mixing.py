@@ -50,28 +50,33 @@ def described(df: DataFrame, id_col: str, text_col: str, source_col: str, lang_c
 
 
 def target_shares(cells: DataFrame, margin: str, given: dict[str, float] | None, temper: float) -> DataFrame:
-    """``margin, share``: the given shares, or the present ones to the power ``temper``, scaled to 1."""
+    """``margin, share_<margin>``: the given shares, or the present ones to the power ``temper``, scaled to 1."""
     if given is not None:
         total = sum(given.values())
-        return cells.sparkSession.createDataFrame([(k, v / total) for k, v in given.items()], f"{margin} string, share double")
+        return cells.sparkSession.createDataFrame([(k, v / total) for k, v in given.items()], f"{margin} string, share_{margin} double")
     sums = cells.groupBy(margin).agg(F.sum("tokens").alias("t"))
     total = sums.agg(F.sum(F.pow("t", F.lit(temper)))).first()[0] or 1.0
-    return sums.select(margin, (F.pow("t", F.lit(temper)) / total).alias("share"))
+    return sums.select(margin, (F.pow("t", F.lit(temper)) / total).alias(f"share_{margin}"))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], total: float, rounds: int) -> DataFrame:
-    """Cells with ``f``, by which their tokens have to be weighed so that all margins meet their targets.
+    """Cells with ``f``, by which their tokens have to be weighed so that all margins meet their targets; a value without target gets none.
 
     Each step scales the cells of each value of one margin to that value's target; a round does so for every margin.
-    Sums are aggregated with map-side combining and joined back, so a margin value with most of the cells isn't a task of its own.
+    Sums are aggregated with map-side combining and joined back, so a margin value with most of the cells isn't a task of its own. The joins
+    are merges: a broadcast for each of so many small steps would fill the driver's memory.
     """
-    cells = store(cells.withColumn("f", F.lit(1.0)), "cells")
+    margins = list(targets)
+    start = cells.withColumn("f", F.lit(1.0))
+    for margin, shares in targets.items():
+        start = start.join(shares.hint("merge"), margin, "left").fillna(0.0, [f"share_{margin}"])
+    cells = store(start, "cells")
     for _ in range(rounds):
         before = cells
-        for margin, shares in targets.items():
-            sums = cells.groupBy(margin).agg(F.sum(F.col("tokens") * F.col("f")).alias("s")).join(shares, margin, "left")
-            scale = F.when(F.col("s") > 0, F.coalesce("share", F.lit(0.0)) * total / F.col("s")).otherwise(1.0)
-            cells = cells.join(sums.select(margin, scale.alias("scale")), margin).withColumn("f", F.col("f") * F.col("scale")).drop("scale")
+        for margin in margins:
+            sums = cells.groupBy(margin).agg(F.sum(F.col("tokens") * F.col("f")).alias("s"))
+            scale = F.when(F.col("s") > 0, F.col(f"share_{margin}") * total / F.col("s")).otherwise(1.0)
+            cells = cells.join(sums.hint("merge"), margin).withColumn("f", F.col("f") * scale).drop("s")
         cells = store(cells, "cells")
         discard(before)
     return cells

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,16 +92,17 @@ def flatten_municipal_forecast(
     return impute_string(impute_numeric(flat, number), text) if impute else flat
 
 
-def explode_variant(df: DataFrame, text: str, items_path: str, out: str = "day") -> DataFrame:
-    """Parse a JSON column to VARIANT and give one row per element of the array at ``items_path``, as a VARIANT.
+def explode_variant(df: DataFrame, text: str, items_path: str, out: str = "day", doc: str = "doc") -> DataFrame:
+    """Parse a JSON column to VARIANT (``doc``) and give one row per element of the array at ``items_path``, as a VARIANT ``out``.
 
-    The document is parsed once, whatever is taken from it afterwards, and its layout may differ from row to row. A row whose document is malformed, missing or
-    without elements stays once, with NULL in ``out``.
+    The document is parsed once, whatever is taken from it afterwards, and its layout may differ from row to row; names are matched case by case. A row
+    whose document is malformed, missing or without elements stays once, with NULL in ``out``.
     """
-    items = F.try_variant_get(F.try_parse_json(text), items_path, "variant")
-    parsed = df.withColumn("_items", items)
+    parsed = df.withColumn(doc, F.try_parse_json(text))
+    parsed = parsed.withColumn("_items", F.try_variant_get(doc, items_path, "variant"))
     each = df.sparkSession.tvf.variant_explode_outer(F.col("_items").outer())
-    return parsed.lateralJoin(each).select(*[F.col(f"`{c}`") for c in df.columns if c != out], F.col("value").alias(out))
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in (out, doc)]
+    return parsed.lateralJoin(each).select(*kept, doc, F.col("value").alias(out))
 
 
 def variant_fields(value: str, fields: T.StructType) -> Column:
@@ -110,10 +111,10 @@ def variant_fields(value: str, fields: T.StructType) -> Column:
     return F.when(F.col(value).isNotNull(), F.struct(*typed))
 
 
-def unknown_fields(value: str, fields: T.StructType) -> Column:
-    """The fields of a VARIANT object that ``fields`` does not name, as JSON; NULL without such."""
+def unknown_fields(value: str, names: Sequence[str]) -> Column:
+    """The fields of a VARIANT object besides those named, as JSON; NULL without such."""
     every = F.try_variant_get(value, "$", "map<string,variant>")
-    rest = F.map_filter(every, lambda name, _: ~name.isin(fields.names))
+    rest = F.map_filter(every, lambda name, _: ~name.isin(list(names)))
     return F.when(F.size(F.map_keys(rest)) > 0, F.to_json(rest))
 
 
@@ -126,7 +127,7 @@ def flatten_municipal_variant(df: DataFrame, impute: bool = True, number: int =
     """What :func:`flatten_municipal_forecast` gives, by way of VARIANT, and ``unknown``: the day's further fields as JSON, NULL without such."""
     fields = T._parse_datatype_string(MUNICIPAL_SCHEMA).elementType["prediccion"].dataType["dia"].dataType.elementType
     days = explode_variant(df, "raw_aemet_data_json_str", "$[0].prediccion.dia")
-    days = days.withColumns({"day": variant_fields("day", fields), "unknown": unknown_fields("day", fields)})
+    days = days.withColumns({"day": variant_fields("day", fields), "unknown": unknown_fields("day", fields.names)})
     flat = _municipal_rows(days, F.col("unknown"))
     if not impute:
         return flat
@@ -160,11 +161,7 @@ BEACH_SCHEMA = _BEACH_LAYOUT.format(days=",".join(f"{key}:{kind}" for key, _, ki
 BEACH_UNIQUE_SCHEMA = _BEACH_LAYOUT.format(days=",".join(f"{name}:{kind}" for _, name, kind in _BEACH_DAY))
 
 
-def flatten_beach_forecast(df: DataFrame) -> DataFrame:
-    """One row per beach, download and forecast day, both spellings of the doubled keys included."""
-    days = explode_documents(
-        df, "raw_aemet_data_json_str", BEACH_SCHEMA, "prediccion.dia", unique_schema=BEACH_UNIQUE_SCHEMA
-    )
+def _beach_rows(days: DataFrame, name: Column, town: Column, *more: Column) -> DataFrame:
     half_days = [
         F.col(f"day.{item}.{field}").alias(f"{item}_{short}")
         for item in ("estadoCielo", "viento", "oleaje")
@@ -172,10 +169,10 @@ def flatten_beach_forecast(df: DataFrame) -> DataFrame:
     ]
     return days.select(
         F.col("playa_codigo_aemet").alias("id_playa"),
-        F.col("doc.nombre").alias("nombre_playa"),
+        name.alias("nombre_playa"),
         "nombre_municipio",
         "nombre_provincia",
-        F.col("doc.localidad").alias("codigo_municipio"),
+        town.alias("codigo_municipio"),
         F.col("day.fecha").alias("fecha"),
         *half_days,
         F.col("day.tMaxima.valor1").alias("tMaxima"),
@@ -187,4 +184,22 @@ def flatten_beach_forecast(df: DataFrame) -> DataFrame:
         F.col("day.tempMaxima.valor1").alias("tempMaxima"),
         F.col("day.sensacTermica.valor1").alias("sensacTermica_valor1"),
         F.col("day.sensacTermica.descripcion1").alias("sensacTermica_desc1"),
+        *more,
+    )
+
+
+def flatten_beach_forecast(df: DataFrame) -> DataFrame:
+    """One row per beach, download and forecast day, both spellings of the doubled keys included."""
+    days = explode_documents(
+        df, "raw_aemet_data_json_str", BEACH_SCHEMA, "prediccion.dia", unique_schema=BEACH_UNIQUE_SCHEMA
     )
+    return _beach_rows(days, F.col("doc.nombre"), F.col("doc.localidad"))
+
+
+def flatten_beach_variant(df: DataFrame) -> DataFrame:
+    """What :func:`flatten_beach_forecast` gives, by way of VARIANT, whose paths tell the doubled keys apart, and ``unknown``: the day's further fields as JSON."""
+    days = explode_variant(df, "raw_aemet_data_json_str", "$[0].prediccion.dia")
+    typed = [F.try_variant_get("day", f"$.{key}", kind).alias(name) for key, name, kind in _BEACH_DAY]
+    unknown = unknown_fields("day", [key for key, _, _ in _BEACH_DAY])
+    days = days.withColumns({"day": F.when(F.col("day").isNotNull(), F.struct(*typed)), "unknown": unknown})
+    return _beach_rows(days, F.try_variant_get("doc", "$[0].nombre", "string"), F.try_variant_get("doc", "$[0].localidad", "int"), F.col("unknown"))

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from stratalake.operators.clean import complete_row, fill_numeric, filter_pairs, normalize_columns
 from stratalake.operators.quality import quality_report, quality_report_marked
 from stratalake.operators.reshape import copy_period, expand_quarter_to_month, union_all
-from stratalake.sources.readers import read_binary_records, read_delimited, union_tagged
-from stratalake.sources.spreadsheet import sheet_rows
+from stratalake.sources.readers import read_delimited, union_tagged
 from stratalake.sources.writers import overwrite_table
+from stratalake.sources.xlsx import read_xlsx
 
 # ---- fixed values ---------------------------------------------------------
 
@@ -219,7 +219,7 @@ def run_monthly(
 def read_landing(spark: SparkSession, spec: MonthlyDataset, paths, schema, decimal_comma_columns=()) -> DataFrame:
     """Files of a dataset in the format it is published in."""
     if spec.file_format == "xlsx":
-        return read_binary_records(spark, paths, sheet_rows, schema, glob="*.xlsx")
+        return union_all([read_xlsx(spark, path, schema) for path in ([paths] if isinstance(paths, str) else paths)])
     return read_delimited(spark, paths, schema, decimal_comma_columns)
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from stratalake.operators.intervals import pending_intervals
 from stratalake.operators.joins import pending
 from stratalake.sources.scratch import store
 from stratalake.sources.writers import append_table
@@ -32,3 +34,15 @@ def reload_pending(
     else:
         rows = rows.join(requested.select(*keys).distinct(), list(keys), "left_semi")
     return append_table(rows, db, table)
+
+
+def next_requests(
+    requested: DataFrame, loaded: DataFrame, attempts: DataFrame, keys: Sequence[str], start: str = "interval_start", end: str = "interval_end"
+) -> DataFrame:
+    """The intervals to ask for next: what no load covers of those requests whose key has not been given up.
+
+    ``attempts`` are the states of :func:`stratalake.streaming.retries.attempt_states`, their ``key`` being the only one of ``keys``.
+    """
+    (key,) = keys
+    over = attempts.filter(F.col("status") == "gave up").select(F.col("key").alias(key))
+    return pending_intervals(pending(requested, over, [key]), loaded, [key], start, end)

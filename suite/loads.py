@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.plans.reload import next_requests
 from stratalake.sources import clustered, loadstats
 from stratalake.sources.scratch import scratch_dir
 from stratalake.streaming import retries
@@ -78,17 +79,24 @@ def clustered_read(t: Tables):
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", wrong.alias("n_disordered"), indexed.alias("all_indexed"), F.lit(opened <= 3).alias("most_skipped"))
 
 
-@query("""
-WITH results AS (SELECT user_id % 997 AS key, event_id AS seq, event_id % 2 AS delivery, event_type = 'purchase' AS ok FROM events),
+_RETRY_SQL = """
+results AS (SELECT user_id % 997 AS key, event_id AS seq, event_id % 2 AS delivery, event_type = 'purchase' AS ok FROM events),
 placed AS (
   SELECT *, sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER w AS failed, coalesce(bool_or(ok) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS done
-  FROM results WINDOW w AS (PARTITION BY key ORDER BY delivery, seq))
+  FROM results WINDOW w AS (PARTITION BY key ORDER BY delivery, seq)),
+states AS (
 SELECT key, least(6, max(failed) FILTER (NOT done))::INT AS attempts,
        CASE WHEN max(failed) FILTER (NOT done) >= 6 THEN 'gave up' WHEN bool_or(ok) THEN 'loaded' ELSE 'pending' END AS status
-FROM placed GROUP BY key
-""")
+FROM placed GROUP BY key)"""
+
+
+@query(f"WITH {_RETRY_SQL} SELECT * FROM states")
 def retry_state(t: Tables):
     """Results of loads in two deliveries; a key is given up after six failures before its first success."""
+    return _states(t)
+
+
+def _states(t: Tables):
     path = scratch_dir(t.spark)
     results = t.events.select((F.col("user_id") % 997).alias("key"), F.col("event_id").alias("seq"), (F.col("event_type") == "purchase").alias("ok"))
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("ok", T.BooleanType())])
@@ -96,3 +104,30 @@ def retry_state(t: Tables):
         results.filter(F.col("seq") % 2 == delivery).write.mode("append").json(f"{path}/landing")
         retries.track_attempts(t.spark, f"{path}/landing", schema, 6, f"{path}/state")
     return retries.attempt_states(t.spark, f"{path}/state")
+
+
+@query(f"""
+WITH {_RETRY_SQL},
+requested AS (
+  SELECT DISTINCT o_custkey % 160 AS place, CAST(o_orderdate AS DATE) AS asked_from, CAST(o_orderdate AS DATE) + (o_orderkey % 60)::INT AS asked_to FROM orders),
+covered AS (
+  SELECT DISTINCT user_id % 997 AS place, unnest(generate_series(DATE '1995-01-01' + (event_id * 7919 % 2400)::INT,
+         DATE '1995-01-01' + (event_id * 7919 % 2400 + event_id % 30)::INT, INTERVAL 1 DAY))::DATE AS day FROM events),
+days AS (
+  SELECT *, unnest(generate_series(asked_from, asked_to, INTERVAL 1 DAY))::DATE AS day FROM requested r
+  WHERE NOT EXISTS (SELECT 1 FROM states s WHERE s.key = r.place AND status = 'gave up')),
+open AS (
+  SELECT *, day - row_number() OVER (PARTITION BY place, asked_from, asked_to ORDER BY day)::INT AS stretch
+  FROM days d WHERE NOT EXISTS (SELECT 1 FROM covered c WHERE c.place = d.place AND c.day = d.day))
+SELECT place, asked_from, asked_to, min(day) AS interval_start, max(day) AS interval_end FROM open GROUP BY place, asked_from, asked_to, stretch
+""")
+def reload_next_requests(t: Tables):
+    """What to ask for next: the open days of the places that have not been given up."""
+    day, key = F.col("o_orderdate").cast("date"), F.col("o_orderkey")
+    ends = [day, F.date_add(day, (key % 60).cast("int"))]
+    names = ["asked_from", "asked_to", "interval_start", "interval_end"]
+    requested = t.orders.select((F.col("o_custkey") % 160).alias("place"), *[c.alias(n) for n, c in zip(names, ends * 2, strict=True)])
+    n = F.col("event_id")
+    first = F.date_add(F.lit("1995-01-01").cast("date"), (n * 7919 % 2400).cast("int"))
+    loaded = t.events.select((F.col("user_id") % 997).alias("place"), first.alias("interval_start"), F.date_add(first, (n % 30).cast("int")).alias("interval_end"))
+    return next_requests(requested, loaded, _states(t), ["place"])

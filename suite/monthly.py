@@ -282,6 +282,23 @@ FROM days
 """)
 def json_flatten_dupcase(t: Tables):
     """Beach documents whose keys differ only in case and hold different values."""
+    return forecast.flatten_beach_forecast(_beach_documents(t)).select(*_BEACH_PICKS)
+
+
+@query(ORACLES["json_flatten_dupcase"])
+def json_variant_dupcase(t: Tables):
+    """The same documents by one parse to VARIANT."""
+    return forecast.flatten_beach_variant(_beach_documents(t)).select(*_BEACH_PICKS)
+
+
+_BEACH_PICKS = [
+    "id_playa", "nombre_playa", "codigo_municipio", "fecha", "estadoCielo_f1", "estadoCielo_desc1", "viento_f2",
+    "tMaxima", "tempMaxima", "tAgua_valor1", "tempAgua", "sTermica_desc1", "sensacTermica_desc1",
+]
+
+
+def _beach_documents(t: Tables):
+    """Beach forecasts in the published layout, one per order, some malformed, missing or without days."""
 
     def day(d):
         return F.struct(
@@ -304,10 +321,7 @@ def json_flatten_dupcase(t: Tables):
         F.lit("p").alias("nombre_provincia"),
         _with_bad_documents(F.to_json(F.array(place))).alias("raw_aemet_data_json_str"),
     )
-    return forecast.flatten_beach_forecast(raw).select(
-        "id_playa", "nombre_playa", "codigo_municipio", "fecha", "estadoCielo_f1", "estadoCielo_desc1", "viento_f2",
-        "tMaxima", "tempMaxima", "tAgua_valor1", "tempAgua", "sTermica_desc1", "sensacTermica_desc1",
-    )
+    return raw
 
 
 # ---- joins ----------------------------------------------------------------

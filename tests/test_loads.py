@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.operators import clean, forecast, intervals
+from stratalake.plans.reload import next_requests
 from stratalake.sources import batches, clustered, loadstats, spreadsheet, xlsx
 from stratalake.streaming import retries
 
@@ -198,6 +199,15 @@ def test_a_hot_key_is_one_row_per_bucket_and_can_be_split(spark, tmp_path):
     assert got.groupBy("interval_start", "interval_end").count().collect() == [(start + datetime.timedelta(500), start + datetime.timedelta(509), 5000)]
 
 
+def test_given_up_keys_are_not_asked_for_again(spark, rows):
+    day = lambda n: DAY(2024, 1, n)
+    requested = spark.createDataFrame([(1, day(1), day(9)), (2, day(1), day(9)), (3, day(1), day(2)), (None, day(1), day(2))], "k int, interval_start date, interval_end date")
+    loaded = spark.createDataFrame([(1, day(3), day(4)), (3, day(1), day(5))], "k int, interval_start date, interval_end date")
+    attempts = spark.createDataFrame([(1, 1, "pending"), (2, 3, "gave up"), (3, 0, "loaded")], "key int, attempts int, status string")
+    got = next_requests(requested, loaded, attempts, ["k"])
+    assert rows(got) == sorted([(1, day(1), day(2)), (1, day(5), day(9)), (None, day(1), day(2))], key=repr)
+
+
 # ---- documents of varying layout ------------------------------------------
 
 def test_variant_documents(spark, rows):
@@ -215,6 +225,17 @@ def test_variant_documents(spark, rows):
     assert "new: OBJECT<a: ARRAY<BIGINT>>" in layout
 
 
+def test_variant_paths_tell_the_case_of_keys_apart(spark, rows):
+    day = {"tMaxima": {"valor1": 30}, "tmaxima": {"valor1": 40}, "tAgua": {"valor1": "warm"}, "fecha": 20240101, "New": 1, "new": 2}
+    docs = [json.dumps([{"nombre": "p", "localidad": 7, "prediccion": {"dia": [day]}}]), json.dumps([{"nombre": "q", "prediccion": {}}]), "{", None]
+    raw = spark.createDataFrame([(str(i), "m", "v", t) for i, t in enumerate(docs)], "playa_codigo_aemet string, nombre_municipio string, nombre_provincia string, raw_aemet_data_json_str string")
+    got = forecast.flatten_beach_variant(raw)
+    wanted = ["id_playa", "nombre_playa", "codigo_municipio", "fecha", "tMaxima", "tempMaxima", "tAgua_valor1", "unknown"]
+    assert rows(got, *wanted) == sorted(
+        [("0", "p", 7, 20240101, 30, 40, None, '{"New":1,"new":2}'), ("1", "q", *[None] * 6), *[(str(i), *[None] * 7) for i in (2, 3)]], key=repr
+    )
+
+
 # ---- statistics of loads --------------------------------------------------
 
 def test_distinct_sketches_merge_over_loads(spark, tmp_path):

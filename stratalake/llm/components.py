@@ -23,6 +23,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         .distinct()
     )
     edges = store(edges, "edges")
+    if edges.isEmpty():
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     before = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

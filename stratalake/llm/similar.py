@@ -130,14 +130,13 @@ def similar_groups(profiles: DataFrame, keys: Column, n_keys: Column, docs: Data
     filled = profiles.where("n > 0 AND doc_id IS NOT NULL")
     classes = store(filled.groupBy(*KIND).agg(F.min("doc_id").alias("rep")), "classes")
     placed = store(filled.select("doc_id", *KIND).join(classes, KIND).select("doc_id", "n", "rep"), "placed")
-    rep_of = store(placed.select("doc_id", "rep").distinct(), "rep_of")
 
     rows = _spread(wide, n_keys).select("doc_id", F.explode(keys).alias("key"))
     heads = store(rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "heads")
     found = store(rows.join(heads, "key"), "found")
     discard(wide, heads)
-    every = store(found.join(rep_of, "doc_id").select("key", "rep").distinct(), "every")
-    discard(found, rep_of)
+    every = store(found.join(placed.select("doc_id", "rep").distinct(), "doc_id").select("key", "rep").distinct(), "every")
+    discard(found)
     sizes = store(every.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "sizes")
     members = store(every.join(sizes, "key"), "members")
     discard(every, sizes)
@@ -164,7 +163,7 @@ def similar_groups(profiles: DataFrame, keys: Column, n_keys: Column, docs: Data
     # Members of one bucket that are still in different components may be linked all the same.
     parts = marked.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("g", F.coalesce("component", "rep"))
     parts = store(parts.select("key", "rep", "g"), "parts")
-    discard(marked, hubs, likely, several, groups)
+    discard(marked, hubs, likely, several)
     if not count_links:
         split = store(parts.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("key"), "split")
         rest = store(parts.join(split, "key", "left_semi"), "rest")
@@ -176,15 +175,20 @@ def similar_groups(profiles: DataFrame, keys: Column, n_keys: Column, docs: Data
     more = left.join(right, "key").where(f"{apart} AND {near('_a', '_b')} AND {alike}")
     more = store(more.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct().join(star, ["a", "b"], "left_anti"), "more")
     discard(parts, rest, star, facts)
-    links = links.union(_links(more, docs, width, percent))
-    groups = store(connected_components(links.union(ties)), "groups")
+    found = _links(more, docs, width, percent)
     discard(more)
-
-    tags, columns = groups.withColumnRenamed("node", "rep"), [F.coalesce("component", "rep").alias("component_id")]
+    # What they join are components, few of which are left to be joined.
+    label = groups.withColumnRenamed("component", "g")
+    ends = found.join(label.withColumnRenamed("node", "a").withColumnRenamed("g", "g_a"), "a", "left").join(label.withColumnRenamed("node", "b").withColumnRenamed("g", "g_b"), "b", "left")
+    ends = ends.select(F.coalesce("g_a", "a").alias("a"), F.coalesce("g_b", "b").alias("b"))
+    joined = store(connected_components(ends), "joined").select(F.col("node").alias("g"), F.col("component").alias("whole"))
+    whole = placed.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("g", F.coalesce("component", "rep")).join(joined, "g", "left")
+
+    columns = [F.coalesce("whole", "g").alias("component_id")]
     if count_links:
-        links = links.distinct()
+        links = links.union(found).distinct()
         ends = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
-        tags, columns = tags.join(ends, "rep", "left"), [*columns, F.coalesce("links", F.lit(0).cast("long")).alias("n_links")]
-    found = placed.join(store(tags, "tags"), "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), *columns)
+        whole, columns = whole.join(store(ends, "ends"), "rep", "left"), [*columns, F.coalesce("links", F.lit(0).cast("long")).alias("n_links")]
+    found = whole.select("doc_id", F.col("n").alias("n_shingles"), *columns)
     empty = profiles.where("n = 0 OR doc_id IS NULL").select("doc_id", "n", "doc_id", *[F.lit(0).cast("long") for _ in columns[1:]])
     return found.union(empty)

@@ -76,6 +76,8 @@ def fill_numeric(df: DataFrame, value: float = 0) -> DataFrame:
 
 def _of_kind(df: DataFrame, columns: Sequence[str] | None, kind: type[T.DataType]) -> tuple[list[str], list[str]]:
     """(wanted columns of a kind, wanted ones of other kinds); all of the kind where none are named. An unknown name raises."""
+    if not isinstance(df, DataFrame):
+        raise TypeError(f"no DataFrame: {df!r}")
     if columns is not None:
         _require(df, columns)
     wanted = df.columns if columns is None else [c for c in df.columns if c in set(columns)]

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from stratalake.operators import clean, forecast, intervals
 from stratalake.plans.reload import next_requests
 from stratalake.sources import batches, clustered, loadstats, spreadsheet, xlsx
+from stratalake.sources.scratch import store
 from stratalake.streaming import retries
 
 DAY = datetime.date
@@ -342,3 +343,21 @@ def test_every_numeric_type_is_imputed(spark):
     for bad in (True, "1", None):
         with pytest.raises(TypeError):
             clean.impute_numeric(df, bad)
+
+
+def test_a_load_deals_its_rows_out_once(spark, tmp_path, monkeypatch):
+    """Rows are stored once on the way to their batches, are numbered and written where they lie, and leave nothing behind."""
+    stored = []
+
+    def kept(df, name):
+        stored.append((name, store(df, name)))
+        return stored[-1][1]
+
+    monkeypatch.setattr(batches, "store", kept)
+    df = spark.range(5000).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
+    plan = batches.dense_numbers(df, ["g"], ["v"], "n", 5)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Window" not in plan
+    stored.clear()
+    assert batches.load_batches(df, ["g"], ["v"], 100, str(tmp_path / "out")).count() == 51
+    assert [name for name, _ in stored] == ["ranges", "offsets", "fresh"]
+    assert [os.path.exists(t.scratch_path.removeprefix("file:")) for _, t in stored] == [False, False, True]

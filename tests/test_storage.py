@@ -333,3 +333,14 @@ def test_stored_tables_can_be_discarded(spark):
     assert kept.count() == 3
     with pytest.raises(Exception, match="(?i)not exist|not found"):
         spark.read.parquet(gone.scratch_path)
+
+
+def test_single_documents_are_written_by_many_tasks(spark, rows, tmp_path, monkeypatch):
+    from suite import storage
+    from suite.registry import QUERIES
+
+    spark.range(1, 41).select(F.col("id").alias("s_suppkey")).coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    monkeypatch.setattr(storage, "scratch_dir", lambda spark: str(tmp_path))
+    assert rows(QUERIES["src_json_envelope_multiline"](spark, str(tmp_path))) == [("broken", 8, 0), ("row", 32, 820 - 180)]
+    files = [p.name for p in (tmp_path / "envelopes").glob("part-*")]
+    assert len(files) == 40 and len({name.split("-")[1] for name in files}) > 4
